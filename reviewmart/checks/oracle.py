@@ -178,11 +178,6 @@ def _profile(table: str, columns: dict[str, str]) -> str:
     )
 
 
-def _by_year(where: str = "true") -> str:
-    return f"""SELECT year(review_date) AS "year", count(*) AS review_count
-        FROM fct_reviews WHERE {where} GROUP BY 1"""
-
-
 _STATEMENTS = {
     "scan_reviews_json": "SELECT * FROM raw_reviews",
     "scan_items_json": "SELECT * FROM raw_items",
@@ -244,16 +239,7 @@ _STATEMENTS = {
     "known_users": "SELECT * FROM stg_reviews WHERE user_id IS NOT NULL",
     "category_distinct": "SELECT DISTINCT main_category FROM raw_items WHERE main_category = 'ECONOMY'",
     "has_categories": "SELECT * FROM raw_items WHERE categories IS NOT NULL AND categories <> '[]'",
-    "verified_slicer": _union(
-        [
-            f"SELECT *, '{setting}' AS setting FROM ({_by_year(where)})"
-            for setting, where in [
-                ("verified", "verified_purchase"),
-                ("unverified", "NOT verified_purchase"),
-                ("all", "true"),
-            ]
-        ]
-    ),
+    "verified_slicer": "SELECT * FROM stg_reviews WHERE NOT verified_purchase",
     "reviews_x_price": "SELECT * FROM reviews_with_price",
     "fct_x_time": """
         SELECT r.*, d.date_day AS review_date, dayname(d.date_day) AS day_name
@@ -282,7 +268,9 @@ _STATEMENTS = {
     "calendar": "SELECT date_day FROM review_days",
     "dim_time": f"SELECT {_TIME_COLUMNS} FROM review_days",
     "fct_reviews": _replacing("fct_reviews", "price", "avg_rating", "rating_diff_from_avg"),
-    "reviews_by_year": _by_year(),
+    "reviews_by_year": """
+        SELECT year(review_date) AS "year", count(*) AS review_count
+        FROM fct_reviews GROUP BY 1""",
     "category_rating_trend": """
         SELECT category, review_month, round(avg(rating), 6) + 0.0 AS avg_rating
         FROM fct_reviews GROUP BY category, review_month""",

@@ -43,8 +43,9 @@ class Models:
     def dim_users(self) -> DataFrame:
         return marts.dim_users(self.stg_reviews, self.dim_items)
 
-    def context(self) -> DataFrame:
-        return marts.review_context(self.stg_reviews, self.dim_items, self.dim_time)
+    def context(self, dated: bool = False) -> DataFrame:
+        time = self.dim_time if dated else None
+        return marts.review_context(self.stg_reviews, self.dim_items, time)
 
     def fct_reviews(self) -> DataFrame:
         return marts.fct_reviews(self.stg_reviews, self.dim_items, self.dim_time)
@@ -153,7 +154,7 @@ def fct_insert_overwrite(m: Models) -> DataFrame:
 
 @_query
 def cluster_layout(m: Models) -> DataFrame:
-    return writers.cluster_layout(m.context())
+    return writers.cluster_layout(m.context(dated=True))
 
 
 @_query
@@ -300,14 +301,7 @@ def has_categories(m: Models) -> DataFrame:
 
 @_query
 def verified_slicer(m: Models) -> DataFrame:
-    """How each setting of the slicer changes the yearly counts."""
-    context = m.context()
-    settings = {"verified": True, "unverified": False, "all": None}
-    sliced = [
-        dashboard.reviews_by_year(context, flag).withColumn("setting", F.lit(name))
-        for name, flag in settings.items()
-    ]
-    return reduce(DataFrame.unionAll, sliced)
+    return rows.verified_slicer(m.stg_reviews, False)
 
 
 # --- joins ---------------------------------------------------------------------------
@@ -424,7 +418,7 @@ def fct_reviews(m: Models) -> DataFrame:
 
 @_query
 def reviews_by_year(m: Models) -> DataFrame:
-    return dashboard.reviews_by_year(m.context())
+    return dashboard.reviews_by_year(m.context(dated=True))
 
 
 @_query
@@ -449,7 +443,7 @@ def monthly_reviews_price(m: Models) -> DataFrame:
 
 @_query
 def weekday_trend(m: Models) -> DataFrame:
-    return dashboard.weekday_trend(m.context(), verified=True)
+    return dashboard.weekday_trend(m.context(dated=True), verified=True)
 
 
 # --- quality and documented intents ----------------------------------------------------

@@ -12,8 +12,7 @@ _MAX_SECONDS = 9_223_372_036_854
 def ms_to_timestamp(ms: Column) -> Column:
     """Whole seconds, cut toward zero; null where no timestamp can hold the value."""
     seconds = F.call_function("div", ms, F.lit(1000))
-    in_range = seconds.between(-_MAX_SECONDS, _MAX_SECONDS)
-    return F.when(in_range, F.timestamp_seconds(F.when(in_range, seconds)))
+    return F.timestamp_seconds(F.when(seconds.between(-_MAX_SECONDS, _MAX_SECONDS), seconds))
 
 
 def ts_parts(ts: Column) -> list[Column]:

@@ -52,6 +52,15 @@ def item_avg(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("asin").agg(F.avg("rating").alias("avg_rating"))
 
 
+def item_ratings(reviews: DataFrame) -> DataFrame:
+    """Mean rating and number of reviews per known product."""
+    return (
+        reviews.where(F.col("asin").isNotNull())
+        .groupBy("asin")
+        .agg(F.avg("rating").alias("avg_rating"), F.count("*").alias("rows"))
+    )
+
+
 def item_spend(items: DataFrame) -> DataFrame:
     """Per product, how many rows it has and what they cost together."""
     return (

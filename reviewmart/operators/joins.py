@@ -1,26 +1,36 @@
 """The five left joins of the star schema.
 
-None is hinted: Catalyst broadcasts a right side only when its size is known to be small.
-Beyond that both sides are shuffled on the key, and adaptive execution splits a key (or the
-null key) that holds too much of the left side. That splitting needs plain shuffles on both
-sides, so right sides that are aggregates should be written first (``workspace.cut``).
+A right side is broadcast only after its size was measured. Beyond that, both sides are
+shuffled on the key, and keys that hold more than a fair share of the left side, as well as
+missing keys, are spread over many partitions first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmart.functions.times import review_date
+from reviewmart.workspace import cut
+
+# Largest measured size of a right side that every executor is sent a copy of.
+BROADCAST_BYTES = 64 * 1024 * 1024
+# A key with fewer rows than this is never spread.
+FAIR_ROWS = 200_000
+
+_ROW_BYTES, _VALUE_BYTES = 32, 16
 
 
 def reviews_x_price(reviews: DataFrame, items: DataFrame) -> DataFrame:
     """Add ``price``; an item listed twice doubles its reviews."""
-    return reviews.join(_keyed(items).select("asin", "price"), "asin", "left")
+    return lookup(reviews, item_columns(items, "price"), "asin")
 
 
 def fct_x_time(reviews: DataFrame, time: DataFrame) -> DataFrame:
-    """Add ``review_date`` and ``day_name``; both are null outside the calendar."""
+    """Add ``review_date`` and ``day_name``; both are null outside the calendar.
+
+    Left to Catalyst: a calendar has a row per day, and is small unless it is broken.
+    """
     days = time.select(F.col("date_day").alias("review_date"), "day_name")
     written = review_date(reviews["timestamp"])
     return reviews.join(days, written == days["review_date"], "left")
@@ -29,20 +39,92 @@ def fct_x_time(reviews: DataFrame, time: DataFrame) -> DataFrame:
 def fct_x_users(reviews: DataFrame, users: DataFrame) -> DataFrame:
     """Add the user's attributes; reviews without a user keep nulls."""
     attributes = [name for name in users.columns if name not in reviews.columns]
-    return reviews.join(users.select("user_id", *attributes), "user_id", "left")
+    known = users.select("user_id", *attributes)
+    counts = users.select("user_id", F.col("review_count").alias("rows"))
+    return lookup(reviews, known, "user_id", counts)
 
 
 def fct_x_items(reviews: DataFrame, items: DataFrame) -> DataFrame:
     """Add ``price``, ``category`` and ``store``; an item listed twice doubles its reviews."""
-    attributes = _keyed(items).select("asin", "price", "category", "store")
-    return reviews.join(attributes, "asin", "left")
+    return lookup(reviews, item_columns(items, "price", "category", "store"), "asin")
 
 
 def fct_x_item_avg(reviews: DataFrame, item_avg: DataFrame) -> DataFrame:
     """Add ``avg_rating``; reviews without a product keep null."""
-    return reviews.join(_keyed(item_avg).select("asin", "avg_rating"), "asin", "left")
-
-
-def _keyed(df: DataFrame) -> DataFrame:
-    """Rows that a join on ``asin`` can meet: malformed lines leave many with none."""
-    return df.where(F.col("asin").isNotNull())
+    return lookup(reviews, item_columns(item_avg, "avg_rating"), "asin")
+
+
+def item_columns(df: DataFrame, *names: str) -> DataFrame:
+    """``asin`` and ``names`` of the rows that a join on ``asin`` can meet.
+
+    Malformed lines can leave many rows without a key.
+    """
+    return df.where(F.col("asin").isNotNull()).select("asin", *names)
+
+
+def lookup(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    counts: DataFrame | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    fair_rows: int = FAIR_ROWS,
+) -> DataFrame:
+    """Left join on ``key``, whatever the size of ``right`` and the skew of ``left``.
+
+    ``right`` is measured, so it should be a table or a ``cut``. ``counts`` gives the left
+    rows (``rows``) per ``key`` where they are known already.
+    """
+    if measured_bytes(right) <= broadcast_bytes:
+        return left.join(F.broadcast(right), key, "left")
+    if counts is None:
+        counts = cut(left.groupBy(key).agg(F.count("*").alias("rows")), f"rows-per-{key}")
+    return _spread_join(left, right, key, counts.where(F.col(key).isNotNull()), fair_rows)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Rows and text lengths of ``df``, as bytes in memory."""
+    texts = [name for name, kind in df.dtypes if kind in ("string", "binary")]
+    lengths = [F.sum(F.octet_length(name)) for name in texts]
+    rows, *text_bytes = df.agg(F.count("*"), *lengths).first()
+    per_row = _ROW_BYTES + _VALUE_BYTES * len(df.columns)
+    return rows * per_row + sum(size or 0 for size in text_bytes)
+
+
+def _shuffle_width(spark: SparkSession) -> int:
+    started = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(spark.conf.get(started, None) or usual)
+
+
+def _spread_join(
+    left: DataFrame, right: DataFrame, key: str, counts: DataFrame, fair_rows: int
+) -> DataFrame:
+    """Shuffle join in which each heavy key is divided into parts of a fair size.
+
+    A key is heavy if it has more rows than an average partition, so there are at most as many
+    heavy keys, and parts, as partitions: a list short enough to broadcast. A left row's part
+    follows from its content and from the partition it is in, both the same if its task runs
+    again; copies in different partitions go to different parts. The right rows of a heavy
+    key are repeated in each of its parts.
+    """
+    width = _shuffle_width(left.sparkSession)
+    total = counts.agg(F.sum("rows")).first()[0] or 0
+    fair = max(fair_rows, total // width, 1)
+    heavy = F.broadcast(
+        counts.where(F.col("rows") > fair).select(
+            key, F.ceil(F.col("rows") / fair).cast("int").alias("_parts")
+        )
+    )
+    parts = F.when(F.col(key).isNull(), width).otherwise(F.coalesce("_parts", F.lit(1)))
+    place = F.xxhash64(*left.columns) + F.spark_partition_id()
+    placed = (
+        left.join(heavy, key, "left").withColumn("_part", F.pmod(place, parts)).drop("_parts")
+    )
+    every_part = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    repeated = (
+        right.join(heavy, key, "left")
+        .withColumn("_part", every_part.cast("long"))
+        .drop("_parts")
+    )
+    return placed.join(repeated, [key, "_part"], "left").drop("_part")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RENAMES = {"parent_asin": "asin", "main_category": "category"}
@@ -77,10 +77,10 @@ def dedup_reviews(stg_reviews: DataFrame) -> DataFrame:
     Spark keeps only the best row per key in each task before shuffling, so a key with very
     many copies costs one row per task.
     """
-    from pyspark.sql import Window
-
     first = ["helpful_votes", "rating", "verified_purchase"]
-    rest = [name for name in stg_reviews.columns if name not in {*first, "review_id"}]
+    # Year, month and day follow from the timestamp.
+    settled = {*first, "review_id", "year", "month", "day"}
+    rest = [name for name in stg_reviews.columns if name not in settled]
     best_first = [F.col(name).desc_nulls_last() for name in [*first, *rest]]
     rank = F.row_number().over(Window.partitionBy("review_id").orderBy(*best_first))
     return stg_reviews.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")

@@ -9,7 +9,7 @@ from reviewmart.functions.keys import review_id_hex
 from reviewmart.functions.numbers import rating_diff
 from reviewmart.functions.times import review_month
 from reviewmart.operators import aggregates as agg
-from reviewmart.operators.joins import fct_x_items, fct_x_time
+from reviewmart.operators.joins import fct_x_items, fct_x_time, item_columns, lookup
 from reviewmart.operators.rows import known_users, select_columns
 from reviewmart.schemas import DIM_ITEMS, FCT_REVIEWS
 from reviewmart.workspace import cut
@@ -30,7 +30,7 @@ def dim_users(reviews: DataFrame, items: DataFrame) -> DataFrame:
     seen = known_users(reviews).select("user_id", "asin", "verified_purchase", "timestamp")
     ts, weight = F.col("timestamp"), F.coalesce("copies", F.lit(1))
     return (
-        seen.join(spend, "asin", "left")
+        lookup(seen, spend, "asin")
         .groupBy("user_id")
         .agg(
             agg.verified_purchase_count(F.col("verified_purchase"), weight).alias(
@@ -46,9 +46,14 @@ def dim_users(reviews: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def review_context(reviews: DataFrame, items: DataFrame, time: DataFrame) -> DataFrame:
-    """The fact's rows without its rating averages, for queries that do not need them."""
-    joined = fct_x_items(fct_x_time(reviews, time), items)
+def review_context(
+    reviews: DataFrame, items: DataFrame, time: DataFrame | None = None
+) -> DataFrame:
+    """The fact's rows without rating averages, and without calendar columns if no ``time``.
+
+    For queries over unsaved models: they pay only for the context they use.
+    """
+    joined = fct_x_items(fct_x_time(reviews, time) if time else reviews, items)
     return joined.withColumn("review_month", review_month(F.col("timestamp")))
 
 
@@ -59,9 +64,11 @@ def fct_reviews(reviews: DataFrame, items: DataFrame, time: DataFrame) -> DataFr
     themselves are joined, and where necessary shuffled, only once. The user dimension is not
     joined: it is unique by user and none of its columns are used.
     """
-    ratings = agg.item_avg(reviews.where(F.col("asin").isNotNull()))
-    per_item = cut(fct_x_items(ratings, items), "item-context")
-    joined = fct_x_time(reviews, time).join(per_item, "asin", "left")
+    listed = item_columns(items, "price", "category", "store")
+    per_item = cut(agg.item_ratings(reviews).join(listed, "asin", "left"), "item-context")
+    # Listings per product times its reviews: the rows the join below yields for it.
+    counts = per_item.groupBy("asin").agg(F.sum("rows").alias("rows"))
+    joined = lookup(fct_x_time(reviews, time), per_item.drop("rows"), "asin", counts)
     return joined.select(
         "review_id",
         review_id_hex(F.col("review_id")).alias("review_id_power_bi"),

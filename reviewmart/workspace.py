@@ -33,11 +33,8 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return it read back.
 
-    Used for per-key summaries that a larger table is joined to next. Read back, such a
-    summary has a true size, so Catalyst broadcasts it only if it is small; otherwise both
-    sides of the join are plain shuffles, which is the shape adaptive execution needs to
-    split a hot key. (An aggregate feeding the join directly keeps its own partitioning
-    and switches that splitting off.)
+    Used for per-key summaries that a larger table is joined to next: they are computed once,
+    can be measured before the join is chosen, and survive the loss of an executor.
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
