@@ -6,7 +6,7 @@ places, so that two engines can be compared value by value.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,9 +43,16 @@ class Models:
     def dim_users(self) -> DataFrame:
         return marts.dim_users(self.stg_reviews, self.dim_items)
 
-    def context(self, dated: bool = False) -> DataFrame:
-        time = self.dim_time if dated else None
-        return marts.review_context(self.stg_reviews, self.dim_items, time)
+    def dated(self) -> DataFrame:
+        return joins.fct_x_time(self.stg_reviews, self.dim_time)
+
+    def context(self, *by: str | Column, attributes: Sequence[str] = ()) -> DataFrame:
+        """Reviews with their calendar day and month and some item attributes, see ``by``."""
+        month = times.review_month(F.col("timestamp"))
+        reviews = self.dated() if {*by} & {"review_date", "day_name"} else self.stg_reviews
+        return marts.review_context(
+            reviews.withColumn("review_month", month), self.dim_items, attributes, by
+        )
 
     def fct_reviews(self) -> DataFrame:
         return marts.fct_reviews(self.stg_reviews, self.dim_items, self.dim_time)
@@ -154,7 +161,9 @@ def fct_insert_overwrite(m: Models) -> DataFrame:
 
 @_query
 def cluster_layout(m: Models) -> DataFrame:
-    return writers.cluster_layout(m.context(dated=True))
+    joined = joins.fct_x_items(m.dated(), m.dim_items)
+    month = times.review_month(F.col("timestamp"))
+    return writers.cluster_layout(joined.withColumn("review_month", month))
 
 
 @_query
@@ -314,7 +323,7 @@ def reviews_x_price(m: Models) -> DataFrame:
 
 @_query
 def fct_x_time(m: Models) -> DataFrame:
-    return joins.fct_x_time(m.stg_reviews, m.dim_time)
+    return m.dated()
 
 
 @_query
@@ -418,17 +427,19 @@ def fct_reviews(m: Models) -> DataFrame:
 
 @_query
 def reviews_by_year(m: Models) -> DataFrame:
-    return dashboard.reviews_by_year(m.context(dated=True))
+    return dashboard.reviews_by_year(m.context("review_date"))
 
 
 @_query
 def category_rating_trend(m: Models) -> DataFrame:
-    return dashboard.category_rating_trend(m.context())
+    return dashboard.category_rating_trend(
+        m.context("review_month", "rating", attributes=["category"])
+    )
 
 
 @_query
 def category_share(m: Models) -> DataFrame:
-    return dashboard.category_share(m.context())
+    return dashboard.category_share(m.context(attributes=["category"]))
 
 
 @_query
@@ -438,12 +449,12 @@ def top10_users(m: Models) -> DataFrame:
 
 @_query
 def monthly_reviews_price(m: Models) -> DataFrame:
-    return dashboard.monthly_reviews_price(m.context())
+    return dashboard.monthly_reviews_price(m.context("review_month", attributes=["price"]))
 
 
 @_query
 def weekday_trend(m: Models) -> DataFrame:
-    return dashboard.weekday_trend(m.context(dated=True), verified=True)
+    return dashboard.weekday_trend(m.context("day_name", "verified_purchase"), verified=True)
 
 
 # --- quality and documented intents ----------------------------------------------------

@@ -67,19 +67,22 @@ def lookup(
     right: DataFrame,
     key: str,
     counts: DataFrame | None = None,
+    spread_by: str = "timestamp",
     broadcast_bytes: int = BROADCAST_BYTES,
     fair_rows: int = FAIR_ROWS,
 ) -> DataFrame:
     """Left join on ``key``, whatever the size of ``right`` and the skew of ``left``.
 
     ``right`` is measured, so it should be a table or a ``cut``. ``counts`` gives the left
-    rows (``rows``) per ``key`` where they are known already.
+    rows (``rows``) per ``key`` where they are known already. ``spread_by`` is a left column
+    that varies among the rows of one key.
     """
     if measured_bytes(right) <= broadcast_bytes:
         return left.join(F.broadcast(right), key, "left")
     if counts is None:
         counts = cut(left.groupBy(key).agg(F.count("*").alias("rows")), f"rows-per-{key}")
-    return _spread_join(left, right, key, counts.where(F.col(key).isNotNull()), fair_rows)
+    known = counts.where(F.col(key).isNotNull())
+    return _spread_join(left, right, key, known, spread_by, fair_rows)
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -98,33 +101,33 @@ def _shuffle_width(spark: SparkSession) -> int:
 
 
 def _spread_join(
-    left: DataFrame, right: DataFrame, key: str, counts: DataFrame, fair_rows: int
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    counts: DataFrame,
+    spread_by: str,
+    fair_rows: int,
 ) -> DataFrame:
     """Shuffle join in which each heavy key is divided into parts of a fair size.
 
     A key is heavy if it has more rows than an average partition, so there are at most as many
-    heavy keys, and parts, as partitions: a list short enough to broadcast. A left row's part
-    follows from its content and from the partition it is in, both the same if its task runs
-    again; copies in different partitions go to different parts. The right rows of a heavy
-    key are repeated in each of its parts.
+    heavy keys as partitions: a list short enough to broadcast. A left row's part follows from
+    its content and from the partition it is in, both the same if its task runs again; copies
+    in different partitions go to different parts. The right rows of a heavy key are repeated
+    in each of its parts.
     """
     width = _shuffle_width(left.sparkSession)
     total = counts.agg(F.sum("rows")).first()[0] or 0
     fair = max(fair_rows, total // width, 1)
-    heavy = F.broadcast(
-        counts.where(F.col("rows") > fair).select(
-            key, F.ceil(F.col("rows") / fair).cast("int").alias("_parts")
-        )
-    )
+    parts_needed = F.ceil(F.col("rows") / fair).cast("int").alias("_parts")
+    listed = cut(counts.where(F.col("rows") > fair).select(key, parts_needed), f"heavy-{key}")
+    heavy = F.broadcast(listed)
     parts = F.when(F.col(key).isNull(), width).otherwise(F.coalesce("_parts", F.lit(1)))
-    place = F.xxhash64(*left.columns) + F.spark_partition_id()
+    place = F.xxhash64(spread_by) + F.spark_partition_id()
     placed = (
         left.join(heavy, key, "left").withColumn("_part", F.pmod(place, parts)).drop("_parts")
     )
-    every_part = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
-    repeated = (
-        right.join(heavy, key, "left")
-        .withColumn("_part", every_part.cast("long"))
-        .drop("_parts")
-    )
+    last = F.coalesce("_parts", F.lit(1)) - 1
+    every_part = F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long")))
+    repeated = right.join(heavy, key, "left").withColumn("_part", every_part).drop("_parts")
     return placed.join(repeated, [key, "_part"], "left").drop("_part")

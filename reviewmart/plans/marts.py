@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmart.functions.keys import review_id_hex
 from reviewmart.functions.numbers import rating_diff
 from reviewmart.functions.times import review_month
 from reviewmart.operators import aggregates as agg
-from reviewmart.operators.joins import fct_x_items, fct_x_time, item_columns, lookup
+from reviewmart.operators.joins import (
+    BROADCAST_BYTES,
+    fct_x_time,
+    item_columns,
+    lookup,
+    measured_bytes,
+)
 from reviewmart.operators.rows import known_users, select_columns
 from reviewmart.schemas import DIM_ITEMS, FCT_REVIEWS
 from reviewmart.workspace import cut
@@ -47,14 +55,24 @@ def dim_users(reviews: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def review_context(
-    reviews: DataFrame, items: DataFrame, time: DataFrame | None = None
+    reviews: DataFrame,
+    items: DataFrame,
+    attributes: Sequence[str],
+    by: Sequence[str | Column],
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """The fact's rows without rating averages, and without calendar columns if no ``time``.
+    """Reviews with item ``attributes``, as rows that stand for ``n`` reviews alike in ``by``.
 
-    For queries over unsaved models: they pay only for the context they use.
+    For questions over models that are not saved as a fact. If the items can be broadcast,
+    each review is a row. If not, reviews are counted per product before they are joined, so
+    a product with very many reviews meets its item as a few rows.
     """
-    joined = fct_x_items(fct_x_time(reviews, time) if time else reviews, items)
-    return joined.withColumn("review_month", review_month(F.col("timestamp")))
+    listed = item_columns(items, *attributes)
+    if measured_bytes(listed) <= broadcast_bytes:
+        each = reviews.select("asin", *by, F.lit(1).cast("long").alias("n"))
+        return each.join(F.broadcast(listed), "asin", "left")
+    counted = reviews.groupBy("asin", *by).agg(F.count("*").alias("n"))
+    return counted.join(listed, "asin", "left")
 
 
 def fct_reviews(reviews: DataFrame, items: DataFrame, time: DataFrame) -> DataFrame:
