@@ -17,6 +17,8 @@ from reviewmart.workspace import cut
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with fewer rows than this is never spread.
 FAIR_ROWS = 200_000
+# Parts per shuffle partition: enough that hashing deals them out evenly.
+FINENESS = 4
 
 _ROW_BYTES, _VALUE_BYTES = 32, 16
 
@@ -110,20 +112,21 @@ def _spread_join(
 ) -> DataFrame:
     """Shuffle join in which each heavy key is divided into parts of a fair size.
 
-    A key is heavy if it has more rows than an average partition, so there are at most as many
-    heavy keys as partitions: a list short enough to broadcast. A left row's part follows from
+    A key is heavy if it has more than a quarter of an average partition's rows, so there are
+    at most four times as many heavy keys as partitions: a list short enough to broadcast. A
+    left row's part follows from
     its content and from the partition it is in, both the same if its task runs again; copies
     in different partitions go to different parts. The right rows of a heavy key are repeated
     in each of its parts.
     """
-    width = _shuffle_width(left.sparkSession)
+    width = FINENESS * _shuffle_width(left.sparkSession)
     total = counts.agg(F.sum("rows")).first()[0] or 0
     fair = max(fair_rows, total // width, 1)
     parts_needed = F.ceil(F.col("rows") / fair).cast("int").alias("_parts")
     listed = cut(counts.where(F.col("rows") > fair).select(key, parts_needed), f"heavy-{key}")
     heavy = F.broadcast(listed)
     parts = F.when(F.col(key).isNull(), width).otherwise(F.coalesce("_parts", F.lit(1)))
-    place = F.xxhash64(spread_by) + F.spark_partition_id()
+    place = F.xxhash64(spread_by, F.spark_partition_id())
     placed = (
         left.join(heavy, key, "left").withColumn("_part", F.pmod(place, parts)).drop("_parts")
     )

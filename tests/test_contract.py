@@ -1,0 +1,48 @@
+"""Every registered query against its SQL counterpart, and the flagship entry point."""
+
+import math
+from collections import Counter
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+SF = "/root/testdata/sf0.001"
+QUERIES, STATEMENTS = contract.queries(), contract.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def db():
+    connection = duckdb.connect()
+    for name in ("orders", "lineitem", "part"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    return connection
+
+
+def _bag(names, rows):
+    order = sorted(range(len(names)), key=names.__getitem__)
+
+    def plain(value):
+        return "nan" if isinstance(value, float) and math.isnan(value) else str(value)
+
+    return Counter(tuple(plain(row[i]) for i in order) for row in rows)
+
+
+def test_every_query_has_a_counterpart():
+    assert set(QUERIES) == set(STATEMENTS)
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_query(spark, db, name):
+    got = QUERIES[name](spark, SF)
+    want = db.execute(STATEMENTS[name])
+    columns = [column[0] for column in want.description]
+    rows = [tuple(row) for row in got.collect()]
+    assert sorted(got.columns) == sorted(columns)
+    assert rows
+    assert _bag(got.columns, rows) == _bag(columns, want.fetchall())
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0

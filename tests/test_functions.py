@@ -1,0 +1,96 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from reviewmart.functions import keys, numbers, times
+
+
+def _values(spark, kind, inputs, expression):
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(inputs)], f"i int, v {kind}")
+    shown = frame.select("i", expression(F.col("v")).alias("out")).orderBy("i")
+    return [row["out"] for row in shown.collect()]
+
+
+def test_milliseconds_are_cut_toward_zero(spark):
+    inputs = [1588687728923, -1, -1500, 0, None]
+    text = _values(
+        spark, "long", inputs, lambda ms: times.ms_to_timestamp(ms).cast("string")
+    )
+    assert text == [
+        "2020-05-05 14:08:48",
+        "1970-01-01 00:00:00",
+        "1969-12-31 23:59:59",
+        "1970-01-01 00:00:00",
+        None,
+    ]
+
+
+def test_time_out_of_range_is_null_not_an_error(spark):
+    extremes = [2**63 - 1, -(2**63), 9_223_372_036_854_000]
+    missing = _values(spark, "long", extremes, lambda ms: times.ms_to_timestamp(ms).isNull())
+    assert missing == [True, True, False]
+
+
+@pytest.mark.parametrize(
+    ("text", "number"),
+    [
+        ("$1,299.99", 1.0),
+        ("from 12.99", 12.99),
+        ("12.99 - 15.99", 12.99),
+        ("—", None),
+        ("", None),
+        (".99", 99.0),
+        ("-5", 5.0),
+        ("1e3", 1.0),
+        ("5.", 5.0),
+        ("None", None),
+        (None, None),
+        ("12.5.3", 12.5),
+    ],
+)
+def test_price_is_the_first_number(spark, text, number):
+    assert _values(spark, "string", [text], numbers.clean_price) == [number]
+
+
+def test_bad_numbers_become_null(spark):
+    assert _values(spark, "string", ["1.5", "", "x", None], numbers.safe_double) == [
+        1.5,
+        None,
+        None,
+        None,
+    ]
+
+
+def test_review_id(spark):
+    frame = spark.createDataFrame(
+        [("u", None), ("ab", "c"), ("a", "bc"), (None, None)], "user string, asin string"
+    )
+    ts = F.lit("2020-01-01 00:00:00").cast("timestamp")
+    made = frame.select(
+        keys.review_id_hex(keys.review_id(F.col("user"), F.col("asin"), ts)).alias("id")
+    )
+    first, shifted, shifted_too, empty = [row["id"] for row in made.collect()]
+    assert first == "8a3c481ec78c15a8374a2e0b722cbbfb"
+    assert shifted == shifted_too != empty
+    assert dict(frame.select(keys.review_id(F.col("user"), F.col("asin"), ts).alias("k")).dtypes) == {
+        "k": "binary"
+    }
+
+
+def test_rounding_is_away_from_zero_and_has_no_negative_zero(spark):
+    out = _values(spark, "double", [0.125, -0.125, 2.5, -0.001, None], numbers.round_cents)
+    assert out == [0.13, -0.13, 2.5, 0.0, None]
+    assert str(out[3]) == "0.0"
+
+
+def test_calendar_parts_are_utc(spark):
+    moment = F.lit("2020-01-01 00:30:00").cast("timestamp")
+    row = spark.range(1).select(
+        *times.ts_parts(moment),
+        times.review_date(moment).alias("date"),
+        times.review_month(F.lit("2020-02-29 23:59:59").cast("timestamp")).alias("floor"),
+    ).first()
+    assert (row["year"], row["month"], row["day"]) == (2020, 1, 1)
+    assert row["date"] == date(2020, 1, 1)
+    assert row["floor"] == datetime(2020, 2, 1)

@@ -1,0 +1,115 @@
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from reviewmart.operators import joins
+from reviewmart.operators.aggregates import item_avg
+
+
+def _bag(df):
+    names = sorted(df.columns)
+    return Counter(tuple(row[name] for name in names) for row in df.collect())
+
+
+@pytest.fixture
+def skewed(spark):
+    """A third of the rows on one key, a third without key, a third spread out; with copies."""
+    kind, number = F.col("id") % 3, (F.col("id") / 3).cast("long")
+    key = F.when(kind == 0, "hot").when(kind == 1, F.concat(F.lit("k"), number % 500))
+    left = spark.range(0, 30_000, 1, 8).select(
+        key.alias("asin"), (number % 100).alias("timestamp"), F.lit(1).alias("x")
+    )
+    names = F.concat(F.lit("k"), F.col("id"))
+    right = spark.range(1000).select(
+        F.when(F.col("id") == 0, "hot").otherwise(names).alias("asin"), F.col("id").alias("v")
+    )
+    twice = right.unionAll(right.where("asin in ('hot', 'k7')"))
+    return left, twice
+
+
+@pytest.mark.parametrize("given", [True, False])
+def test_spread_join_equals_plain_join(spark, skewed, given):
+    left, right = skewed
+    counts = left.groupBy("asin").agg(F.count("*").alias("rows")) if given else None
+    spread = joins.lookup(left, right, "asin", counts, broadcast_bytes=0, fair_rows=1)
+    assert _bag(spread) == _bag(left.join(right, "asin", "left"))
+    assert spread.columns == left.join(right, "asin", "left").columns
+
+
+def test_spread_join_divides_heavy_and_missing_keys(spark, conf, skewed):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    left, right = skewed
+    spread = joins.lookup(left, right, "asin", broadcast_bytes=0, fair_rows=1)
+    held = spread.groupBy("asin", F.spark_partition_id().alias("p")).count()
+    for key in (F.col("asin") == "hot", F.col("asin").isNull()):
+        assert held.where(key).count() >= 4
+        assert held.where(key).agg(F.max("count")).first()[0] < 10_000
+    plain = left.join(right, "asin", "left")
+    assert plain.where("asin = 'hot'").select(F.spark_partition_id()).distinct().count() == 1
+
+
+def test_small_right_side_is_broadcast_and_large_is_not(spark, conf, skewed):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    left, right = skewed
+    assert joins.measured_bytes(right) == 1002 * 64 + sum(len(r[0]) for r in right.collect())
+    small = joins.lookup(left, right, "asin")._jdf.queryExecution().toString()
+    large = joins.lookup(left, right, "asin", broadcast_bytes=10)._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
+    assert "SortMergeJoin" in large
+
+
+def test_nothing_heavy_means_nothing_spread(spark):
+    left = spark.range(100).select(F.col("id").cast("string").alias("asin"), F.col("id").alias("timestamp"))
+    right = left.select("asin", F.col("timestamp").alias("v"))
+    assert joins.lookup(left, right, "asin", broadcast_bytes=0).where("v is null").count() == 0
+    empty = left.limit(0)
+    assert joins.lookup(empty, right, "asin", broadcast_bytes=0).count() == 0
+    assert joins.lookup(left, right.limit(0), "asin", broadcast_bytes=-1).count() == 100
+
+
+def test_unknown_item_keeps_review_with_null_price(reviews, items):
+    joined = joins.reviews_x_price(reviews(("u", "a", "2020-01-01"), ("u", "b", "2020-01-01")), items(("a", 9.0)))
+    assert {r["asin"]: r["price"] for r in joined.collect()} == {"a": 9.0, "b": None}
+
+
+def test_item_listed_twice_doubles_its_reviews(reviews, items):
+    listed = items(("a", 9.0), ("a", 7.0), (None, 1.0))
+    joined = joins.fct_x_items(reviews(("u", "a", "2020-01-01"), ("u", None, "2020-01-01")), listed)
+    assert sorted((r["asin"] or "", r["price"] or 0) for r in joined.collect()) == [
+        ("", 0),
+        ("a", 7.0),
+        ("a", 9.0),
+    ]
+
+
+def test_outside_the_calendar(reviews, time):
+    dated = joins.fct_x_time(
+        reviews(("u", "a", "1994-12-31"), ("u", "a", "1995-01-01"), ("u", "a", "2027-01-01")), time
+    )
+    assert sorted((r["year"], str(r["review_date"]), r["day_name"]) for r in dated.collect()) == [
+        (1994, "None", None),
+        (1995, "1995-01-01", "Sunday"),
+        (2027, "None", None),
+    ]
+
+
+def test_missing_product_has_no_average(reviews):
+    some = reviews(("u", "a", "2020-01-01", 1.0), ("v", "a", "2020-01-02", 4.0), ("w", None, "2020-01-01", 2.0))
+    joined = joins.fct_x_item_avg(some, item_avg(some))
+    assert sorted((r["user_id"], r["avg_rating"]) for r in joined.collect()) == [
+        ("u", 2.5),
+        ("v", 2.5),
+        ("w", None),
+    ]
+
+
+def test_user_attributes(spark, reviews):
+    users = spark.createDataFrame([("u", 2, 5.0)], "user_id string, review_count long, total_spent double")
+    joined = joins.fct_x_users(
+        reviews(("u", "a", "2020-01-01"), ("u", "b", "2020-01-01"), (None, "a", "2020-01-01")), users
+    )
+    assert Counter(r["total_spent"] for r in joined.collect()) == {5.0: 2, None: 1}
