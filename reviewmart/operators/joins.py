@@ -7,6 +7,8 @@ missing keys, are spread over many partitions first.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,15 +71,15 @@ def lookup(
     right: DataFrame,
     key: str,
     counts: DataFrame | None = None,
-    spread_by: str = "timestamp",
+    spread_by: Sequence[str] = ("user_id", "asin", "timestamp"),
     broadcast_bytes: int = BROADCAST_BYTES,
     fair_rows: int = FAIR_ROWS,
 ) -> DataFrame:
     """Left join on ``key``, whatever the size of ``right`` and the skew of ``left``.
 
     ``right`` is measured, so it should be a table or a ``cut``. ``counts`` gives the left
-    rows (``rows``) per ``key`` where they are known already. ``spread_by`` is a left column
-    that varies among the rows of one key.
+    rows (``rows``) per ``key`` where they are known already. ``spread_by`` names columns
+    that vary among the left rows of one key.
     """
     if measured_bytes(right) <= broadcast_bytes:
         return left.join(F.broadcast(right), key, "left")
@@ -107,7 +109,7 @@ def _spread_join(
     right: DataFrame,
     key: str,
     counts: DataFrame,
-    spread_by: str,
+    spread_by: Sequence[str],
     fair_rows: int,
 ) -> DataFrame:
     """Shuffle join in which each heavy key is divided into parts of a fair size.
@@ -126,7 +128,8 @@ def _spread_join(
     listed = cut(counts.where(F.col("rows") > fair).select(key, parts_needed), f"heavy-{key}")
     heavy = F.broadcast(listed)
     parts = F.when(F.col(key).isNull(), width).otherwise(F.coalesce("_parts", F.lit(1)))
-    place = F.xxhash64(spread_by, F.spark_partition_id())
+    varying = [name for name in spread_by if name in left.columns]
+    place = F.xxhash64(*varying, F.spark_partition_id())
     placed = (
         left.join(heavy, key, "left").withColumn("_part", F.pmod(place, parts)).drop("_parts")
     )
