@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmart.functions.keys import review_id_hex
+from reviewmart.functions.keys import review_id, review_id_hex
 from reviewmart.functions.numbers import rating_diff
 from reviewmart.functions.times import review_month
 from reviewmart.operators import aggregates as agg
@@ -86,10 +86,13 @@ def fct_reviews(reviews: DataFrame, items: DataFrame, time: DataFrame) -> DataFr
     per_item = cut(agg.item_ratings(reviews).join(listed, "asin", "left"), "item-context")
     # Listings per product times its reviews: the rows the join below yields for it.
     counts = per_item.groupBy("asin").agg(F.sum("rows").alias("rows"))
-    joined = lookup(fct_x_time(reviews, time), per_item.drop("rows"), "asin", counts)
+    # The review's key is made after the join: it does not compress in a shuffle.
+    dated = fct_x_time(reviews.drop("review_id"), time)
+    joined = lookup(dated, per_item.drop("rows"), "asin", counts)
+    key = review_id(F.col("user_id"), F.col("asin"), F.col("timestamp"))
     return joined.select(
-        "review_id",
-        review_id_hex(F.col("review_id")).alias("review_id_power_bi"),
+        key.alias("review_id"),
+        review_id_hex(key).alias("review_id_power_bi"),
         "user_id",
         "asin",
         "rating",
