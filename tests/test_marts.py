@@ -122,9 +122,9 @@ def test_load_replaces_only_the_months_it_brings(reviews, items, time, tmp_path)
 
 
 def test_a_busy_month_is_split_and_each_file_sorted(spark, conf, reviews, items, time, tmp_path):
-    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB")
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="4KB")
     rows = reviews(*[(f"u{i % 700:03d}", "a", "2020-01-05") for i in range(4000)])
-    spread = rows.unionAll(rows).repartition(8).withColumn("timestamp", F.col("timestamp"))
+    spread = rows.unionAll(rows).repartition(8)
     fact = marts.fct_reviews(spread, items(("a", 1.0)), time)
     writers.load_fact(fact, str(tmp_path / "fact"))
     files = list((tmp_path / "fact").glob("review_month=*/*.parquet"))
