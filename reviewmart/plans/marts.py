@@ -84,8 +84,7 @@ def fct_reviews(reviews: DataFrame, items: DataFrame, time: DataFrame) -> DataFr
     """
     listed = item_columns(items, "price", "category", "store")
     per_item = cut(agg.item_ratings(reviews).join(listed, "asin", "left"), "item-context")
-    # Listings per product times its reviews: the rows the join below yields for it.
-    counts = per_item.groupBy("asin").agg(F.sum("rows").alias("rows"))
+    counts = per_item.groupBy("asin").agg(F.max("rows").alias("rows"))
     # The review's key is made after the join: it does not compress in a shuffle.
     dated = fct_x_time(reviews.drop("review_id"), time)
     joined = lookup(dated, per_item.drop("rows"), "asin", counts)

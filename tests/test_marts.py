@@ -160,3 +160,21 @@ def test_context_stands_for_the_same_reviews_either_way(reviews, items, broadcas
         ("a", 3.0, 4.0, 2),
         (None, None, 2.0, 1),
     }
+
+
+def test_large_summaries_give_the_same_models(spark, monkeypatch):
+    """The shuffled, spread joins against the broadcast ones, over the smallest test tables."""
+    from functools import partial
+
+    from reviewmart.checks.queries import Models, comparable
+
+    def bags():
+        models = Models(spark, "/root/testdata/sf0.001")
+        return [
+            Counter(tuple(row) for row in comparable(df).collect())
+            for df in (models.fct_reviews(), models.dim_users())
+        ]
+
+    small = bags()
+    monkeypatch.setattr(marts, "lookup", partial(marts.lookup, broadcast_bytes=0, fair_rows=1))
+    assert bags() == small
