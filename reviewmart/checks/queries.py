@@ -156,7 +156,7 @@ def fct_insert_overwrite(m: Models) -> DataFrame:
     writers.load_fact(fact, path)
     late = F.col("review_month") >= F.lit("1998-01-01").cast("timestamp")
     writers.load_fact(rows.verified_slicer(fact.where(late), True), path)
-    return writers.read_fact(fact, path)
+    return writers.read_fact(m.spark, path)
 
 
 @_query

@@ -11,15 +11,13 @@ from pyspark.sql import functions as F
 
 from reviewmart.functions.times import review_date
 
-_ONE = 1
 
-
-def verified_purchase_count(flag: Column, weight: Column | int = _ONE) -> Column:
+def verified_purchase_count(flag: Column, weight: Column | int = 1) -> Column:
     """Reviews flagged true; a missing flag does not count."""
     return F.sum(F.when(flag, F.lit(weight)).otherwise(F.lit(0))).cast("long")
 
 
-def review_count(weight: Column | int = _ONE) -> Column:
+def review_count(weight: Column | int = 1) -> Column:
     return F.sum(F.lit(weight)).cast("long")
 
 
@@ -35,7 +33,7 @@ def active_days(ts: Column) -> Column:
     return F.count_distinct(review_date(ts))
 
 
-def avg_days_between_reviews(ts: Column, weight: Column | int = _ONE) -> Column:
+def avg_days_between_reviews(ts: Column, weight: Column | int = 1) -> Column:
     """Days from the first to the last review over the steps between; null for one review."""
     span = F.date_diff(review_date(F.max(ts)), review_date(F.min(ts)))
     steps = review_count(weight) - 1

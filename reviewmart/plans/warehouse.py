@@ -53,7 +53,7 @@ def build(
     )
     fact_path = f"{out.rstrip('/')}/fct_reviews"
     load_fact(fact, fact_path)
-    models["fct_reviews"] = read_fact(fact, fact_path)
+    models["fct_reviews"] = read_fact(spark, fact_path)
 
     models["checks"] = check_keys(models)
     return models

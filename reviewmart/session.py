@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Partitions per core offered to a shuffle before adaptive execution merges the small ones.
-_SHUFFLE_WAVES = 3
+_SHUFFLE_WAVES = 8
 
 
 def apply_conf(spark: SparkSession) -> SparkSession:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reviewmart.functions.keys import review_id, review_id_hex
+from reviewmart.schemas import FCT_REVIEWS
 
 FACT_PARTITION = "review_month"
 FACT_CLUSTER = ("user_id", "asin")
@@ -74,6 +76,6 @@ def load_fact(fact: DataFrame, path: str) -> None:
     )
 
 
-def read_fact(like: DataFrame, path: str) -> DataFrame:
+def read_fact(spark: SparkSession, path: str, schema: StructType = FCT_REVIEWS) -> DataFrame:
     """The loaded fact with its declared column order and types."""
-    return like.sparkSession.read.schema(like.schema).parquet(path).select(like.columns)
+    return spark.read.schema(schema).parquet(path).select(schema.fieldNames())

@@ -1,6 +1,7 @@
 """Every registered query against its SQL counterpart, and the flagship entry point."""
 
 import math
+import re
 from collections import Counter
 
 import duckdb
@@ -41,6 +42,8 @@ def test_query(spark, db, name):
     rows = [tuple(row) for row in got.collect()]
     assert sorted(got.columns) == sorted(columns)
     assert rows
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|Python", plan)
     assert _bag(got.columns, rows) == _bag(columns, want.fetchall())
 
 

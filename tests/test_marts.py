@@ -98,7 +98,7 @@ def test_fact_repeats_reviews_of_items_listed_twice(reviews, items, time):
 
 
 def _loaded(fact, path):
-    rows = writers.read_fact(fact, path).collect()
+    rows = writers.read_fact(fact.sparkSession, path).collect()
     return Counter((r["user_id"], r["review_month"].strftime("%m"), r["rating"]) for r in rows)
 
 
@@ -115,7 +115,7 @@ def test_load_replaces_only_the_months_it_brings(reviews, items, time, tmp_path)
             ("u", "02", 5.0): 2,
             ("u", "03", 5.0): 1,
         }
-    back = writers.read_fact(second, path)
+    back = writers.read_fact(second.sparkSession, path)
     assert back.dtypes == second.dtypes
     plan = back.where("review_month = timestamp '2020-01-01'")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(review_month" in plan
@@ -132,7 +132,7 @@ def test_a_busy_month_is_split_and_each_file_sorted(spark, conf, reviews, items,
     for file in files:
         users = [r[0] for r in spark.read.parquet(str(file)).select("user_id").collect()]
         assert users == sorted(users)
-    assert writers.read_fact(fact, str(tmp_path / "fact")).count() == 8000
+    assert writers.read_fact(spark, str(tmp_path / "fact")).count() == 8000
 
 
 def test_dedup_keeps_one_best_review_per_key(spark, reviews):
