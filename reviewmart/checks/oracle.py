@@ -66,34 +66,39 @@ _BASE = {
         FROM span""",
     "reviews_with_price": """
         SELECT r.*, i.price FROM stg_reviews r LEFT JOIN dim_items i ON r.asin = i.asin""",
+    "user_days": """
+        SELECT user_id, CAST("timestamp" AS DATE) AS review_day, count(*) AS n,
+               count(*) FILTER (verified_purchase) AS verified,
+               min("timestamp") AS earliest, max("timestamp") AS latest, sum(price) AS spent
+        FROM reviews_with_price WHERE user_id IS NOT NULL GROUP BY ALL""",
     "dim_users": """
         SELECT user_id,
-               count(*) FILTER (WHERE verified_purchase) AS verified_purchase_count,
-               count(*) AS review_count,
-               min("timestamp") AS first_review_date,
-               max("timestamp") AS last_review_date,
-               count(DISTINCT CAST("timestamp" AS DATE)) AS active_days,
-               CASE WHEN count(*) > 1
-                    THEN date_diff('day', min(CAST("timestamp" AS DATE)),
-                                   max(CAST("timestamp" AS DATE))) / (count(*) - 1)
-                    END AS avg_days_between_reviews,
-               sum(coalesce(price, 0)) AS total_spent
-        FROM reviews_with_price WHERE user_id IS NOT NULL GROUP BY user_id""",
+               CAST(sum(verified) AS BIGINT) AS verified_purchase_count,
+               CAST(sum(n) AS BIGINT) AS review_count,
+               min(earliest) AS first_review_date,
+               max(latest) AS last_review_date,
+               count(*) AS active_days,
+               (max(review_day) - min(review_day)) / nullif(CAST(sum(n) AS BIGINT) - 1, 0)
+                   AS avg_days_between_reviews,
+               coalesce(sum(spent), 0.0) AS total_spent
+        FROM user_days GROUP BY user_id""",
     "item_avg": """
         SELECT asin, avg(rating) AS avg_rating FROM stg_reviews GROUP BY asin""",
+    "rated_reviews": """
+        SELECT *, CASE WHEN asin IS NOT NULL THEN avg(rating) OVER (PARTITION BY asin) END AS avg_rating,
+               CAST("timestamp" AS DATE) AS written
+        FROM stg_reviews""",
     "fct_reviews": """
-        SELECT r.review_id, r.review_id AS review_id_power_bi, r.user_id, r.asin, r.rating,
-               r.verified_purchase, r.helpful_votes, r."timestamp",
-               CAST(date_trunc('month', r."timestamp") AS TIMESTAMP) AS review_month,
-               i.price, i.category, i.store, a.avg_rating,
-               sign(r.rating - a.avg_rating) * floor(abs(r.rating - a.avg_rating) * 100 + 0.5) / 100
+        SELECT review_id, review_id AS review_id_power_bi, user_id, asin, rating,
+               verified_purchase, helpful_votes, "timestamp",
+               CAST(date_trunc('month', "timestamp") AS TIMESTAMP) AS review_month,
+               i.price, i.category, i.store, avg_rating,
+               sign(rating - avg_rating) * floor(abs(rating - avg_rating) * 100 + 0.5) / 100
                    + 0.0 AS rating_diff_from_avg,
-               d.date_day AS review_date, dayname(d.date_day) AS day_name
-        FROM stg_reviews r
-        LEFT JOIN days d ON CAST(r."timestamp" AS DATE) = d.date_day
-        LEFT JOIN dim_users u ON r.user_id = u.user_id
-        LEFT JOIN dim_items i ON r.asin = i.asin
-        LEFT JOIN item_avg a ON r.asin = a.asin""",
+               CASE WHEN written BETWEEN DATE '1995-01-01' AND DATE '2026-12-31'
+                    THEN written END AS review_date,
+               dayname(review_date) AS day_name
+        FROM rated_reviews LEFT JOIN dim_items i USING (asin)""",
 }
 
 _ROUND = "round({0}, 6) + 0.0 AS {0}"

@@ -64,15 +64,18 @@ def review_context(
     """Reviews with item ``attributes``, as rows that stand for ``n`` reviews alike in ``by``.
 
     For questions over models that are not saved as a fact. If the items can be broadcast,
-    each review is a row. If not, reviews are counted per product before they are joined, so
-    a product with very many reviews meets its item as a few rows.
+    each review is a row. If not, reviews are counted per product, and equal listings of a
+    product are counted too, so that what is joined holds few rows per product.
     """
     listed = item_columns(items, *attributes)
     if measured_bytes(listed) <= broadcast_bytes:
         each = reviews.select("asin", *by, F.lit(1).cast("long").alias("n"))
         return each.join(F.broadcast(listed), "asin", "left")
-    counted = reviews.groupBy("asin", *by).agg(F.count("*").alias("n"))
-    return counted.join(listed, "asin", "left")
+    counted = reviews.groupBy("asin", *by).agg(F.count("*").alias("reviews"))
+    listings = listed.groupBy("asin", *attributes).agg(F.count("*").alias("copies"))
+    joined = counted.join(listings, "asin", "left")
+    rows = F.col("reviews") * F.coalesce("copies", F.lit(1))
+    return joined.withColumn("n", rows).drop("reviews", "copies")
 
 
 def fct_reviews(reviews: DataFrame, items: DataFrame, time: DataFrame) -> DataFrame:

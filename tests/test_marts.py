@@ -152,12 +152,12 @@ def test_context_stands_for_the_same_reviews_either_way(reviews, items, broadcas
         ("u", "a", "2020-01-01", 4.0), ("v", "a", "2020-01-01", 4.0), ("w", None, "2020-01-01", 2.0)
     )
     context = marts.review_context(
-        some, items(("a", 1.0), ("a", 3.0)), ["price"], ["rating"], broadcast_bytes
+        some, items(("a", 1.0), ("a", 3.0), ("a", 3.0)), ["price"], ["rating"], broadcast_bytes
     )
     counted = context.groupBy("asin", "price", "rating").agg(F.sum("n"))
     assert {tuple(r) for r in counted.collect()} == {
         ("a", 1.0, 4.0, 2),
-        ("a", 3.0, 4.0, 2),
+        ("a", 3.0, 4.0, 4),
         (None, None, 2.0, 1),
     }
 
