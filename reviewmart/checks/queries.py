@@ -46,13 +46,13 @@ class Models:
     def dated(self) -> DataFrame:
         return joins.fct_x_time(self.stg_reviews, self.dim_time)
 
-    def context(self, *by: str | Column, attributes: Sequence[str] = ()) -> DataFrame:
-        """Reviews with their calendar day and month and some item attributes, see ``by``."""
+    def context(
+        self, *by: str | Column, attributes: Sequence[str] = (), dated: bool = False
+    ) -> DataFrame:
+        """What a dashboard query needs of the fact: item attributes and the columns ``by``."""
         month = times.review_month(F.col("timestamp"))
-        reviews = self.dated() if {*by} & {"review_date", "day_name"} else self.stg_reviews
-        return marts.review_context(
-            reviews.withColumn("review_month", month), self.dim_items, attributes, by
-        )
+        reviews = (self.dated() if dated else self.stg_reviews).withColumn("review_month", month)
+        return marts.review_context(reviews, self.dim_items, attributes, by)
 
     def fct_reviews(self) -> DataFrame:
         return marts.fct_reviews(self.stg_reviews, self.dim_items, self.dim_time)
@@ -427,7 +427,9 @@ def fct_reviews(m: Models) -> DataFrame:
 
 @_query
 def reviews_by_year(m: Models) -> DataFrame:
-    return dashboard.reviews_by_year(m.context("review_date"))
+    # Any day of a year stands for it, and there are fewer years than days.
+    year = F.trunc("review_date", "year").alias("review_date")
+    return dashboard.reviews_by_year(m.context(year, dated=True))
 
 
 @_query
@@ -454,7 +456,7 @@ def monthly_reviews_price(m: Models) -> DataFrame:
 
 @_query
 def weekday_trend(m: Models) -> DataFrame:
-    return dashboard.weekday_trend(m.context("day_name", "verified_purchase"), verified=True)
+    return dashboard.weekday_trend(m.context("day_name", "verified_purchase", dated=True), verified=True)
 
 
 # --- quality and documented intents ----------------------------------------------------
