@@ -30,7 +30,7 @@ _BASE = {
                     WHEN 4 THEN '$1,' || CAST(p_retailprice AS VARCHAR)
                     WHEN 5 THEN CAST(p_retailprice AS VARCHAR) END AS price,
                CASE WHEN p_size % 5 = 1 THEN '[]'
-                    WHEN p_size % 5 > 1 THEN '[["' || p_type || '","' || p_brand || '"]]'
+                    WHEN p_size % 5 > 1 THEN CAST(to_json([[p_type, p_brand]]) AS VARCHAR)
                     END AS categories,
                p_name AS title,
                p_brand AS store
@@ -261,12 +261,18 @@ _STATEMENTS = {
         FROM stg_reviews r LEFT JOIN item_avg a ON r.asin = a.asin""",
     "item_avg": _replacing("item_avg", "avg_rating"),
     "dim_users": _replacing("dim_users", "avg_days_between_reviews", "total_spent"),
-    "verified_purchase_count": "SELECT user_id, verified_purchase_count FROM dim_users",
-    "review_count": "SELECT user_id, review_count FROM dim_users",
+    "verified_purchase_count": """
+        SELECT user_id, count(*) FILTER (verified_purchase) AS verified_purchase_count
+        FROM stg_reviews WHERE user_id IS NOT NULL GROUP BY user_id""",
+    "review_count": """
+        SELECT user_id, count(*) AS review_count
+        FROM stg_reviews WHERE user_id IS NOT NULL GROUP BY user_id""",
     "first_last_review_date": "SELECT user_id, first_review_date, last_review_date FROM dim_users",
     "active_days": "SELECT user_id, active_days FROM dim_users",
-    "avg_days_between_reviews": f"""
-        SELECT user_id, {_rounded("avg_days_between_reviews")} FROM dim_users""",
+    "avg_days_between_reviews": """
+        SELECT user_id, round((CAST(max("timestamp") AS DATE) - CAST(min("timestamp") AS DATE))
+                              / nullif(count(*) - 1, 0), 6) + 0.0 AS avg_days_between_reviews
+        FROM stg_reviews WHERE user_id IS NOT NULL GROUP BY user_id""",
     "total_spent": f"SELECT user_id, {_rounded('total_spent')} FROM dim_users",
     "row_count": "SELECT count(*) AS row_count FROM staged_reviews",
     "distinct_values": "SELECT DISTINCT main_category, store FROM raw_items",
@@ -326,7 +332,7 @@ _STATEMENTS = {
         SELECT CASE WHEN title <> 'F' THEN asin END AS asin,
                CASE WHEN title <> 'F' THEN user_id END AS user_id,
                CASE WHEN title <> 'F' THEN "timestamp" END AS "timestamp",
-               CASE WHEN title = 'F' THEN '{' || asin END AS line
+               CASE WHEN title = 'F' THEN '{' || coalesce(asin, '') END AS line
         FROM raw_reviews""",
     "holiday_flag": f"""
         SELECT {_TIME_COLUMNS}, h.name AS holiday_name, h.name IS NOT NULL AS is_holiday

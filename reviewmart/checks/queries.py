@@ -525,7 +525,8 @@ def quarantine_corrupt(m: Models) -> DataFrame:
     """Lines of one status are cut short before they are read back and split."""
     path = m.path("raw-damaged")
     line = F.to_json(F.struct(*m.raw_reviews.columns))
-    damaged = F.when(F.col("title") == "F", F.concat(F.lit("{"), F.col("asin"))).otherwise(line)
+    cut_short = F.concat(F.lit("{"), F.coalesce("asin", F.lit("")))
+    damaged = F.when(F.col("title") == "F", cut_short).otherwise(line)
     m.raw_reviews.select(damaged.alias("value")).write.option("compression", "gzip").text(path)
     good, bad = readers.split_corrupt(m.spark, path, schemas.RAW_REVIEW)
     kept = good.select("asin", "user_id", "timestamp", F.lit(None).cast("string").alias("line"))
