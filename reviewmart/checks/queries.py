@@ -456,7 +456,8 @@ def monthly_reviews_price(m: Models) -> DataFrame:
 
 @_query
 def weekday_trend(m: Models) -> DataFrame:
-    return dashboard.weekday_trend(m.context("day_name", "verified_purchase", dated=True), verified=True)
+    context = m.context("day_name", "verified_purchase", dated=True)
+    return dashboard.weekday_trend(context, verified=True)
 
 
 # --- quality and documented intents ----------------------------------------------------
@@ -530,11 +531,7 @@ def quarantine_corrupt(m: Models) -> DataFrame:
     m.raw_reviews.select(damaged.alias("value")).write.option("compression", "gzip").text(path)
     good, bad = readers.split_corrupt(m.spark, path, schemas.RAW_REVIEW)
     kept = good.select("asin", "user_id", "timestamp", F.lit(None).cast("string").alias("line"))
-    nothing = F.lit(None).cast("string")
-    out = bad.select(
-        nothing.alias("asin"), nothing.alias("user_id"), nothing.cast("long").alias("timestamp"), "line"
-    )
-    return kept.unionAll(out)
+    return kept.unionByName(bad.select("line"), allowMissingColumns=True)
 
 
 @_query

@@ -47,7 +47,8 @@ def dim_time(days: DataFrame) -> DataFrame:
 
 
 def holiday_flag(time: DataFrame, holidays: DataFrame) -> DataFrame:
-    """Mark the days listed in ``holidays`` (``date``, ``name``); a day listed twice stays one row."""
-    named = holidays.groupBy(F.col("date").alias("date_day")).agg(F.min("name").alias("holiday_name"))
+    """Mark the days listed in ``holidays`` (``date``, ``name``); one listed twice stays one row."""
+    day = F.col("date").alias("date_day")
+    named = holidays.groupBy(day).agg(F.min("name").alias("holiday_name"))
     marked = time.join(named, "date_day", "left")
     return marked.withColumn("is_holiday", F.col("holiday_name").isNotNull())

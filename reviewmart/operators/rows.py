@@ -15,7 +15,7 @@ def select_columns(df: DataFrame, *names: str) -> DataFrame:
 
 
 def rename_keys(df: DataFrame) -> DataFrame:
-    """``parent_asin`` becomes ``asin`` (replacing the variant code), ``main_category`` ``category``."""
+    """``parent_asin`` becomes ``asin``, replacing the variant's; ``main_category`` ``category``."""
     present = {old: new for old, new in RENAMES.items() if old in df.columns}
     return df.drop(*present.values()).withColumnsRenamed(present)
 
