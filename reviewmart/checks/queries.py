@@ -7,7 +7,7 @@ places, so that two engines can be compared value by value.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,18 +27,43 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Models:
-    """The models over one set of test tables, each a lazy DataFrame."""
+    """The models over one set of test tables, each a lazy DataFrame made on first use."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = apply_conf(spark)
-        self.raw_reviews = tables.raw_reviews(spark, sf_dir)
-        self.raw_items = tables.raw_items(spark, sf_dir)
-        self.staged_reviews = staging.stage_reviews(self.raw_reviews)
-        self.staged_items = staging.stage_items(self.raw_items)
-        self.stg_reviews = staging.stg_reviews(self.staged_reviews)
-        self.stg_items = staging.stg_items(self.staged_items)
-        self.dim_items = marts.dim_items(self.stg_items)
-        self.dim_time = cal.dim_time(cal.calendar(spark))
+        self.sf_dir = sf_dir
+
+    @cached_property
+    def raw_reviews(self) -> DataFrame:
+        return tables.raw_reviews(self.spark, self.sf_dir)
+
+    @cached_property
+    def raw_items(self) -> DataFrame:
+        return tables.raw_items(self.spark, self.sf_dir)
+
+    @cached_property
+    def staged_reviews(self) -> DataFrame:
+        return staging.stage_reviews(self.raw_reviews)
+
+    @cached_property
+    def staged_items(self) -> DataFrame:
+        return staging.stage_items(self.raw_items)
+
+    @cached_property
+    def stg_reviews(self) -> DataFrame:
+        return staging.stg_reviews(self.staged_reviews)
+
+    @cached_property
+    def stg_items(self) -> DataFrame:
+        return staging.stg_items(self.staged_items)
+
+    @cached_property
+    def dim_items(self) -> DataFrame:
+        return marts.dim_items(self.stg_items)
+
+    @cached_property
+    def dim_time(self) -> DataFrame:
+        return cal.dim_time(cal.calendar(self.spark))
 
     def dim_users(self) -> DataFrame:
         return marts.dim_users(self.stg_reviews, self.dim_items)
