@@ -8,9 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from reviewmart.checks import oracle
+from reviewmart.checks import queries as registered
 
 SF = "/root/testdata/sf0.001"
-QUERIES, STATEMENTS = contract.queries(), contract.oracle_sql()
+QUERIES, STATEMENTS = registered.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +34,8 @@ def _bag(names, rows):
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(STATEMENTS)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
