@@ -7,12 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmart.llm import quality_rules, secret_scan
+from reviewmart.llm import mixing, pii, quality_rules, secret_scan
 from reviewmart.llm import spans as S
 from reviewmart.llm.common import documents
 from reviewmart.workspace import cut
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.sanitise(documents(spark, sf_dir).select("doc_id", "text"))
+    spans, kinds = F.col("spans"), pii.KINDS
+    base = F.filter(spans, lambda s: s["kind"] != "term")
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        *(S.count_kind(spans, kind).alias(f"n_{kind}") for kind in kinds[:4]),
+        F.sha2(S.listed(base, kinds, by_start=False), 256).alias("base_sha256"),
+        S.listed(spans, kinds, by_start=False).alias("spans"),
+        S.count_kind(spans, "term").alias("n_term"),
+    )
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source"))
+    return mixed.select(
+        "doc.doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.col("copies")).cast("long").alias("taken"),
+    )
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text", "source", "lang"))
     secrets, kinds = F.col("secrets"), secret_scan.KINDS
@@ -44,4 +68,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_secrets, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_pii, op7_mixing, op8_secrets, op10_quality_rules)}
