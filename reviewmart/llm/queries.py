@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmart.llm import mixing, pii, quality_rules, secret_scan
+from reviewmart.llm import mixing, pii, quality_rules, secret_scan, simhash
 from reviewmart.llm import spans as S
 from reviewmart.llm.common import documents
 from reviewmart.workspace import cut
 
+SIMHASH_SHINGLE = 3
+SIMHASH_BITS = 3
+
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.sanitise(documents(spark, sf_dir).select("doc_id", "text"))
@@ -26,6 +29,23 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    marked = cut(
+        docs.select(
+            F.col("doc_id").alias("id"),
+            simhash.fingerprint(F.col("text"), SIMHASH_SHINGLE).alias("fingerprint"),
+        ),
+        "simhash",
+    )
+    groups = simhash.classes(marked, SIMHASH_BITS)
+    return marked.join(groups, "fingerprint").select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source"))
     return mixed.select(
@@ -68,4 +88,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op7_mixing, op8_secrets, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_pii, op5_simhash, op7_mixing, op8_secrets, op10_quality_rules)}
