@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmart.llm import mixing, pii, quality_rules, secret_scan, simhash
+from reviewmart.llm import bpe, mixing, pii, quality_rules, secret_scan, simhash, token_files
 from reviewmart.llm import spans as S
 from reviewmart.llm.common import documents
-from reviewmart.workspace import cut
+from reviewmart.workspace import cut, fresh_path
 
 SIMHASH_SHINGLE = 3
 SIMHASH_BITS = 3
@@ -29,6 +30,13 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-files")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write(documents(spark, sf_dir).select("doc_id", "text"), path, vocabulary, end=2)
+    return token_files.read(spark, path, with_ids=False)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     marked = cut(
@@ -70,6 +78,13 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return documents(spark, sf_dir).select(
+        "doc_id", bpe.encoded(F.col("text"), vocabulary).alias("encoded")
+    ).select("doc_id", "encoded.*")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     measured = cut(
@@ -88,4 +103,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op5_simhash, op7_mixing, op8_secrets, op10_quality_rules)}
+    every = (
+        op1_pii,
+        op3_token_files,
+        op5_simhash,
+        op7_mixing,
+        op8_secrets,
+        op9_bpe,
+        op10_quality_rules,
+    )
+    return {query.__name__: query for query in every}
