@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 
 def units(rows: DataFrame, block: list[str], member: str, most: int) -> DataFrame:
-    """Give each row the units it is compared in, as the long column ``unit``.
+    """Give each row the units it is compared in, as the long column ``unit``, with its ``piece`` of
+    the block and whether the unit is that piece's ``own``, without another.
 
     A block of up to ``most`` rows is one unit. A larger one is cut into pieces of about that
     size, with a unit for each pair of pieces, so that any two rows of a block still meet. Blocks
@@ -28,6 +29,7 @@ def units(rows: DataFrame, block: list[str], member: str, most: int) -> DataFram
         .withColumn(
             "unit", F.xxhash64(*block, F.least("piece", "other"), F.greatest("piece", "other"))
         )
+        .withColumn("own", F.col("piece") == F.col("other"))
         .drop("block_rows", "other")
     )
 

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmart.llm import bpe, mixing, pii, quality_rules, secret_scan, simhash, token_files
+from reviewmart.llm import (
+    bpe,
+    embedding_dedup,
+    mixing,
+    pii,
+    quality_rules,
+    secret_scan,
+    sharding,
+    simhash,
+    token_files,
+    toxicity,
+)
 from reviewmart.llm import spans as S
 from reviewmart.llm.common import documents
 from reviewmart.workspace import cut, fresh_path
@@ -30,6 +41,19 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = sharding.shard(documents(spark, sf_dir), shards=40)
+    return sharded.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        "size",
+        F.crc32(F.coalesce("doc.text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +61,14 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path, with_ids=False)
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = embedding_dedup.link(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    vec_id = F.col("doc.vec_id")
+    return linked.select(
+        vec_id.alias("vec_id"), "n_links", "component_id", (vec_id == F.col("component_id")).alias("kept")
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     marked = cut(
@@ -54,6 +86,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.select("doc_id", toxicity.graded(F.col("text"), model).alias("graded")).select(
+        "doc_id", "graded.*"
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source"))
     return mixed.select(
@@ -105,8 +145,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_pii,
+        op2_sharding,
         op3_token_files,
+        op4_embedding_dedup,
         op5_simhash,
+        op6_toxicity,
         op7_mixing,
         op8_secrets,
         op9_bpe,
