@@ -19,6 +19,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column
@@ -149,10 +150,10 @@ def ids_of(text: Column, path: str) -> Column:
 
     @F.pandas_udf("array<int>")
     def arrays(texts: pd.Series) -> pd.Series:
-        import numpy as np
-
         encode = encoder(path).encode
-        return pd.Series([np.array(encode(t)[0].split(), dtype="int32") for t in texts])
+        joined = [encode(t)[0] for t in texts]
+        none = np.empty(0, np.int32)
+        return pd.Series([np.fromstring(ids, np.int32, sep=" ") if ids else none for ids in joined])
 
     return arrays(text)
 
