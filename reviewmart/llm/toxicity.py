@@ -1,7 +1,7 @@
 """Toxicity grades by cumulative-link ordinal regression over sparse text features.
 
-Features are words and the beginnings of words, found worth having by their document counts among
-labelled texts. The model has one weight per feature, shared by all grades, and an ordered
+Features are words and the beginnings of words that are commoner in toxic texts, found by their
+document counts among labelled texts; a text without any is as mild as can be. The model has one weight per feature, shared by all grades, and an ordered
 threshold below each grade: P(grade > k) = sigmoid(w x - t_k). Labels say only whether a text is
 toxic; a toxic text's grade, 1 to 3, follows from how much of it is made of words that occur in
 toxic texts alone, by thirds of the labelled toxic texts.
@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewmart.llm.common import text_of
 from reviewmart.workspace import cut
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -84,8 +85,10 @@ def labelled_sample(
     ]
     # The sample's size is bounded by the parameter.
     few = F.broadcast(cut(chosen[0].unionByName(chosen[1]), "toxicity-labels"))
-    texts = docs.join(few, docs[key] == F.col("label_of")).select(
-        F.coalesce(docs[text_col], F.lit("")).alias("text"), "toxic"
+    texts = (
+        docs.select(docs[f"`{key}`"].alias("key"), text_of(docs, text_col).alias("text"))
+        .join(few, F.col("key") == F.col("label_of"))
+        .select("text", "toxic")
     )
     return cut(texts.dropDuplicates(["text"]), "toxicity-sample")
 
@@ -142,8 +145,8 @@ def fit(
         _counted(sample)
         .where(F.col("toxic_texts") + F.col("clean_texts") >= least_texts)
         .withColumn("score", odds / spread)
-        .where(F.abs("score") > 2)
-        .orderBy(F.abs("score").desc(), "feature")
+        .where(F.col("score") > 2)
+        .orderBy(F.col("score").desc(), "feature")
         .limit(most_features)
         .collect()
     )
@@ -151,7 +154,7 @@ def fit(
     marks = {
         row["feature"]
         for row in chosen
-        if row["toxic_texts"] / n_toxic > 20 * row["clean_texts"] / n_clean and row["score"] > 0
+        if row["toxic_texts"] / n_toxic > 20 * row["clean_texts"] / n_clean
     }
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
