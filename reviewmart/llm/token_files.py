@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -25,12 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Chunks kept per worker process; beyond it the table starts anew, with the same results.
-_KEPT_CHUNKS = 900_000
+# Chunks kept per worker process in each of two tables; a full one starts anew, with the same results.
+_KEPT_CHUNKS = 800_000
 _BLOCK_BYTES = 1 << 20
 _BLOCK_DOCUMENTS = 4096
 _LEVEL = 1
-_ODD = b"odd"
 
 BLOCKS = (
     "part int, block int, start long, dictionary string, width int, first_id long, last_id long, "
@@ -38,12 +38,64 @@ BLOCKS = (
 )
 
 
+class _Odd(Exception):
+    """A chunk whose ids depend on what stands around it."""
+
+
+class _Chunks(dict):
+    """Serialized ids of what stands between blanks, each encoded when first asked for.
+
+    Most chunks are a word of letters, perhaps with a mark after it. Such a word is one piece for
+    the model, and the mark is another; all else goes through the tokenizer as it is.
+    """
+
+    def __init__(self, tokenizer: object, lead: str, code: str, special: list[str]) -> None:
+        self.tokenizer, self.lead, self.code, self.special = tokenizer, lead, code, special
+        self.model = tokenizer.model.tokenize
+        self.marks = {mark: self.whole(mark) for mark in ".,;:!?"}
+
+    def whole(self, text: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= _KEPT_CHUNKS:
+            self.clear()
+        if _is_word(chunk):
+            piece = (self.lead + chunk).encode().decode("latin1").translate(_BYTE_NAMES)
+            found = array(self.code, [token.id for token in self.model(piece)]).tobytes()
+        elif not chunk or chunk[0].isspace() or chunk[-1].isspace():
+            raise _Odd
+        elif chunk[-1] in self.marks and _is_word(chunk[:-1]):
+            found = self[chunk[:-1]] + self.marks[chunk[-1]]
+        elif any(special in chunk for special in self.special):
+            raise _Odd
+        else:
+            found = self.whole(self.lead + chunk)
+        self[chunk] = found
+        return found
+
+
+def _is_word(chunk: str) -> bool:
+    """Only letters that have long been letters in every edition of Unicode."""
+    return chunk.isalpha() and (chunk.isascii() or max(chunk) < "\u0500")
+
+
+def _byte_names() -> dict[int, str]:
+    """The printable character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return {byte: chr(byte if byte in shown else next(others)) for byte in range(256)}
+
+
+_BYTE_NAMES = _byte_names()
+
+
 class Serializer:
     """Texts to serialized ids, by the tokenizers library.
 
-    What stands between blanks is encoded once and kept. A blank between two other characters
-    always begins a new word of this vocabulary; texts where white space meets white space or a
-    special token occurs are encoded whole.
+    A single blank or line break between two other characters always begins a new word of this
+    vocabulary, so what stands between them is encoded once and kept. Texts where white space
+    meets white space, or that hold a special token, are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -53,42 +105,24 @@ class Serializer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.kept: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        encodings = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in encodings]
-
-    def _is_odd(self, chunk: str) -> bool:
-        return (
-            not chunk
-            or chunk[0].isspace()
-            or chunk[-1].isspace()
-            or any(special in chunk for special in self.special)
-        )
-
-    def serialize(self, texts: list[str]) -> list[bytes]:
-        chunked = [text.split(" ") for text in texts]
-        if len(self.kept) > _KEPT_CHUNKS:
-            self.kept.clear()
-        kept = self.kept
-        found = [list(map(kept.get, chunks)) for chunks in chunked]
-        short = [i for i, parts in enumerate(found) if None in parts]
-        fresh = list({c for i in short for c, part in zip(chunked[i], found[i]) if part is None})
-        plain = [chunk for chunk in fresh if not self._is_odd(chunk)]
-        kept.update(zip(plain, self._encode([" " + chunk for chunk in plain])))
-        kept.update((chunk, _ODD) for chunk in fresh if self._is_odd(chunk))
-        for i in short:
-            found[i] = list(map(kept.__getitem__, chunked[i]))
-        heads = self._encode([chunks[0] for chunks in chunked])
-        odd = [i for i, parts in enumerate(found) if _ODD in parts]
-        whole = dict(zip(odd, self._encode([texts[i] for i in odd])))
-        return [
-            whole[i] if i in whole else b"".join([head, *parts[1:]])
-            for i, (head, parts) in enumerate(zip(heads, found))
-        ]
+        code = "H" if self.width == 2 else "I"
+        self.after_blank = _Chunks(self.tokenizer, " ", code, special)
+        self.bare = _Chunks(self.tokenizer, "", code, special)
+        self.line_break = self.bare.whole("\n")
+
+    def serialize(self, text: str) -> bytes:
+        if not text:
+            return b""
+        after_blank, bare, parts = self.after_blank.__getitem__, self.bare.__getitem__, []
+        try:
+            for line in text.split("\n"):
+                chunks = line.split(" ")
+                parts.append(bare(chunks[0]) + b"".join(map(after_blank, chunks[1:])))
+            return self.line_break.join(parts)
+        except _Odd:
+            return self.bare.whole(text)
 
 
 @lru_cache(maxsize=2)
@@ -107,16 +141,14 @@ def train_dictionary(docs: DataFrame, vocabulary: str, samples: int, size: int)
     The texts are those with the smallest hashes, wherever they are. Where there is too little to
     train on, the serialized ids themselves serve; with no texts at all there is no dictionary.
     """
-    text = F.coalesce("text", F.lit(""))
-    rows = (
-        docs.where(F.length(text).between(1, 16384))
-        .select(text.alias("text"))
-        .distinct()
-        .orderBy(F.xxhash64("text"), "text")
-        .limit(samples)
-        .collect()
+    some = docs.where(F.length("text").between(1, 16384)).select(
+        "text", F.xxhash64("text").alias("hash")
     )
-    arrays = serializer(vocabulary).serialize([row["text"] for row in rows])
+    lowest = some.select("hash").orderBy("hash").limit(samples)
+    last = lowest.agg(F.max("hash")).first()[0]
+    rows = some.where(F.col("hash") <= last).groupBy("hash").agg(F.first("text").alias("text"))
+    encode = serializer(vocabulary).serialize
+    arrays = [encode(row["text"]) for row in rows.orderBy("hash").limit(samples).collect()]
     try:
         return zstandard.train_dictionary(size, arrays).as_bytes()
     except zstandard.ZstdError:
@@ -156,16 +188,15 @@ def _write_blocks(
     for batch in batches:
         for begin in range(0, batch.num_rows, 128):
             some = batch.slice(begin, 128)
-            arrays = tokens_of.serialize([t or "" for t in some.column("text").to_pylist()])
-            for doc_id, array in zip(some.column("id").to_pylist(), arrays, strict=True):
-                array += tail
-                frame = compress(array)
+            for doc_id, text in zip(*(c.to_pylist() for c in some.columns), strict=True):
+                serialized = tokens_of.serialize(text or "") + tail
+                frame = compress(serialized)
                 if ids and (size + len(frame) > _BLOCK_BYTES or len(ids) >= _BLOCK_DOCUMENTS):
                     yield full()
                     block, start, size = block + 1, start + sum(tokens), 0
                     ids, tokens, frames = [], [], []
                 ids.append(doc_id)
-                tokens.append(len(array) // width)
+                tokens.append(len(serialized) // width)
                 frames.append(frame)
                 size += len(frame)
     if ids:
@@ -231,11 +262,11 @@ def _frames(batch: pa.RecordBatch, data: bytes) -> Iterator[tuple[int, int | Non
             raise ValueError("a block was written with another dictionary")
         start, payload, offsets = row["start"], memoryview(row["payload"]), row["offsets"]
         for i, doc_id in enumerate(row["ids"]):
-            array = np.frombuffer(
+            ids = np.frombuffer(
                 decompress(payload[offsets[i] : offsets[i + 1]]), f"<u{row['width']}"
             )
-            yield at, doc_id, start, array.astype("<u4")
-            start += len(array)
+            yield at, doc_id, start, ids.astype("<u4")
+            start += len(ids)
 
 
 def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
