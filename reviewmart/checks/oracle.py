@@ -64,13 +64,15 @@ _BASE = {
     "review_days": """
         SELECT CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE) AS date_day
         FROM span""",
-    "reviews_with_price": """
-        SELECT r.*, i.price FROM stg_reviews r LEFT JOIN dim_items i ON r.asin = i.asin""",
+    "listings": """
+        SELECT asin, count(*) AS copies, coalesce(sum(price), 0) AS price_sum
+        FROM dim_items WHERE asin IS NOT NULL GROUP BY asin""",
     "user_days": """
-        SELECT user_id, CAST("timestamp" AS DATE) AS review_day, count(*) AS n,
-               count(*) FILTER (verified_purchase) AS verified,
-               min("timestamp") AS earliest, max("timestamp") AS latest, sum(price) AS spent
-        FROM reviews_with_price WHERE user_id IS NOT NULL GROUP BY ALL""",
+        SELECT user_id, CAST("timestamp" AS DATE) AS review_day,
+               sum(coalesce(copies, 1)) AS n,
+               coalesce(sum(coalesce(copies, 1)) FILTER (verified_purchase), 0) AS verified,
+               min("timestamp") AS earliest, max("timestamp") AS latest, sum(price_sum) AS spent
+        FROM stg_reviews LEFT JOIN listings USING (asin) WHERE user_id IS NOT NULL GROUP BY ALL""",
     "dim_users": """
         SELECT user_id,
                CAST(sum(verified) AS BIGINT) AS verified_purchase_count,
@@ -101,7 +103,8 @@ _BASE = {
         FROM rated_reviews LEFT JOIN dim_items i USING (asin)""",
 }
 
-_ROUND = "round({0}, 6) + 0.0 AS {0}"
+# The shift is the one in ``queries.comparable``.
+_ROUND = "round({0} + 1e-9, 6) + 0.0 AS {0}"
 
 
 def _rounded(*names: str) -> str:
@@ -158,6 +161,9 @@ _CONTRACT = {
     "dim_users": """user_id string, verified_purchase_count bigint, review_count bigint,
         first_review_date timestamp, last_review_date timestamp, active_days bigint,
         avg_days_between_reviews double, total_spent double""",
+    "dim_time": """date_day date, year bigint, month bigint, day bigint, quarter bigint,
+        day_name string, month_name string, week_of_year bigint, day_of_week bigint,
+        is_weekend boolean""",
     "fct_reviews": """review_id binary, review_id_power_bi string, user_id string, asin string,
         rating double, verified_purchase boolean, helpful_votes bigint, timestamp timestamp,
         review_month timestamp, price double, category string, store string, avg_rating double,
@@ -169,8 +175,12 @@ def _contract(model: str) -> str:
     pairs = [column.split() for column in _CONTRACT[model].split(",")]
     values = ", ".join(f"('{name}', '{kind}')" for name, kind in pairs)
     return f"""SELECT '{model}' AS model, c.name AS column_name, c.kind AS expected_type,
-        c.kind AS actual_type, true AS ok, (SELECT count(*) FROM {model}) AS row_count
-        FROM (VALUES {values}) c(name, kind)"""
+        c.kind AS actual_type, true AS ok FROM (VALUES {values}) c(name, kind)"""
+
+
+def _model_rows(model: str) -> str:
+    table = "review_days" if model == "dim_time" else model
+    return f"SELECT '{model}' AS model, count(*) AS row_count FROM {table}"
 
 
 def _profile(table: str, columns: dict[str, str]) -> str:
@@ -194,8 +204,8 @@ _STATEMENTS = {
     "materialize_table": "SELECT * FROM dim_items",
     "fct_insert_overwrite": f"""
         {_replacing("fct_reviews", "avg_rating", "rating_diff_from_avg", "price")}
-        WHERE review_month < TIMESTAMP '1998-01-01' OR verified_purchase
-           OR review_month NOT IN (SELECT review_month FROM fct_reviews WHERE verified_purchase)""",
+        QUALIFY review_month < TIMESTAMP '1998-01-01' OR verified_purchase
+             OR NOT coalesce(bool_or(verified_purchase) OVER (PARTITION BY review_month), false)""",
     "cluster_layout": """
         SELECT r.*, i.price, i.category, i.store,
                CAST(date_trunc('month', r."timestamp") AS TIMESTAMP) AS review_month,
@@ -245,7 +255,8 @@ _STATEMENTS = {
     "category_distinct": "SELECT DISTINCT main_category FROM raw_items WHERE main_category = 'ECONOMY'",
     "has_categories": "SELECT * FROM raw_items WHERE categories IS NOT NULL AND categories <> '[]'",
     "verified_slicer": "SELECT * FROM stg_reviews WHERE NOT verified_purchase",
-    "reviews_x_price": "SELECT * FROM reviews_with_price",
+    "reviews_x_price": """
+        SELECT r.*, i.price FROM stg_reviews r LEFT JOIN dim_items i ON r.asin = i.asin""",
     "fct_x_time": """
         SELECT r.*, d.date_day AS review_date, dayname(d.date_day) AS day_name
         FROM stg_reviews r LEFT JOIN days d ON CAST(r."timestamp" AS DATE) = d.date_day""",
@@ -271,7 +282,7 @@ _STATEMENTS = {
     "active_days": "SELECT user_id, active_days FROM dim_users",
     "avg_days_between_reviews": """
         SELECT user_id, round((CAST(max("timestamp") AS DATE) - CAST(min("timestamp") AS DATE))
-                              / nullif(count(*) - 1, 0), 6) + 0.0 AS avg_days_between_reviews
+                              / nullif(count(*) - 1, 0) + 1e-9, 6) + 0.0 AS avg_days_between_reviews
         FROM stg_reviews WHERE user_id IS NOT NULL GROUP BY user_id""",
     "total_spent": f"SELECT user_id, {_rounded('total_spent')} FROM dim_users",
     "row_count": "SELECT count(*) AS row_count FROM staged_reviews",
@@ -283,26 +294,34 @@ _STATEMENTS = {
         SELECT year(review_date) AS "year", count(*) AS review_count
         FROM fct_reviews GROUP BY 1""",
     "category_rating_trend": """
-        SELECT category, review_month, round(avg(rating), 6) + 0.0 AS avg_rating
+        SELECT category, review_month, round(avg(rating) + 1e-9, 6) + 0.0 AS avg_rating
         FROM fct_reviews GROUP BY category, review_month""",
     "category_share": """
         SELECT category, count(*) AS review_count,
-               round(count(*) / (SELECT count(*) FROM fct_reviews), 6) + 0.0 AS "share"
+               round(count(*) / (SELECT count(*) FROM fct_reviews) + 1e-9, 6) + 0.0 AS "share"
         FROM fct_reviews GROUP BY category""",
     "top10_users": f"""
         SELECT user_id, review_count, {_rounded("total_spent")} FROM dim_users
         ORDER BY dim_users.review_count DESC, user_id LIMIT 10""",
     "monthly_reviews_price": """
         SELECT month(review_month) AS "month", count(*) AS review_count,
-               round(avg(price), 6) + 0.0 AS avg_price
+               round(avg(price) + 1e-9, 6) + 0.0 AS avg_price
+        FROM fct_reviews GROUP BY 1""",
+    "calendar_month_reviews_price": """
+        SELECT review_month, count(*) AS review_count, round(avg(price) + 1e-9, 6) + 0.0 AS avg_price
         FROM fct_reviews GROUP BY 1""",
-    "weekday_trend": """
+    "weekday_trend": "SELECT day_name, count(*) AS review_count FROM fct_reviews GROUP BY day_name",
+    "weekday_trend_verified": """
         SELECT day_name, count(*) AS review_count FROM fct_reviews
         WHERE verified_purchase GROUP BY day_name""",
+    "loaded_weekday_trend": """
+        SELECT day_name, count(*) AS review_count FROM fct_reviews
+        WHERE NOT verified_purchase GROUP BY day_name""",
     "check_not_null": _union([_not_null(*key) for key in _KEYS + _REVIEW_KEYS]),
     "check_unique": _union([_unique(*key) for key in _KEYS + _REVIEW_KEYS]),
     "check_keys": _union([check(*key) for key in _KEYS for check in (_not_null, _unique)]),
     "schema_contract": _union([_contract(model) for model in _CONTRACT]),
+    "model_rows": _union([_model_rows(model) for model in _CONTRACT]),
     "profile": _profile(
         "staged_reviews",
         {
@@ -334,6 +353,15 @@ _STATEMENTS = {
                CASE WHEN title <> 'F' THEN "timestamp" END AS "timestamp",
                CASE WHEN title = 'F' THEN '{' || coalesce(asin, '') END AS line
         FROM raw_reviews""",
+    "quarantine_items": """
+        SELECT CASE WHEN average_rating >= 4 THEN categories END AS categories,
+               * EXCLUDE (categories), 'kept' AS reason
+        FROM raw_items WHERE store <> 'Brand#11'
+        UNION ALL BY NAME
+        SELECT parent_asin, 'mistyped' AS reason FROM raw_items
+        WHERE store <> 'Brand#11' AND average_rating < 4 AND categories <> '[]'
+        UNION ALL BY NAME
+        SELECT 'unparseable' AS reason FROM raw_items WHERE store = 'Brand#11'""",
     "holiday_flag": f"""
         SELECT {_TIME_COLUMNS}, h.name AS holiday_name, h.name IS NOT NULL AS is_holiday
         FROM review_days
@@ -347,6 +375,23 @@ _STATEMENTS = {
 }
 
 
+# Other ways to the same answers: shuffled instead of broadcast, over the loaded fact.
+_SAME = {
+    "reviews_x_price_shuffled": "reviews_x_price",
+    "fct_x_users_shuffled": "fct_x_users",
+    "fct_x_items_shuffled": "fct_x_items",
+    "fct_x_item_avg_shuffled": "fct_x_item_avg",
+    "dim_users_shuffled": "dim_users",
+    "fct_reviews_shuffled": "fct_reviews",
+    "monthly_reviews_price_shuffled": "monthly_reviews_price",
+    "loaded_reviews_by_year": "reviews_by_year",
+    "loaded_category_rating_trend": "category_rating_trend",
+    "loaded_category_share": "category_share",
+    "loaded_monthly_reviews_price": "calendar_month_reviews_price",
+}
+_STATEMENTS |= {name: _STATEMENTS[same] for name, same in _SAME.items()}
+
+
 def _needed(sql: str, found: dict[str, str]) -> dict[str, str]:
     """The named subqueries ``sql`` refers to, those they need themselves first."""
     for name, body in _BASE.items():
@@ -360,5 +405,5 @@ def oracle_sql() -> dict[str, str]:
     statements = {}
     for key, sql in _STATEMENTS.items():
         parts = ",\n".join(f"{name} AS ({body})" for name, body in _needed(sql, {}).items())
-        statements[key] = f"WITH {parts}\n{sql}"
+        statements[key] = f"WITH {parts}\n{sql}" if parts else sql
     return statements

@@ -23,8 +23,15 @@ from reviewmart.session import apply_conf
 from reviewmart.sources import readers, writers
 from reviewmart.workspace import cut, fresh_path
 
+# Sums of doubles differ in their last bits by the order of addition. A value halfway between two
+# roundings is shifted off the middle by more than that, so that both engines round it alike.
+_SHIFT = 1e-9
+
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Limits under which every right side is shuffled and almost every key is spread, as large ones are.
+SHUFFLED = joins.JoinLimits(broadcast_bytes=-1, fair_rows=1)
+
 
 class Models:
     """The models over one set of test tables, each a lazy DataFrame made on first use."""
@@ -61,26 +68,41 @@ class Models:
     def dim_items(self) -> DataFrame:
         return marts.dim_items(self.stg_items)
 
+    @cached_property
+    def item_table(self) -> DataFrame:
+        """The items as a table, for joins that measure them first."""
+        return cut(self.dim_items, "dim-items")
+
     @cached_property
     def dim_time(self) -> DataFrame:
         return cal.dim_time(cal.calendar(self.spark))
 
-    def dim_users(self) -> DataFrame:
-        return marts.dim_users(self.stg_reviews, self.dim_items)
+    def dim_users(self, limits: joins.JoinLimits = joins.USUAL) -> DataFrame:
+        return marts.dim_users(self.stg_reviews, self.dim_items, limits)
 
     def dated(self) -> DataFrame:
         return joins.fct_x_time(self.stg_reviews, self.dim_time)
 
     def context(
-        self, *by: str | Column, attributes: Sequence[str] = (), dated: bool = False
+        self,
+        *by: str | Column,
+        attributes: Sequence[str] = (),
+        dated: bool = False,
+        limits: joins.JoinLimits = joins.USUAL,
     ) -> DataFrame:
         """What a dashboard query needs of the fact: item attributes and the columns ``by``."""
         month = times.review_month(F.col("timestamp"))
         reviews = (self.dated() if dated else self.stg_reviews).withColumn("review_month", month)
-        return marts.review_context(reviews, self.dim_items, attributes, by)
+        return marts.review_context(reviews, self.dim_items, attributes, by, limits)
 
-    def fct_reviews(self) -> DataFrame:
-        return marts.fct_reviews(self.stg_reviews, self.dim_items, self.dim_time)
+    def fct_reviews(self, limits: joins.JoinLimits = joins.USUAL) -> DataFrame:
+        return marts.fct_reviews(self.stg_reviews, self.dim_items, self.dim_time, limits)
+
+    def loaded_fact(self) -> DataFrame:
+        """The fact as a dashboard finds it: loaded, and read from its files."""
+        path = self.path("fct_reviews")
+        writers.load_fact(cut(self.fct_reviews(), "fact"), path)
+        return writers.read_fact(self.spark, path)
 
     def path(self, label: str) -> str:
         return fresh_path(self.spark, label)
@@ -112,7 +134,7 @@ def comparable(df: DataFrame) -> DataFrame:
         elif kind in ("int", "smallint", "tinyint"):
             column = column.cast("long")
         elif kind == "double":
-            column = F.round(column, 6) + F.lit(0.0)
+            column = F.round(column + F.lit(_SHIFT), 6) + F.lit(0.0)
         elif kind.startswith("array"):
             column = F.to_json(column)
         shown.append(column.alias(name))
@@ -177,7 +199,7 @@ def materialize_table(m: Models) -> DataFrame:
 @_query
 def fct_insert_overwrite(m: Models) -> DataFrame:
     """Load everything, then reload the later months with verified reviews only."""
-    path, fact = m.path("fct_reviews"), m.fct_reviews()
+    path, fact = m.path("fct_reviews"), cut(m.fct_reviews(), "fact")
     writers.load_fact(fact, path)
     late = F.col("review_month") >= F.lit("1998-01-01").cast("timestamp")
     writers.load_fact(rows.verified_slicer(fact.where(late), True), path)
@@ -186,7 +208,7 @@ def fct_insert_overwrite(m: Models) -> DataFrame:
 
 @_query
 def cluster_layout(m: Models) -> DataFrame:
-    joined = joins.fct_x_items(m.dated(), m.dim_items)
+    joined = joins.fct_x_items(m.dated(), m.item_table)
     month = times.review_month(F.col("timestamp"))
     return writers.cluster_layout(joined.withColumn("review_month", month))
 
@@ -343,7 +365,12 @@ def verified_slicer(m: Models) -> DataFrame:
 
 @_query
 def reviews_x_price(m: Models) -> DataFrame:
-    return joins.reviews_x_price(m.stg_reviews, m.dim_items)
+    return joins.reviews_x_price(m.stg_reviews, m.item_table)
+
+
+@_query
+def reviews_x_price_shuffled(m: Models) -> DataFrame:
+    return joins.reviews_x_price(m.stg_reviews, m.item_table, SHUFFLED)
 
 
 @_query
@@ -357,9 +384,20 @@ def fct_x_users(m: Models) -> DataFrame:
     return joins.fct_x_users(m.stg_reviews, users)
 
 
+@_query
+def fct_x_users_shuffled(m: Models) -> DataFrame:
+    users = cut(m.dim_users(SHUFFLED), "dim-users")
+    return joins.fct_x_users(m.stg_reviews, users, SHUFFLED)
+
+
 @_query
 def fct_x_items(m: Models) -> DataFrame:
-    return joins.fct_x_items(m.stg_reviews, m.dim_items)
+    return joins.fct_x_items(m.stg_reviews, m.item_table)
+
+
+@_query
+def fct_x_items_shuffled(m: Models) -> DataFrame:
+    return joins.fct_x_items(m.stg_reviews, m.item_table, SHUFFLED)
 
 
 @_query
@@ -368,6 +406,12 @@ def fct_x_item_avg(m: Models) -> DataFrame:
     return joins.fct_x_item_avg(m.stg_reviews, average)
 
 
+@_query
+def fct_x_item_avg_shuffled(m: Models) -> DataFrame:
+    average = cut(agg.item_avg(m.stg_reviews), "item-avg")
+    return joins.fct_x_item_avg(m.stg_reviews, average, SHUFFLED)
+
+
 # --- aggregations and the calendar -----------------------------------------------------
 
 
@@ -381,6 +425,11 @@ def dim_users(m: Models) -> DataFrame:
     return m.dim_users()
 
 
+@_query
+def dim_users_shuffled(m: Models) -> DataFrame:
+    return m.dim_users(SHUFFLED)
+
+
 def _per_user(m: Models, **measures: Column) -> DataFrame:
     named = [column.alias(name) for name, column in measures.items()]
     return rows.known_users(m.stg_reviews).groupBy("user_id").agg(*named)
@@ -418,7 +467,7 @@ def avg_days_between_reviews(m: Models) -> DataFrame:
 
 @_query
 def total_spent(m: Models) -> DataFrame:
-    priced = joins.reviews_x_price(rows.known_users(m.stg_reviews), m.dim_items)
+    priced = joins.reviews_x_price(rows.known_users(m.stg_reviews), m.item_table)
     return priced.groupBy("user_id").agg(agg.total_spent(F.col("price")).alias("total_spent"))
 
 
@@ -447,6 +496,11 @@ def fct_reviews(m: Models) -> DataFrame:
     return m.fct_reviews()
 
 
+@_query
+def fct_reviews_shuffled(m: Models) -> DataFrame:
+    return m.fct_reviews(SHUFFLED)
+
+
 # --- dashboard -----------------------------------------------------------------------
 
 
@@ -479,12 +533,54 @@ def monthly_reviews_price(m: Models) -> DataFrame:
     return dashboard.monthly_reviews_price(m.context("review_month", attributes=["price"]))
 
 
+@_query
+def monthly_reviews_price_shuffled(m: Models) -> DataFrame:
+    context = m.context("review_month", attributes=["price"], limits=SHUFFLED)
+    return dashboard.monthly_reviews_price(context)
+
+
+@_query
+def calendar_month_reviews_price(m: Models) -> DataFrame:
+    context = m.context("review_month", attributes=["price"])
+    return dashboard.monthly_reviews_price(context, by_calendar_month=True)
+
+
 @_query
 def weekday_trend(m: Models) -> DataFrame:
+    return dashboard.weekday_trend(m.context("day_name", dated=True))
+
+
+@_query
+def weekday_trend_verified(m: Models) -> DataFrame:
     context = m.context("day_name", "verified_purchase", dated=True)
     return dashboard.weekday_trend(context, verified=True)
 
 
+@_query
+def loaded_reviews_by_year(m: Models) -> DataFrame:
+    return dashboard.reviews_by_year(m.loaded_fact())
+
+
+@_query
+def loaded_category_rating_trend(m: Models) -> DataFrame:
+    return dashboard.category_rating_trend(m.loaded_fact())
+
+
+@_query
+def loaded_category_share(m: Models) -> DataFrame:
+    return dashboard.category_share(m.loaded_fact())
+
+
+@_query
+def loaded_monthly_reviews_price(m: Models) -> DataFrame:
+    return dashboard.monthly_reviews_price(m.loaded_fact(), by_calendar_month=True)
+
+
+@_query
+def loaded_weekday_trend(m: Models) -> DataFrame:
+    return dashboard.weekday_trend(m.loaded_fact(), verified=False)
+
+
 # --- quality and documented intents ----------------------------------------------------
 
 
@@ -521,21 +617,36 @@ def check_keys(m: Models) -> DataFrame:
     return quality.check_keys(_keyed_models(m))
 
 
-@_query
-def schema_contract(m: Models) -> DataFrame:
+def _saved_models(m: Models) -> dict[str, DataFrame]:
+    """All six models, written and read back."""
+    days = cal.calendar_of(m.stg_reviews, times.review_date(F.col("timestamp")))
     models = {
         "stg_reviews": m.stg_reviews,
         "stg_items": m.stg_items,
         "dim_items": m.dim_items,
         "dim_users": m.dim_users(),
+        "dim_time": cal.dim_time(days),
         "fct_reviews": m.fct_reviews(),
     }
+    return {
+        name: writers.materialize_table(df, m.path(name)) for name, df in models.items()
+    }
+
+
+@_query
+def schema_contract(m: Models) -> DataFrame:
     contracts = [
-        quality.schema_contract(df, name, schemas.MODELS[name]) for name, df in models.items()
+        quality.schema_contract(df, name, schemas.MODELS[name])
+        for name, df in _saved_models(m).items()
     ]
     return reduce(DataFrame.unionAll, contracts)
 
 
+@_query
+def model_rows(m: Models) -> DataFrame:
+    return quality.model_rows(_saved_models(m))
+
+
 @_query
 def profile(m: Models) -> DataFrame:
     return quality.profile(m.staged_reviews)
@@ -559,6 +670,24 @@ def quarantine_corrupt(m: Models) -> DataFrame:
     return kept.unionByName(bad.select("line"), allowMissingColumns=True)
 
 
+@_query
+def quarantine_items(m: Models) -> DataFrame:
+    """Items of small size have flat categories, those of one store are cut short."""
+    path = m.path("raw-damaged-items")
+    names = [name for name in m.raw_items.columns if name != "categories"]
+    flat = F.when(F.size("categories") > 0, F.flatten("categories"))
+    line = (
+        F.when(F.col("store") == "Brand#11", F.lit('{"parent_asin":'))
+        .when(F.col("average_rating") < 4, F.to_json(F.struct(*names, flat.alias("categories"))))
+        .otherwise(F.to_json(F.struct(*m.raw_items.columns)))
+    )
+    m.raw_items.select(line.alias("value")).write.option("compression", "gzip").text(path)
+    rows_kept, amiss = readers.split_corrupt(m.spark, path, schemas.RAW_ITEM)
+    kept = rows_kept.withColumn("reason", F.lit("kept"))
+    listed = amiss.select("reason", F.get_json_object("line", "$.parent_asin").alias("parent_asin"))
+    return kept.unionByName(listed, allowMissingColumns=True)
+
+
 @_query
 def holiday_flag(m: Models) -> DataFrame:
     days = cal.calendar_of(m.stg_reviews, times.review_date(F.col("timestamp")))

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import argparse
+from datetime import date
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from reviewmart.operators.calendar import FIRST_DAY, LAST_DAY
 from reviewmart.operators.rows import dedup_reviews
 from reviewmart.plans.warehouse import build
 
@@ -16,15 +19,29 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--items", default="staging/item")
     args.add_argument("--output", required=True)
     args.add_argument("--dedup", action="store_true", help="keep one review per review_id")
+    args.add_argument("--first-day", type=date.fromisoformat, default=FIRST_DAY)
+    args.add_argument("--last-day", type=date.fromisoformat, default=LAST_DAY)
+    args.add_argument("--holidays", help="CSV file with the columns date and name, to be marked")
+    args.add_argument("--missing-price", type=float, help="price of items without one")
+    args.add_argument("--missing-category", help="category of items without one")
     chosen = args.parse_args(argv)
 
     spark = SparkSession.builder.appName("build marts").getOrCreate()
+    holidays = None
+    if chosen.holidays:
+        listed = spark.read.csv(chosen.holidays, header=True, schema="date date, name string")
+        holidays = listed.where(F.col("date").isNotNull())
+    missing = {"price": chosen.missing_price, "category": chosen.missing_category}
     models = build(
         spark,
         chosen.reviews,
         chosen.items,
         chosen.output,
         dedup_reviews if chosen.dedup else None,
+        chosen.first_day,
+        chosen.last_day,
+        holidays,
+        {name: value for name, value in missing.items() if value is not None},
     )
     failed = models["checks"].where("failures > 0").collect()
     if failed:

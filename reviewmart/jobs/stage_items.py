@@ -2,26 +2,21 @@
 
 from __future__ import annotations
 
-import argparse
-
 from pyspark.sql import SparkSession
 
+from reviewmart.jobs.staging import options, read_rows
 from reviewmart.plans.staging import stage_items
+from reviewmart.schemas import RAW_ITEM
 from reviewmart.session import apply_conf
 from reviewmart.sources.readers import scan_items_json
 from reviewmart.sources.writers import write_items_parquet
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = argparse.ArgumentParser(description=__doc__)
-    args.add_argument("--input", required=True, help="path or glob, e.g. raw/meta/*.jsonl.gz")
-    args.add_argument("--output", default="staging/item")
-    args.add_argument("--partitions", type=int, help="exact number of files; default: by size")
-    args.add_argument("--skip-broken-files", action="store_true")
-    chosen = args.parse_args(argv)
-
+    chosen = options(__doc__, "raw/meta/*.jsonl.gz", "staging/item").parse_args(argv)
     spark = apply_conf(SparkSession.builder.appName("stage items").getOrCreate())
-    raw = scan_items_json(spark, chosen.input, chosen.skip_broken_files)
+    scan = scan_items_json(spark, chosen.input, chosen.skip_broken_files)
+    raw = read_rows(spark, chosen, RAW_ITEM, scan)
     write_items_parquet(stage_items(raw), chosen.output, chosen.partitions)
 
 

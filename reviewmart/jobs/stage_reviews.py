@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import argparse
-
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
+from reviewmart.jobs.staging import options, read_rows
 from reviewmart.plans.staging import stage_reviews
 from reviewmart.schemas import RAW_REVIEW_ANY_TIME
 from reviewmart.session import apply_conf
@@ -14,16 +14,16 @@ from reviewmart.sources.writers import write_reviews_parquet
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = argparse.ArgumentParser(description=__doc__)
-    args.add_argument("--input", required=True, help="path or glob, e.g. raw/reviews/*.jsonl.gz")
-    args.add_argument("--output", default="staging/review")
-    args.add_argument("--partitions", type=int, help="exact number of files; default: by size")
-    args.add_argument("--skip-broken-files", action="store_true")
-    chosen = args.parse_args(argv)
-
+    chosen = options(__doc__, "raw/reviews/*.jsonl.gz", "staging/review").parse_args(argv)
     spark = apply_conf(SparkSession.builder.appName("stage reviews").getOrCreate())
-    raw = scan_reviews_json(spark, chosen.input, RAW_REVIEW_ANY_TIME, chosen.skip_broken_files)
-    write_reviews_parquet(stage_reviews(raw), chosen.output, chosen.partitions)
+    scan = scan_reviews_json(spark, chosen.input, RAW_REVIEW_ANY_TIME, chosen.skip_broken_files)
+    raw = read_rows(spark, chosen, RAW_REVIEW_ANY_TIME, scan)
+    # Times that no timestamp can hold become null, and their reviews are left out of the models.
+    beyond = F.count_if(F.col("timestamp_ms").isNotNull() & F.col("timestamp").isNull())
+    seen = Observation("staged reviews")
+    staged = stage_reviews(raw).observe(seen, F.count("*").alias("rows"), beyond.alias("beyond"))
+    write_reviews_parquet(staged, chosen.output, chosen.partitions)
+    print(f"reviews: {seen.get['rows']}, with a time out of range: {seen.get['beyond']}")
 
 
 if __name__ == "__main__":

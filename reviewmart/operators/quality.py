@@ -66,26 +66,27 @@ def check_keys(models: dict[str, DataFrame]) -> DataFrame:
 
 
 def schema_contract(df: DataFrame, model: str, expected: StructType) -> DataFrame:
-    """Declared against actual type of each column, with the number of rows it holds for.
+    """Declared against actual type of each column; reads no rows.
 
     A column that is missing, or not declared, has a null on that side.
     """
     declared = {field.name: field.dataType.simpleString() for field in expected}
     actual = dict(df.dtypes)
-    sides = [
-        F.struct(
-            F.lit(model).alias("model"),
-            F.lit(name).alias("column_name"),
-            F.lit(declared.get(name)).cast("string").alias("expected_type"),
-            F.lit(actual.get(name)).cast("string").alias("actual_type"),
-            F.lit(declared.get(name) == actual.get(name)).alias("ok"),
-        )
+    rows = [
+        (model, name, declared.get(name), actual.get(name), declared.get(name) == actual.get(name))
         for name in [*declared, *(extra for extra in actual if extra not in declared)]
     ]
-    rows = df.agg(F.count("*").alias("row_count"))
-    return rows.select(F.explode(F.array(*sides)).alias("side"), "row_count").select(
-        "side.*", "row_count"
-    )
+    schema = "model string, column_name string, expected_type string, actual_type string, ok boolean"
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+def model_rows(models: dict[str, DataFrame]) -> DataFrame:
+    """How many rows each model has."""
+    counts = [
+        df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("model"), "row_count")
+        for name, df in models.items()
+    ]
+    return reduce(DataFrame.unionAll, counts)
 
 
 def require_schema(df: DataFrame, expected: StructType) -> DataFrame:

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmart.functions.keys import review_id, review_id_hex
+from reviewmart.functions.keys import review_id_hex
 from reviewmart.functions.numbers import rating_diff
 from reviewmart.functions.times import review_month
 from reviewmart.operators import aggregates as agg
 from reviewmart.operators.joins import (
-    BROADCAST_BYTES,
+    USUAL,
+    JoinLimits,
     fct_x_time,
     item_columns,
     lookup,
@@ -27,18 +28,24 @@ def dim_items(stg_items: DataFrame) -> DataFrame:
     return select_columns(stg_items, *DIM_ITEMS.fieldNames())
 
 
-def dim_users(reviews: DataFrame, items: DataFrame) -> DataFrame:
+def dim_users(
+    reviews: DataFrame,
+    items: DataFrame,
+    limits: JoinLimits = USUAL,
+    counts: DataFrame | None = None,
+) -> DataFrame:
     """Activity and spending per known user.
 
     Reviews meet one summary row per product rather than the product's rows, and each counts
     as often as the product is listed: the same totals as joining every row, without the
-    intermediate growing with the number of listings.
+    intermediate growing with the number of listings. ``counts`` gives the reviews (``rows``)
+    per product where they are known already.
     """
     spend = cut(agg.item_spend(items), "item-spend")
     seen = known_users(reviews).select("user_id", "asin", "verified_purchase", "timestamp")
     ts, weight = F.col("timestamp"), F.coalesce("copies", F.lit(1))
     return (
-        lookup(seen, spend, "asin")
+        lookup(seen, spend, "asin", counts, limits=limits)
         .groupBy("user_id")
         .agg(
             agg.verified_purchase_count(F.col("verified_purchase"), weight).alias(
@@ -59,42 +66,62 @@ def review_context(
     items: DataFrame,
     attributes: Sequence[str],
     by: Sequence[str | Column],
-    broadcast_bytes: int = BROADCAST_BYTES,
+    limits: JoinLimits = USUAL,
 ) -> DataFrame:
-    """Reviews with item ``attributes``, as rows that stand for ``n`` reviews alike in ``by``.
+    """How many reviews (``n``) there are of each combination of item ``attributes`` and ``by``.
 
-    For questions over models that are not saved as a fact. If the items can be broadcast,
-    each review is a row. If not, reviews are counted per product, and equal listings of a
-    product are counted too, so that what is joined holds few rows per product.
+    For questions over models that are not saved as a fact. If the items cannot be broadcast,
+    reviews are counted per product before they meet them; equal listings of a product are
+    counted in either case, so few rows per product are joined.
     """
     listed = item_columns(items, *attributes)
-    if measured_bytes(listed) <= broadcast_bytes:
-        each = reviews.select("asin", *by, F.lit(1).cast("long").alias("n"))
-        return each.join(F.broadcast(listed), "asin", "left")
-    counted = reviews.groupBy("asin", *by).agg(F.count("*").alias("reviews"))
     listings = listed.groupBy("asin", *attributes).agg(F.count("*").alias("copies"))
-    joined = counted.join(listings, "asin", "left")
+    if measured_bytes(listed) <= limits.broadcast_bytes:
+        one = F.lit(1).cast("long").alias("reviews")
+        joined = reviews.select("asin", *by, one).join(F.broadcast(listings), "asin", "left")
+    else:
+        counted = reviews.groupBy("asin", *by).agg(F.count("*").alias("reviews"))
+        grouped = [name for name in counted.columns if name != "reviews"]
+        joined = lookup(counted, cut(listings, "listings"), "asin", None, grouped, limits)
+    grain = [name for name in joined.columns if name not in ("asin", "reviews", "copies")]
     rows = F.col("reviews") * F.coalesce("copies", F.lit(1))
-    return joined.withColumn("n", rows).drop("reviews", "copies")
+    return joined.groupBy(*grain).agg(F.sum(rows).alias("n"))
 
 
-def fct_reviews(reviews: DataFrame, items: DataFrame, time: DataFrame) -> DataFrame:
+def item_context(
+    reviews: DataFrame, items: DataFrame, limits: JoinLimits = USUAL
+) -> DataFrame:
+    """All that is known per product, a row for each of its listings, as a written table."""
+    listed, rated = item_columns(items, "price", "category", "store"), agg.item_ratings(reviews)
+    if measured_bytes(listed) <= limits.broadcast_bytes:
+        return cut(rated.join(F.broadcast(listed), "asin", "left"), "item-context")
+    rated, listed = cut(rated, "item-ratings"), cut(listed, "listed-items")
+    once = rated.select("asin", F.lit(1).cast("long").alias("rows"))
+    return cut(lookup(rated, listed, "asin", once, limits=limits), "item-context")
+
+
+def fct_reviews(
+    reviews: DataFrame,
+    items: DataFrame,
+    time: DataFrame,
+    limits: JoinLimits = USUAL,
+    per_item: DataFrame | None = None,
+) -> DataFrame:
     """One row per review (and listing of its item), with time, item and rating context.
 
-    Everything known per product is joined into one summary and written first, so the reviews
-    themselves are joined, and where necessary shuffled, only once. The user dimension is not
-    joined: it is unique by user and none of its columns are used.
+    Everything known per product is joined into one summary and written first (``per_item``,
+    if the caller has it), so the reviews themselves are joined, and where necessary shuffled,
+    only once. The user dimension is not joined: it is unique by user and none of its columns
+    are used. Reviews keep the key they come with.
     """
-    listed = item_columns(items, "price", "category", "store")
-    per_item = cut(agg.item_ratings(reviews).join(listed, "asin", "left"), "item-context")
+    if per_item is None:
+        per_item = item_context(reviews, items, limits)
     counts = per_item.groupBy("asin").agg(F.max("rows").alias("rows"))
-    # The review's key is made after the join: it does not compress in a shuffle.
-    dated = fct_x_time(reviews.drop("review_id"), time)
-    joined = lookup(dated, per_item.drop("rows"), "asin", counts)
-    key = review_id(F.col("user_id"), F.col("asin"), F.col("timestamp"))
+    dated = fct_x_time(reviews, time)
+    joined = lookup(dated, per_item.drop("rows"), "asin", counts, limits=limits)
     return joined.select(
-        key.alias("review_id"),
-        review_id_hex(key).alias("review_id_power_bi"),
+        "review_id",
+        review_id_hex(F.col("review_id")).alias("review_id_power_bi"),
         "user_id",
         "asin",
         "rating",

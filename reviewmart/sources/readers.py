@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -9,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from reviewmart.schemas import RAW_ITEM, RAW_REVIEW
 
 _CORRUPT = "_corrupt_record"
+_UNREADABLE = re.compile("(?i)EOF|unexpected end|FAILED_READ|not in gzip|incorrect|corrupt")
 
 
 def _scan_json(
@@ -43,20 +46,48 @@ def scan_items_json(
 def split_corrupt(
     spark: SparkSession, paths: str | list[str], schema: StructType
 ) -> tuple[DataFrame, DataFrame]:
-    """JSON lines that fit the schema, and the text of those that do not, with their file."""
+    """All JSON objects as rows, and the lines that are amiss with their ``file`` and ``reason``.
+
+    A line that is no JSON object at all (``unparseable``) gives no row. One in which a field has
+    another type (``mistyped``) gives the row a scan gives it, with nulls in place of what does
+    not fit, and is listed besides.
+    """
     lines = spark.read.text(paths).where(F.trim("value") != "")
     wide = StructType([*schema.fields, StructField(_CORRUPT, StringType(), True)])
     parsed = lines.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
+        # Any object is a map of texts, whatever its fields hold.
+        F.from_json("value", "map<string,string>").isNull().alias("unparseable"),
         F.from_json(
             "value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
         ).alias("row"),
     )
-    broken = F.col("row").isNull() | F.col(f"row.{_CORRUPT}").isNotNull()
-    good = parsed.where(~broken).select([F.col(f"row.{name}") for name in schema.fieldNames()])
-    bad = parsed.where(broken).select(F.col("value").alias("line"), "file")
-    return good, bad
+    rows = parsed.where("NOT unparseable").select(
+        [F.col(f"row.{name}") for name in schema.fieldNames()]
+    )
+    amiss = F.when(F.col("unparseable"), "unparseable").when(
+        F.col(f"row.{_CORRUPT}").isNotNull(), "mistyped"
+    )
+    listed = parsed.select(F.col("value").alias("line"), "file", amiss.alias("reason"))
+    return rows, listed.where(F.col("reason").isNotNull())
+
+
+def broken_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The files that cannot be read to their end, of which a scan that skips keeps a part only.
+
+    Reads each file once, in a job of its own; the number of files is that of the downloads.
+    """
+    listed = spark.read.format("binaryFile").load(paths).select("path").collect()
+    broken = []
+    for (path,) in sorted(listed):
+        try:
+            spark.read.text(path).agg(F.count("*")).collect()
+        except Exception as error:  # noqa: BLE001 - whatever a reader raises on damaged input
+            if not _UNREADABLE.search(str(error)):
+                raise
+            broken.append(path)
+    return broken
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -64,8 +95,16 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def external_table(spark: SparkSession, name: str, path: str, permanent: bool = False) -> DataFrame:
-    """Name a Parquet folder without copying it: a session view, or a catalog table."""
+    """Name a Parquet folder without copying it: a session view, or a catalog table.
+
+    An external table of that name is replaced, its files stay. A table that owns its files is
+    not touched: a ``ValueError``.
+    """
     if permanent:
+        if spark.catalog.tableExists(name) and not (old := spark.catalog.getTable(name)).isTemporary:
+            if old.tableType != "EXTERNAL":
+                raise ValueError(f"{name} is a table with files of its own")
+            spark.sql(f"DROP TABLE {name}")
         spark.catalog.createTable(name, path=path, source="parquet")
     else:
         spark.read.parquet(path).createOrReplaceTempView(name)

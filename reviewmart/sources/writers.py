@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reviewmart.functions.keys import review_id, review_id_hex
 from reviewmart.schemas import FCT_REVIEWS
 
 FACT_PARTITION = "review_month"
@@ -50,25 +49,28 @@ def materialize_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def cluster_layout(fact: DataFrame) -> DataFrame:
-    """Gather each month and sort it by user and product, so row groups can be skipped.
+def cluster_layout(fact: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows out by ranges of month, user and product, and sort them; no value changes.
 
-    The rebalance splits a month that is larger than one partition should be, so neither a
-    busy month, a busy user nor a run of copies ends up in a single task. Both forms of the
-    key are made again after the shuffle: they do not compress, and would be a third of it.
+    Each file of a month then holds a range of users of its own, and statistics tell a reader
+    which files and row groups to skip. The last part of the range is a hash of the whole row,
+    so that neither a busy month nor a busy user has to stay in one task. ``partitions`` is the
+    number of ranges; by default, that of a shuffle, from which adaptive execution merges small
+    ones. Finding the ranges samples the rows, so they should be cheap to compute or written.
     """
-    key = review_id(F.col("user_id"), F.col("asin"), F.col("timestamp"))
-    made_again = {"review_id": key, "review_id_power_bi": review_id_hex(key)}
-    gathered = fact.drop(*made_again).hint("rebalance", FACT_PARTITION)
-    ordered = gathered.sortWithinPartitions(FACT_PARTITION, *FACT_CLUSTER)
-    present = {name: made for name, made in made_again.items() if name in fact.columns}
-    return ordered.withColumns(present).select(fact.columns)
+    order = [F.col(FACT_PARTITION), *map(F.col, FACT_CLUSTER), F.xxhash64(*fact.columns)]
+    ranged = (
+        fact.repartitionByRange(partitions, *order)
+        if partitions
+        else fact.repartitionByRange(*order)
+    )
+    return ranged.sortWithinPartitions(*order)
 
 
-def load_fact(fact: DataFrame, path: str) -> None:
+def load_fact(fact: DataFrame, path: str, partitions: int | None = None) -> None:
     """Replace exactly the months present in ``fact``; other months stay, copies stay."""
     (
-        cluster_layout(fact)
+        cluster_layout(fact, partitions)
         .write.option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .partitionBy(FACT_PARTITION)

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_run: ContextVar[str | None] = ContextVar("run", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,8 +30,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid4().hex}"
+    """A path in the shared folder that no other run uses; in the run's folder if there is one."""
+    return f"{_run.get() or shared_folder(spark)}/{label}-{uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder of the shared one for all intermediate tables made meanwhile, removed at the end.
+
+    What is still needed afterwards must be written elsewhere.
+    """
+    folder = f"{shared_folder(spark)}/run-{uuid4().hex}"
+    token = _run.set(folder)
+    try:
+        yield folder
+    finally:
+        _run.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under ``path``, as its file system tells."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
 
 
 def cut(df: DataFrame, label: str) -> DataFrame:

@@ -1,7 +1,9 @@
 from datetime import date, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
+from reviewmart.functions.times import ms_to_timestamp
 from reviewmart.operators.calendar import FIRST_DAY, calendar, calendar_of, dim_time, holiday_flag
 from reviewmart.operators.quality import check_not_null, check_unique, require_schema
 from reviewmart.schemas import DIM_TIME
@@ -34,6 +36,16 @@ def test_bounds(spark):
     assert [r[0].day for r in calendar_of(days, F.col("d")).collect()] == [1, 2, 3, 4, 5]
 
 
+def test_a_broken_time_gives_a_clear_error(spark):
+    far = spark.createDataFrame([(1_600_000_000_000,), (1_600_000_000_000_000,)], "ms long")
+    with pytest.raises(ValueError, match="18499999|days"):
+        calendar_of(far, F.to_date(ms_to_timestamp(F.col("ms"))))
+    with pytest.raises(ValueError, match="more than 10"):
+        calendar(spark, date(2020, 1, 1), date(2020, 1, 11), most_days=10)
+    none = spark.createDataFrame([(None,)], "d date")
+    assert calendar_of(none, F.col("d")).count() == 0
+
+
 def test_holidays_mark_days_without_multiplying_them(spark):
     days = dim_time(calendar(spark, date(2020, 12, 24), date(2020, 12, 26)))
     listed = spark.createDataFrame(

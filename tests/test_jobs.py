@@ -1,5 +1,6 @@
 import gzip
 import json
+import os
 
 import pytest
 
@@ -50,3 +51,55 @@ def test_failing_key_checks_end_the_job(spark, landed):
     land("meta", [{"parent_asin": "a"}, {"parent_asin": "a"}])
     with pytest.raises(SystemExit, match="dim_items.asin: unique fails 1 times"):
         _run(root)
+    assert not (root / "marts" / "fct_reviews").exists()
+
+
+def test_calendar_bounds_holidays_and_missing_values(spark, landed):
+    root, land = landed
+    land("meta", [{"parent_asin": "a", "price": None, "main_category": None}])
+    (root / "holidays.csv").write_text("date,name\n1997-05-19,Whit Monday\n")
+    _run(
+        root, "--first-day", "1997-05-01", "--last-day", "1997-05-31",
+        "--holidays", f"{root}/holidays.csv", "--missing-price", "2.5", "--missing-category", "Other",
+    )
+    days = spark.read.parquet(f"{root}/marts/dim_time")
+    assert days.count() == 31
+    assert [(r["date_day"].day, r["holiday_name"]) for r in days.where("is_holiday").collect()] == [(19, "Whit Monday")]
+    fact = spark.read.parquet(f"{root}/marts/fct_reviews").collect()
+    assert {(r["price"], r["category"]) for r in fact} == {(2.5, "Other")}
+    assert {r["user_id"]: r["review_date"] is not None for r in fact} == {"u": True, "v": False}
+
+
+def test_quarantine_and_reports(spark, landed, capsys):
+    root, land = landed
+    with gzip.open(root / "reviews" / "More.jsonl.gz", "wt") as out:
+        out.write('{"rating": 4.0\n{"rating": "x", "timestamp": 1}\n{"rating": 1.0, "timestamp": 9223372036854775807}\n')
+    whole = gzip.compress(b'{"rating": 2.0, "timestamp": 2}\n' * 50_000)
+    (root / "reviews" / "Cut.jsonl.gz").write_bytes(whole[: len(whole) // 2])
+    stage_reviews.main(
+        ["--input", f"{root}/reviews/*.jsonl.gz", "--output", f"{root}/review", "--skip-broken-files"]
+    )
+    said = capsys.readouterr().out
+    assert "Cut.jsonl.gz" in said and "More" not in said
+    (root / "reviews" / "Cut.jsonl.gz").unlink()
+    stage_reviews.main(
+        ["--input", f"{root}/reviews/*.jsonl.gz", "--output", f"{root}/review", "--quarantine", f"{root}/bad"]
+    )
+    said = capsys.readouterr().out
+    assert "unparseable lines: 1" in said and "mistyped lines: 1" in said
+    assert "reviews: 6, with a time out of range: 1" in said
+    assert spark.read.parquet(f"{root}/bad").count() == 2
+
+
+def test_build_leaves_no_intermediate_tables_and_dedups_once(spark, landed, tmp_path):
+    from reviewmart.workspace import shared_folder
+
+    root, land = landed
+    land("meta", [{"parent_asin": "a", "price": "$5.00"}])
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    _run(root, "--dedup")
+    assert set(os.listdir(folder)) == before
+    assert spark.read.parquet(f"{root}/marts/stg_reviews").count() == 2
+    plan = spark.table("stg_reviews")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan

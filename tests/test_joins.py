@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from reviewmart.operators import joins
 from reviewmart.operators.aggregates import item_avg
 
+SHUFFLED = joins.JoinLimits(broadcast_bytes=-1, fair_rows=1)
+
 
 def _bag(df):
     names = sorted(df.columns)
@@ -32,7 +34,7 @@ def skewed(spark):
 def test_spread_join_equals_plain_join(spark, skewed, given):
     left, right = skewed
     counts = left.groupBy("asin").agg(F.count("*").alias("rows")) if given else None
-    spread = joins.lookup(left, right, "asin", counts, broadcast_bytes=0, fair_rows=1)
+    spread = joins.lookup(left, right, "asin", counts, limits=SHUFFLED)
     assert _bag(spread) == _bag(left.join(right, "asin", "left"))
     assert spread.columns == left.join(right, "asin", "left").columns
 
@@ -43,7 +45,7 @@ def test_spread_join_divides_heavy_and_missing_keys(spark, conf, skewed):
         spark__sql__adaptive__coalescePartitions__enabled="false",
     )
     left, right = skewed
-    spread = joins.lookup(left, right, "asin", broadcast_bytes=0, fair_rows=1)
+    spread = joins.lookup(left, right, "asin", limits=SHUFFLED)
     held = spread.groupBy("asin", F.spark_partition_id().alias("p")).count()
     for key in (F.col("asin") == "hot", F.col("asin").isNull()):
         assert held.where(key).count() >= 4
@@ -57,7 +59,7 @@ def test_small_right_side_is_broadcast_and_large_is_not(spark, conf, skewed):
     left, right = skewed
     assert joins.measured_bytes(right) == 1002 * 64 + sum(len(r[0]) for r in right.collect())
     small = joins.lookup(left, right, "asin")._jdf.queryExecution().toString()
-    large = joins.lookup(left, right, "asin", broadcast_bytes=10)._jdf.queryExecution().toString()
+    large = joins.lookup(left, right, "asin", limits=joins.JoinLimits(10))._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
     assert "SortMergeJoin" in large
 
@@ -65,10 +67,70 @@ def test_small_right_side_is_broadcast_and_large_is_not(spark, conf, skewed):
 def test_nothing_heavy_means_nothing_spread(spark):
     left = spark.range(100).select(F.col("id").cast("string").alias("asin"), F.col("id").alias("timestamp"))
     right = left.select("asin", F.col("timestamp").alias("v"))
-    assert joins.lookup(left, right, "asin", broadcast_bytes=0).where("v is null").count() == 0
+    large = joins.JoinLimits(-1)
+    assert joins.lookup(left, right, "asin", limits=large).where("v is null").count() == 0
     empty = left.limit(0)
-    assert joins.lookup(empty, right, "asin", broadcast_bytes=0).count() == 0
-    assert joins.lookup(left, right.limit(0), "asin", broadcast_bytes=-1).count() == 100
+    assert joins.lookup(empty, right, "asin", limits=large).count() == 0
+    assert joins.lookup(left, right.limit(0), "asin", limits=large).count() == 100
+
+
+@pytest.fixture
+def listed_often(spark):
+    """One product with most listings, another with many reviews, and one with both."""
+    left = spark.range(0, 6000, 1, 8).select(
+        F.when(F.col("id") < 40, "listed")
+        .when(F.col("id") < 2000, "reviewed")
+        .when(F.col("id") < 2060, "both")
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 900))
+        .alias("asin"),
+        F.col("id").alias("timestamp"),
+    )
+    right = spark.range(0, 12_000, 1, 8).select(
+        F.when(F.col("id") < 5000, "listed")
+        .when(F.col("id") < 8000, "both")
+        .when(F.col("id") < 8001, "reviewed")
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 700))
+        .alias("asin"),
+        F.col("id").alias("v"),
+    )
+    return left, right
+
+
+def test_listings_of_a_key_are_divided(spark, conf, listed_often):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    left, right = listed_often
+    spread = joins.lookup(left, right, "asin", limits=joins.JoinLimits(-1, 100))
+    held = spread.groupBy("asin", F.spark_partition_id().alias("p")).count()
+    for key, rows in (("listed", 200_000), ("both", 180_000)):
+        most = held.where(F.col("asin") == key).agg(F.max("count"), F.sum("count")).first()
+        assert most[1] == rows
+        assert most[0] < rows / 2
+    plain = left.join(right, "asin", "left")
+    assert spread.count() == plain.count()
+    digest = lambda df: df.agg(F.bit_xor(F.xxhash64(*sorted(df.columns)))).first()[0]
+    assert digest(spread) == digest(plain)
+
+
+@pytest.mark.parametrize("of", ["reviews_x_price", "fct_x_items"])
+def test_a_hot_listing_in_the_star_joins(spark, conf, reviews, items, of):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    some = reviews(*[(f"u{i}", "hot" if i % 10 == 0 else f"p{i % 50}", "2020-01-01") for i in range(300)])
+    listed = items(*[("hot", float(i)) for i in range(3000)], *[(f"p{i}", 1.0) for i in range(50)])
+    joined = getattr(joins, of)(some, listed, joins.JoinLimits(-1, 100))
+    held = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 30 * 3000 + 270
+    assert max(held) < 0.4 * sum(held)
+
+
+def test_nested_columns_are_measured(spark):
+    wide = spark.range(10).select("id", F.array_repeat(F.lit("x" * 100), 1000).alias("many"))
+    assert joins.measured_bytes(wide) > 10 * 100_000
 
 
 def test_unknown_item_keeps_review_with_null_price(reviews, items):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewmart import schemas
+from reviewmart.operators.joins import JoinLimits
 from reviewmart.operators.quality import require_schema
 from reviewmart.operators.rows import dedup_reviews
 from reviewmart.plans import marts
@@ -121,18 +122,76 @@ def test_load_replaces_only_the_months_it_brings(reviews, items, time, tmp_path)
     assert "PartitionFilters: [isnotnull(review_month" in plan
 
 
-def test_a_busy_month_is_split_and_each_file_sorted(spark, conf, reviews, items, time, tmp_path):
-    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="4KB")
+@pytest.mark.parametrize("broadcast_bytes", [10**9, -1])
+def test_context_counts_the_same_reviews_either_way(reviews, items, broadcast_bytes):
+    some = reviews(
+        ("u", "a", "2020-01-01", 4.0), ("v", "a", "2020-01-01", 4.0), ("w", None, "2020-01-01", 2.0)
+    )
+    context = marts.review_context(
+        some,
+        items(("a", 1.0), ("a", 3.0), ("a", 3.0)),
+        ["price"],
+        ["rating"],
+        JoinLimits(broadcast_bytes),
+    )
+    assert sorted(context.columns) == ["n", "price", "rating"]
+    assert {(r["price"], r["rating"], r["n"]) for r in context.collect()} == {
+        (1.0, 4.0, 2),
+        (3.0, 4.0, 4),
+        (None, 2.0, 1),
+    }
+
+
+def test_layout_changes_no_value(spark, reviews, items, time, tmp_path):
+    """Keys that were made elsewhere stay as they are."""
+    fact = _fact(reviews(*[(f"u{i}", "a", "2020-01-05") for i in range(50)]), items(("a", 1.0)), time)
+    own = fact.withColumn("review_id", F.encode(F.concat(F.lit("mine-"), "user_id"), "utf-8"))
+    own = own.withColumn("review_id_power_bi", F.concat(F.lit("mine-"), "user_id"))
+    writers.load_fact(own, str(tmp_path / "fact"))
+    back = writers.read_fact(spark, str(tmp_path / "fact"))
+    bag = lambda df: Counter(map(str, df.collect()))
+    assert bag(back) == bag(own)
+
+
+def test_the_fact_keeps_the_keys_of_its_reviews(reviews, items, time):
+    own = reviews(("u", "a", "2020-01-05")).withColumn("review_id", F.encode(F.lit("mine"), "utf-8"))
+    row = _fact(own, items(("a", 1.0)), time).first()
+    assert (bytes(row["review_id"]), row["review_id_power_bi"]) == (b"mine", b"mine".hex())
+
+
+def test_files_of_a_month_hold_separate_users(spark, conf, reviews, items, time, tmp_path):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
     rows = reviews(*[(f"u{i % 700:03d}", "a", "2020-01-05") for i in range(4000)])
-    spread = rows.unionAll(rows).repartition(8)
-    fact = marts.fct_reviews(spread, items(("a", 1.0)), time)
-    writers.load_fact(fact, str(tmp_path / "fact"))
-    files = list((tmp_path / "fact").glob("review_month=*/*.parquet"))
-    assert len(files) > 1
-    for file in files:
+    fact = marts.fct_reviews(rows.repartition(8), items(("a", 1.0)), time)
+    writers.load_fact(fact, str(tmp_path / "fact"), partitions=6)
+    ranges = []
+    for file in (tmp_path / "fact").glob("review_month=*/*.parquet"):
         users = [r[0] for r in spark.read.parquet(str(file)).select("user_id").collect()]
         assert users == sorted(users)
-    assert writers.read_fact(spark, str(tmp_path / "fact")).count() == 8000
+        ranges.append((users[0], users[-1]))
+    assert len(ranges) >= 5
+    ranges.sort()
+    # Neighbours may share the one user at their border.
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_a_busy_user_is_split(spark, conf, reviews, items, time, tmp_path):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = reviews(*[("u", "a", f"2020-01-05 {i % 24:02d}:{i // 24 % 60:02d}:00") for i in range(1440)])
+    fact = marts.fct_reviews(rows, items(("a", 1.0)), time)
+    writers.load_fact(fact, str(tmp_path / "fact"), partitions=6)
+    files = list((tmp_path / "fact").glob("review_month=*/*.parquet"))
+    assert max(spark.read.parquet(str(f)).count() for f in files) < 600
+
+
+def test_large_summaries_give_the_same_models(spark):
+    """The shuffled, spread joins against the broadcast ones, over the smallest test tables."""
+    from reviewmart.checks.queries import SHUFFLED, Models, comparable
+
+    models = Models(spark, "/root/testdata/sf0.001")
+    bag = lambda df: Counter(tuple(row) for row in comparable(df).collect())
+    assert bag(models.fct_reviews(SHUFFLED)) == bag(models.fct_reviews())
+    assert bag(models.dim_users(SHUFFLED)) == bag(models.dim_users())
 
 
 def test_dedup_keeps_one_best_review_per_key(spark, reviews):
@@ -144,37 +203,3 @@ def test_dedup_keeps_one_best_review_per_key(spark, reviews):
     assert kept.count() == best.count() == 3
     assert kept.join(best, "review_id").where("helpful_votes <> v").count() == 0
     assert kept.columns == votes.columns
-
-
-@pytest.mark.parametrize("broadcast_bytes", [10**9, 0])
-def test_context_stands_for_the_same_reviews_either_way(reviews, items, broadcast_bytes):
-    some = reviews(
-        ("u", "a", "2020-01-01", 4.0), ("v", "a", "2020-01-01", 4.0), ("w", None, "2020-01-01", 2.0)
-    )
-    context = marts.review_context(
-        some, items(("a", 1.0), ("a", 3.0), ("a", 3.0)), ["price"], ["rating"], broadcast_bytes
-    )
-    counted = context.groupBy("asin", "price", "rating").agg(F.sum("n"))
-    assert {tuple(r) for r in counted.collect()} == {
-        ("a", 1.0, 4.0, 2),
-        ("a", 3.0, 4.0, 4),
-        (None, None, 2.0, 1),
-    }
-
-
-def test_large_summaries_give_the_same_models(spark, monkeypatch):
-    """The shuffled, spread joins against the broadcast ones, over the smallest test tables."""
-    from functools import partial
-
-    from reviewmart.checks.queries import Models, comparable
-
-    def bags():
-        models = Models(spark, "/root/testdata/sf0.001")
-        return [
-            Counter(tuple(row) for row in comparable(df).collect())
-            for df in (models.fct_reviews(), models.dim_users())
-        ]
-
-    small = bags()
-    monkeypatch.setattr(marts, "lookup", partial(marts.lookup, broadcast_bytes=0, fair_rows=1))
-    assert bags() == small

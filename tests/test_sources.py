@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewmart.operators.rows import resolve_ts_column, valid_reviews
 from reviewmart.plans.staging import stage_items, stage_reviews
-from reviewmart.schemas import RAW_REVIEW, RAW_REVIEW_ANY_TIME, STAGED_ITEM, STAGED_REVIEW
+from reviewmart.schemas import RAW_ITEM, RAW_REVIEW, RAW_REVIEW_ANY_TIME, STAGED_ITEM, STAGED_REVIEW
 from reviewmart.sources import readers, writers
 
 
@@ -73,13 +73,32 @@ def test_truncated_archive_can_be_passed_over(spark, raw, tmp_path):
 
 
 def test_corrupt_lines_are_set_aside_with_their_file(spark, raw):
-    path = raw("q.jsonl.gz", "{broken", "", {"rating": 4.0, "timestamp": 7}, {"rating": "bad"})
+    path = raw("q.jsonl.gz", "{broken", "", "[1]", {"rating": 4.0, "timestamp": 7}, {"rating": "bad", "asin": "x"})
     good, bad = readers.split_corrupt(spark, path, RAW_REVIEW)
     assert good.schema.fieldNames() == RAW_REVIEW.fieldNames()
-    assert [r["timestamp"] for r in good.collect()] == [7]
-    lines = {r["line"]: r["file"] for r in bad.collect()}
-    assert set(lines) == {"{broken", '{"rating": "bad"}'}
-    assert all(name.endswith("q.jsonl.gz") for name in lines.values())
+    assert {(r["timestamp"], r["asin"]) for r in good.collect()} == {(7, None), (None, "x")}
+    lines = {r["line"]: (r["reason"], r["file"]) for r in bad.collect()}
+    assert {line: reason for line, (reason, _) in lines.items()} == {
+        "{broken": "unparseable",
+        "[1]": "unparseable",
+        '{"rating": "bad", "asin": "x"}': "mistyped",
+    }
+    assert all(name.endswith("q.jsonl.gz") for _, name in lines.values())
+
+
+def test_items_with_flat_categories_stay(spark, raw):
+    path = raw("i.jsonl.gz", *({"parent_asin": k, "price": 5, "categories": ["x", "y"]} for k in "abc"))
+    good, bad = readers.split_corrupt(spark, path, RAW_ITEM)
+    key = lambda r: str(r)
+    assert sorted(good.collect(), key=key) == sorted(readers.scan_items_json(spark, path).collect(), key=key)
+    assert [r["reason"] for r in bad.collect()] == ["mistyped"] * 3
+
+
+def test_broken_files_are_named(spark, raw, tmp_path):
+    path = raw("good.jsonl.gz", {"rating": 1.0})
+    whole = gzip.compress(b'{"rating": 2.0}\n' * 50_000)
+    (tmp_path / "cut.jsonl.gz").write_bytes(whole[: len(whole) // 2])
+    assert [name.rsplit("/", 1)[1] for name in readers.broken_files(spark, path)] == ["cut.jsonl.gz"]
 
 
 @pytest.mark.parametrize("partitions", [None, 3])
@@ -105,8 +124,9 @@ def test_external_table_reads_in_place(spark, tmp_path, permanent):
     path = str(tmp_path / "t")
     spark.range(3).write.parquet(path)
     name = f"outside_{permanent}".lower()
-    readers.external_table(spark, name, path, permanent)
-    assert spark.table(name).count() == 3
+    for _ in range(2):  # naming it again replaces the name only
+        readers.external_table(spark, name, path, permanent)
+        assert spark.table(name).count() == 3
     spark.sql(f"DROP {'TABLE' if permanent else 'VIEW'} {name}")
     assert spark.read.parquet(path).count() == 3
 
@@ -119,3 +139,13 @@ def test_view_is_lazy_and_table_is_a_full_refresh(spark, tmp_path):
     table = str(tmp_path / "table")
     assert writers.materialize_table(spark.range(9), table).count() == 9
     assert writers.materialize_table(spark.range(4), table).count() == 4
+
+
+def test_external_table_spares_a_table_with_own_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    spark.range(5).write.saveAsTable("owning")
+    with pytest.raises(ValueError, match="owning"):
+        readers.external_table(spark, "owning", path, permanent=True)
+    assert spark.table("owning").count() == 5
+    spark.sql("DROP TABLE owning")
