@@ -10,16 +10,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def units(rows: DataFrame, block: list[str], member: str, most: int) -> DataFrame:
+def units(
+    rows: DataFrame, block: list[str], member: str, most: int, largest: int | None = None
+) -> DataFrame:
     """Give each row the units it is compared in, as the long column ``unit``, with its ``piece`` of
     the block and whether the unit is that piece's ``own``, without another.
 
     A block of up to ``most`` rows is one unit. A larger one is cut into pieces of about that
-    size, with a unit for each pair of pieces, so that any two rows of a block still meet. Blocks
-    of a single row have none.
+    size, with a unit for each pair of pieces, so that any two rows of a block still meet. From
+    64 pieces on, pieces grow up to ``largest`` rows first, so that rows are not repeated more
+    often than needed. Blocks of a single row have none.
     """
     sizes = rows.groupBy(*block).agg(F.count("*").alias("block_rows")).where(F.col("block_rows") > 1)
-    pieces = F.ceil(F.col("block_rows") / most)
+    fair = F.least(F.greatest(F.col("block_rows") / 64, F.lit(most)), F.lit(largest or most))
+    pieces = F.ceil(F.col("block_rows") / fair)
     piece = F.pmod(F.xxhash64(member), pieces)
     other = F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1))
     return (

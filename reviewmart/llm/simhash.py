@@ -28,8 +28,8 @@ from reviewmart.workspace import cut
 
 SEED = 42
 PIVOTS = np.random.default_rng(64).integers(0, 2**64, 24, dtype=np.uint64)
-# Rows of a unit: small enough to compare all, large enough to have few pieces.
-_UNIT_ROWS = 1024
+# Rows of a piece of a large block, and what they grow to in very large blocks.
+_PIECE_ROWS, _LARGEST_PIECE = 512, 4096
 # Fingerprints that may be expected to share a block by chance before segments are made longer.
 _BY_CHANCE = 64
 _ROWS_AT_ONCE = 65280
@@ -132,7 +132,7 @@ def links(fingerprints: DataFrame, max_bits: int) -> DataFrame:
         moved = np.flatnonzero(root != np.arange(len(values)))
         return pa.RecordBatch.from_pydict({"a": values[moved], "b": values[root[moved]]})
 
-    at = units(blocks, ["mask", "part"], "fingerprint", _UNIT_ROWS // 2)
+    at = units(blocks, ["mask", "part"], "fingerprint", _PIECE_ROWS, _LARGEST_PIECE)
     return per_unit(at.select("unit", "fingerprint"), "a long, b long", work)
 
 
