@@ -51,3 +51,8 @@ def n_words(text: Column) -> Column:
 def count_of(text: Column, characters: str) -> Column:
     """How many code points of ``text`` are among ``characters``."""
     return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("long")
+
+
+def drawn(key: Column, share: float) -> Column:
+    """Whether a row is among the given share of all, by a hash of ``key`` alone."""
+    return F.pmod(F.xxhash64(key, F.lit("drawn")), F.lit(1 << 30)) < int(min(1.0, share) * (1 << 30))

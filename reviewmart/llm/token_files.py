@@ -26,6 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmart.llm.common import drawn
+
 # Chunks kept per worker process in each of two tables; a full one starts anew, with the same results.
 _KEPT_CHUNKS = 800_000
 _BLOCK_BYTES = 1 << 20
@@ -136,19 +138,20 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
 
 
 def train_dictionary(docs: DataFrame, vocabulary: str, samples: int, size: int) -> bytes:
-    """A dictionary of up to ``size`` bytes from at most ``samples`` texts of moderate length.
+    """A dictionary of up to ``size`` bytes from about ``samples`` texts of moderate length.
 
-    The texts are those with the smallest hashes, wherever they are. Where there is too little to
+    The texts are drawn by their hash from all rows, twice as many at most. Where there is too little to
     train on, the serialized ids themselves serve; with no texts at all there is no dictionary.
     """
-    some = docs.where(F.length("text").between(1, 16384)).select(
-        "text", F.xxhash64("text").alias("hash")
+    some = docs.where(F.length("text").between(1, 16384)).select("text")
+    share = samples / max(1, some.count())
+    rows = (
+        some.where(drawn(F.col("text"), share))
+        .groupBy(F.xxhash64("text").alias("hash"))
+        .agg(F.first("text").alias("text"))
     )
-    lowest = some.select("hash").orderBy("hash").limit(samples)
-    last = lowest.agg(F.max("hash")).first()[0]
-    rows = some.where(F.col("hash") <= last).groupBy("hash").agg(F.first("text").alias("text"))
     encode = serializer(vocabulary).serialize
-    arrays = [encode(row["text"]) for row in rows.orderBy("hash").limit(samples).collect()]
+    arrays = [encode(row["text"]) for row in rows.orderBy("hash").limit(2 * samples).collect()]
     try:
         return zstandard.train_dictionary(size, arrays).as_bytes()
     except zstandard.ZstdError:

@@ -6,7 +6,7 @@ threshold below each grade: P(grade > k) = sigmoid(w x - t_k). Labels say only w
 toxic; a toxic text's grade, 1 to 3, follows from how much of it is made of words that occur in
 toxic texts alone, by thirds of the labelled toxic texts.
 
-Labelled rows are a bounded sample, those with the smallest hashes of each class. Without both
+Labelled rows are a sample of bounded size, drawn from each class by hash. Without both
 classes the model knows no feature and calls nothing toxic. A null text has no words. Repeated
 rows of a text count once in training.
 """
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmart.llm.common import text_of
+from reviewmart.llm.common import drawn, text_of
 from reviewmart.workspace import cut
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -73,18 +73,20 @@ class Model:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, text_col: str, key: str, label: str, most: int
 ) -> DataFrame:
-    """``text`` and ``toxic`` of up to ``most`` labelled texts of either class."""
+    """``text`` and ``toxic`` of about ``most`` labelled texts of either class, drawn by hash."""
     verdict = (
         labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(key).alias("label_of"))
         .agg((F.avg(label) >= 0.5).alias("toxic"))
     )
-    chosen = [
-        verdict.where(F.col("toxic") == toxic).orderBy(F.xxhash64("label_of"), "label_of").limit(most)
-        for toxic in (False, True)
-    ]
+    n = {row["toxic"]: row["count"] for row in verdict.groupBy("toxic").count().collect()}
+    share = {toxic: most / n.get(toxic, most) for toxic in (False, True)}
+    chosen = verdict.where(
+        drawn(F.col("label_of"), share[True]) & F.col("toxic")
+        | drawn(F.col("label_of"), share[False]) & ~F.col("toxic")
+    )
     # The sample's size is bounded by the parameter.
-    few = F.broadcast(cut(chosen[0].unionByName(chosen[1]), "toxicity-labels"))
+    few = F.broadcast(cut(chosen, "toxicity-labels"))
     texts = (
         docs.select(docs[f"`{key}`"].alias("key"), text_of(docs, text_col).alias("text"))
         .join(few, F.col("key") == F.col("label_of"))
@@ -132,7 +134,7 @@ def fit(
     least_texts: int = 4,
     rounds: int = 400,
 ) -> Model:
-    """Learn from up to ``most`` labelled texts a class and the ``most_features`` telling features."""
+    """Learn from about ``most`` labelled texts a class and the ``most_features`` telling features."""
     sample = labelled_sample(docs, labels, text_col, key, label, most)
     sizes = {row["toxic"]: row["count"] for row in sample.groupBy("toxic").count().collect()}
     n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
