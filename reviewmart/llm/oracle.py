@@ -1,7 +1,210 @@
-"""SQL counterparts of the operators that SQL can express."""
+"""SQL counterparts of the operators that SQL can express, over the same tables."""
 
 from __future__ import annotations
 
+_OP4 = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, row_number() OVER () AS n, CAST(embedding AS DOUBLE[]) AS v,
+           embedding IS NOT NULL AND len(embedding) > 0
+           AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
+    FROM embeddings),
+links AS (
+    SELECT a.n AS a, b.n AS b FROM vectors a JOIN vectors b
+    ON a.usable AND b.usable AND a.n <> b.n AND len(a.v) = len(b.v)
+       AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reached AS (
+    SELECT n AS a, n AS b FROM vectors
+    UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a)
+SELECT o.vec_id, (SELECT count(*) FROM links WHERE a = o.n) AS n_links,
+       min(t.vec_id) AS component_id, o.vec_id = min(t.vec_id) AS kept
+FROM vectors o JOIN reached r ON o.n = r.a JOIN vectors t ON r.b = t.n
+GROUP BY o.n, o.vec_id
+"""
+
+_OP7 = r"""
+WITH sized AS (
+    SELECT doc_id, source,
+           len(regexp_extract_all(coalesce("text", ''), '[^\x20\x09-\x0D]+')) AS size,
+           CAST('0x' || substr(md5(concat_ws(':', '2024', coalesce(CAST(doc_id AS VARCHAR), '-'),
+                                             coalesce("text", '-'))), 1, 15) AS BIGINT) AS draw
+    FROM documents),
+sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight
+    FROM sized GROUP BY source),
+-- Sources in the order in which a rising level reaches their caps.
+filling AS (
+    SELECT *, 2.0 * source_size AS cap, 2.0 * source_size / weight AS full_at,
+           (1.5 * sum(source_size) OVER () - coalesce(sum(2.0 * source_size) OVER before, 0))
+           / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+    FROM sources
+    WINDOW before AS (ORDER BY 2.0 * source_size / weight, source
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+water AS (
+    SELECT coalesce((SELECT level FROM filling WHERE full_at >= level
+                     ORDER BY full_at, source LIMIT 1), 1e300) AS level),
+aimed AS (
+    SELECT source, source_size, least(cap, weight * water.level) AS target,
+           CASE WHEN source_size > 0
+                THEN floor(least(cap, weight * water.level) / source_size) ELSE 0 END AS whole
+    FROM filling, water),
+drawn AS (
+    SELECT source, draw, sum(size) AS size FROM sized GROUP BY source, draw),
+running AS (
+    SELECT d.source, d.draw, d.size, target - whole * source_size AS missing,
+           sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw) AS through
+    FROM drawn d JOIN aimed a ON d.source IS NOT DISTINCT FROM a.source),
+gaps AS (
+    SELECT source, coalesce(max(draw) FILTER (through <= missing), -1) AS last_draw,
+           any_value(missing) - coalesce(max(through) FILTER (through <= missing), 0) AS gap
+    FROM running WHERE missing > 0 GROUP BY source),
+more AS (
+    SELECT g.source, arg_min(r.draw, (abs(r.size - gap), r.draw)) AS more_draw
+    FROM running r JOIN gaps g ON r.source IS NOT DISTINCT FROM g.source
+    WHERE r.draw > last_draw AND abs(r.size - gap) < gap GROUP BY g.source)
+SELECT s.doc_id, s.size, a.source_size, a.target,
+       CAST(s.size * (whole + CAST(coalesce(draw <= last_draw, false)
+                                   OR coalesce(draw = more_draw, false) AS INT)) AS BIGINT) AS taken
+FROM sized s JOIN aimed a ON s.source IS NOT DISTINCT FROM a.source
+LEFT JOIN gaps g ON s.source IS NOT DISTINCT FROM g.source
+LEFT JOIN more m ON s.source IS NOT DISTINCT FROM m.source
+"""
+
+
+def _found(kind: str, pattern: str, group: int, keeps: str, table: str = "texts") -> str:
+    """Matches of a pattern in a table's texts, with their places from what stands between them."""
+    return f"""
+        SELECT n, '{kind}' AS kind, start, start + length(hit) AS "end", value
+        FROM (SELECT n, hits[i] AS hit, vals[i] AS value,
+                     CAST(list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+                          + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0)
+                          AS BIGINT) AS start
+              FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i
+                    FROM (SELECT n, string_split_regex("text", '{pattern}') AS gaps,
+                                 regexp_extract_all("text", '{pattern}') AS hits,
+                                 regexp_extract_all("text", '{pattern}', {group}) AS vals
+                          FROM {table} WHERE regexp_matches("text", '{pattern}'))))
+        WHERE {keeps}"""
+
+
+_ASSIGN = (
+    r"""(?:(?i)(?:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+_RANDOM = "len(list_distinct(string_split(value, ''''))) >= 8".replace("''''", "''")
+
+_OP8 = f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS n, doc_id, source, lang, coalesce("text", '') AS "text"
+    FROM documents),
+known AS (
+    {_found("assign", _ASSIGN, 1, "length(value) >= 8")}
+    UNION ALL {_found("access", "AKIA[A-Z0-9]+", 0, "length(value) >= 16")}
+    UNION ALL {_found("hex", "[0-9a-f]{32,}", 0, "true")}),
+loose AS (
+    {_found("random", "[A-Za-z0-9+/_=-]{20,}", 0, "regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND " + _RANDOM)}),
+spans AS (
+    SELECT * FROM known
+    UNION ALL
+    SELECT * FROM loose l WHERE NOT EXISTS (
+        SELECT 1 FROM known k WHERE k.n = l.n AND k.start < l."end" AND l.start < k."end")),
+carried AS (
+    SELECT value, count(DISTINCT coalesce('+' || source, '')) AS owners
+    FROM spans JOIN texts USING (n) GROUP BY value),
+judged AS (
+    SELECT s.*, list_position(['assign', 'access', 'hex', 'random'], kind) AS place,
+           owners < 3 AND ({_RANDOM} OR kind <> 'assign') AS live
+    FROM spans s JOIN carried USING (value)
+    WHERE kind <> 'random' OR owners = 1),
+listed AS (
+    SELECT n, count(*) FILTER (kind = 'assign') AS n_assign,
+           count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, place)
+               FILTER (kind <> 'random') AS base,
+           string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, place) AS spans,
+           count(*) FILTER (live) AS n_live
+    FROM judged GROUP BY n)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live
+FROM texts LEFT JOIN listed USING (n)
+"""
+
+
+_DIGITS = "regexp_replace(value, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(range(1, length({_DIGITS}) + 1),
+    lambda i: CASE WHEN i % 2 = 1 THEN CAST(reverse({_DIGITS})[i] AS INT)
+              ELSE CAST(reverse({_DIGITS})[i] AS INT) * 2 % 10 + CAST(reverse({_DIGITS})[i] AS INT) * 2 // 10
+              END)) % 10 = 0"""
+_TERM = r"\p{L}[\p{L}\p{N}]{2,}"
+
+_OP1 = f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS n, doc_id, coalesce("text", '') AS "text" FROM documents),
+base AS (
+    {_found("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+", 0, "true")}
+    UNION ALL {_found("ip", "[0-9]+(?:[.][0-9]+)(?:[.][0-9]+)(?:[.][0-9]+)", 0,
+        "len(list_filter(string_split(value, '.'), lambda p: length(ltrim(p, '0')) > 3 OR CAST(p AS HUGEINT) > 255)) = 0")}
+    UNION ALL {_found("card", "[0-9](?:[ -]?[0-9])+", 0, f"length({_DIGITS}) BETWEEN 13 AND 19 AND {_LUHN}")}
+    UNION ALL {_found("phone", "[+][0-9][ ().0-9-]+[0-9]", 0, f"length({_DIGITS}) BETWEEN 9 AND 15")}),
+entities AS (
+    SELECT n, kind || ':' || lower(value) AS entity, start, "end" FROM base),
+sides AS (
+    SELECT row_number() OVER () AS n, * FROM (
+        SELECT n AS doc, entity, greatest(start - 60, 0) AS begin, true AS before,
+               substr("text", CAST(greatest(start - 60, 0) AS BIGINT) + 1,
+                      start - CAST(greatest(start - 60, 0) AS BIGINT)) AS "text"
+        FROM entities JOIN texts USING (n)
+        UNION ALL
+        SELECT n, entity, "end", false, substr("text", "end" + 1, 60)
+        FROM entities JOIN texts USING (n))),
+terms AS (
+    {_found("term", _TERM, 0, "true", "sides")}),
+near AS (
+    SELECT doc AS n, entity, lower(value) AS word, begin + start AS start, begin + "end" AS "end"
+    FROM terms t JOIN (SELECT n, doc, entity, begin, before FROM sides) s USING (n)
+    WHERE CASE WHEN before THEN start > 0 OR begin = 0 ELSE "end" < 60 END
+      AND NOT EXISTS (SELECT 1 FROM base b WHERE b.n = s.doc AND b.start < begin + t."end"
+                                             AND begin + t.start < b."end")),
+pairs AS (
+    SELECT entity, word, count(DISTINCT n) AS together FROM near
+    GROUP BY entity, word HAVING count(DISTINCT n) >= 3),
+entity_docs AS (SELECT entity, count(DISTINCT n) AS entity_docs FROM entities GROUP BY entity),
+word_docs AS (
+    SELECT word, count(DISTINCT n) AS word_docs
+    FROM (SELECT n, unnest(regexp_extract_all(lower("text"), '{_TERM}')) AS word FROM texts)
+    GROUP BY word),
+disclosing AS (
+    SELECT entity, word FROM pairs JOIN entity_docs USING (entity) JOIN word_docs USING (word),
+         (SELECT CAST(count(*) AS DOUBLE) AS total FROM texts)
+    WHERE entity_docs < total
+      AND log2(together * total / (word_docs * entity_docs)) / log2(total / entity_docs) >= 0.75),
+spans AS (
+    SELECT n, kind, start, "end" FROM base
+    UNION ALL
+    SELECT DISTINCT n, 'term', start, "end" FROM near JOIN disclosing USING (entity, word)),
+placed AS (
+    SELECT *, kind || ':' || start || ':' || "end" AS shown,
+           list_position(['email', 'ip', 'card', 'phone', 'term'], kind) AS place FROM spans),
+listed AS (
+    SELECT n, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+           count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+           count(*) FILTER (kind = 'term') AS n_term,
+           string_agg(shown, ',' ORDER BY place, start) FILTER (kind <> 'term') AS base,
+           string_agg(shown, ',' ORDER BY place, start) AS spans
+    FROM placed GROUP BY n)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip,
+       coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_term, 0) AS n_term
+FROM texts LEFT JOIN listed USING (n)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_pii": _OP1,
+        "op4_embedding_dedup": _OP4,
+        "op7_mixing": _OP7,
+        "op8_secrets": _OP8,
+    }
