@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 
 from reviewmart.llm.common import drawn
 
-# Chunks kept per worker process in each of two tables; a full one starts anew, with the same results.
-_KEPT_CHUNKS = 800_000
+# Chunks kept per worker process in each of two tables. A full one makes room for a new one, which
+# takes over what is met again; the results are the same.
+_KEPT_CHUNKS = 500_000
 _BLOCK_BYTES = 1 << 20
 _BLOCK_DOCUMENTS = 4096
 _LEVEL = 1
@@ -54,16 +55,21 @@ class _Chunks(dict):
     def __init__(self, tokenizer: object, lead: str, code: str, special: list[str]) -> None:
         self.tokenizer, self.lead, self.code, self.special = tokenizer, lead, code, special
         self.model = tokenizer.model.tokenize
+        self.lead_name = lead.translate(_BYTE_NAMES)
+        self.before: dict[str, bytes] = {}
         self.marks = {mark: self.whole(mark) for mark in ".,;:!?"}
 
     def whole(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= _KEPT_CHUNKS:
-            self.clear()
-        if _is_word(chunk):
-            piece = (self.lead + chunk).encode().decode("latin1").translate(_BYTE_NAMES)
+        if chunk in self.before:
+            found = self.before[chunk]
+        elif _is_word(chunk):
+            if chunk.isascii():
+                piece = self.lead_name + chunk
+            else:
+                piece = self.lead_name + chunk.encode().decode("latin1").translate(_BYTE_NAMES)
             found = array(self.code, [token.id for token in self.model(piece)]).tobytes()
         elif not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Odd
@@ -73,6 +79,9 @@ class _Chunks(dict):
             raise _Odd
         else:
             found = self.whole(self.lead + chunk)
+        if len(self) >= _KEPT_CHUNKS:
+            self.before = dict(self)
+            self.clear()
         self[chunk] = found
         return found
 
@@ -143,10 +152,9 @@ def train_dictionary(docs: DataFrame, vocabulary: str, samples: int, size: int)
     The texts are drawn by their hash from all rows, twice as many at most. Where there is too little to
     train on, the serialized ids themselves serve; with no texts at all there is no dictionary.
     """
-    some = docs.where(F.length("text").between(1, 16384)).select("text")
-    share = samples / max(1, some.count())
+    share = samples / max(1, docs.count())
     rows = (
-        some.where(drawn(F.col("text"), share))
+        docs.where(F.length("text").between(1, 16384) & drawn(F.col("text"), share))
         .groupBy(F.xxhash64("text").alias("hash"))
         .agg(F.first("text").alias("text"))
     )
