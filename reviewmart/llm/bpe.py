@@ -25,14 +25,15 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Chunks kept per worker process. Beyond it the table starts anew; results do not change.
-_KEPT_CHUNKS = 600_000
+# Chunks kept per worker process in each of two tables. A full one makes room for a new one, which
+# takes over what is met again; the results are the same.
+_KEPT_CHUNKS = 350_000
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 # str.split takes these for white space too, the vocabulary's rule does not.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
-def _byte_characters() -> list[str]:
+def byte_characters() -> list[str]:
     """The printable character that stands for each byte in a vocabulary."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = iter(range(256, 512))
@@ -56,9 +57,10 @@ class Encoder:
         }
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.word = regex.compile(split["pattern"]["Regex"])
-        self.bytes = _byte_characters()
+        self.bytes = byte_characters()
         self.special_parts = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.kept: dict[str, tuple[str, str, int]] = {}
+        self.before: dict[str, tuple[str, str, int]] = {}
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one word."""
@@ -103,9 +105,9 @@ class Encoder:
                 continue
             for chunk in _SPACE.split(part) if _ODD_SPACE.search(part) else part.split():
                 if not (known := self.kept.get(chunk)):
-                    known = self._chunk(chunk)
+                    known = self.before.get(chunk) or self._chunk(chunk)
                     if len(self.kept) >= _KEPT_CHUNKS:
-                        self.kept.clear()
+                        self.kept, self.before = {}, self.kept
                     self.kept[chunk] = known
                 if known[2]:
                     yield known

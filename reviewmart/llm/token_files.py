@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmart.llm.bpe import byte_characters
 from reviewmart.llm.common import drawn
 
 # Chunks kept per worker process in each of two tables. A full one makes room for a new one, which
@@ -91,14 +92,7 @@ def _is_word(chunk: str) -> bool:
     return chunk.isalpha() and (chunk.isascii() or max(chunk) < "\u0500")
 
 
-def _byte_names() -> dict[int, str]:
-    """The printable character that stands for each byte in a byte-level vocabulary."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = iter(range(256, 512))
-    return {byte: chr(byte if byte in shown else next(others)) for byte in range(256)}
-
-
-_BYTE_NAMES = _byte_names()
+_BYTE_NAMES = dict(enumerate(byte_characters()))
 
 
 class Serializer:
