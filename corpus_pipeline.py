@@ -21,7 +21,7 @@ MAX_BITS = 3
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out documents that the fixed limits or the learned rules reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    measured = quality_rules.measures(docs)
+    measured = cut(quality_rules.measures(docs), "quality-documents")
     rules = quality_rules.fit(quality_rules.labelled(measured, labels))
     return quality_rules.judge(measured, rules).where("kept").select("doc.*")
 

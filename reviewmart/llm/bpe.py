@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 # Chunks kept per worker process in each of two tables. A full one makes room for a new one, which
 # takes over what is met again; the results are the same.
-_KEPT_CHUNKS = 350_000
+_KEPT_CHUNKS = 250_000
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 # str.split takes these for white space too, the vocabulary's rule does not.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")

@@ -11,13 +11,14 @@ Without labels (or without both classes) no rule is learned and only the fixed l
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmart.llm.common import as_doc, count_of, let, n_words, text_of, words
+from reviewmart.llm.common import SPACES, as_doc, count_of, let, n_words, text_of, words
 from reviewmart.workspace import cut
 
 SYMBOLS = "#*$%&|<>"
@@ -94,7 +95,7 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     counts = docs.select(
         as_doc(docs),
         n_words(text).alias("n_words"),
-        F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
+        F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
         count_of(text, SYMBOLS).alias("n_symbols"),
         lines.alias("lines"),
         _repeated_windows(text).alias("n_repeat_words"),
@@ -277,8 +278,7 @@ def fit(
 
 
 def _gain(junk: int, good: int, before: float) -> float:
-    import math
-
+    """Bits saved on the junk that stays covered."""
     if not junk or not before:
         return 0.0
     return junk * (math.log2(_precision(junk, good)) - math.log2(before))

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache, partial
@@ -258,11 +259,11 @@ def _load_dictionary(spark: SparkSession, path: str) -> bytes:
     return data
 
 
-def _frames(batch: pa.RecordBatch, data: bytes) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
-    """Row, document id, place in the part and ids of each document of some blocks."""
+def _frames(batch: pa.RecordBatch, data: bytes) -> Iterator[tuple[int | None, int, np.ndarray]]:
+    """Document id, place in the part and ids of each document of some blocks."""
     name = hashlib.sha256(data).hexdigest()
     decompress = zstandard.ZstdDecompressor(dict_data=_dictionary(data)).decompress
-    for at, row in enumerate(batch.to_pylist()):
+    for row in batch.to_pylist():
         if row["dictionary"] != name:
             raise ValueError("a block was written with another dictionary")
         start, payload, offsets = row["start"], memoryview(row["payload"]), row["offsets"]
@@ -270,7 +271,7 @@ def _frames(batch: pa.RecordBatch, data: bytes) -> Iterator[tuple[int, int | Non
             ids = np.frombuffer(
                 decompress(payload[offsets[i] : offsets[i + 1]]), f"<u{row['width']}"
             )
-            yield at, doc_id, start, ids.astype("<u4")
+            yield doc_id, start, ids.astype("<u4")
             start += len(ids)
 
 
@@ -280,8 +281,6 @@ def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     ``start`` counts the ids of all documents before. Only the totals of the parts, one for each
     task that wrote, come to the driver.
     """
-    import zlib
-
     data = _load_dictionary(spark, path)
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     size = F.aggregate("tokens", F.lit(0).cast("long"), lambda total, n: total + n)
@@ -297,13 +296,13 @@ def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
             for begin in range(batch.num_rows):
                 rows = list(_frames(batch.slice(begin, 1), data))
                 out = {
-                    "doc_id": pa.array([r[1] for r in rows], pa.int64()),
-                    "start": [begins[parts[begin]] + r[2] for r in rows],
-                    "n_tokens": [len(r[3]) for r in rows],
-                    "ids_crc32": [zlib.crc32(r[3]) for r in rows],
+                    "doc_id": pa.array([doc_id for doc_id, _, _ in rows], pa.int64()),
+                    "start": [begins[parts[begin]] + start for _, start, _ in rows],
+                    "n_tokens": [len(ids) for _, _, ids in rows],
+                    "ids_crc32": [zlib.crc32(ids) for _, _, ids in rows],
                 }
                 if with_ids:
-                    out["ids"] = pa.array([r[3] for r in rows], pa.list_(pa.int32()))
+                    out["ids"] = pa.array([ids for _, _, ids in rows], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_pydict(out)
 
     return blocks.mapInArrow(work, schema + (", ids array<int>" if with_ids else ""))

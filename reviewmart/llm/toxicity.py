@@ -165,8 +165,7 @@ def fit(
             for text, toxic in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 counts, words = features_of(text)
                 mine = sorted(counts.keys() & number.keys())
-                marked = sum(n for f, n in counts.items() if f in marks and f[0] != "^")
-                marked += sum(n for f, n in counts.items() if f in marks and len(f) == 1 + _BEGINNINGS[0] and f[0] == "^")
+                marked = sum(n for f, n in counts.items() if f in marks)
                 rows.append(
                     {
                         "toxic": toxic,
@@ -175,7 +174,7 @@ def fit(
                         "values": [_value(counts[f], words) for f in mine],
                     }
                 )
-            yield pa.RecordBatch.from_pylist(rows, schema=_SPARSE) if rows else pa.RecordBatch.from_pylist([], schema=_SPARSE)
+            yield pa.RecordBatch.from_pylist(rows, schema=_SPARSE)
 
     rows = (
         sample.select("text", "toxic")
