@@ -101,7 +101,7 @@ class Models:
     def loaded_fact(self) -> DataFrame:
         """The fact as a dashboard finds it: loaded, and read from its files."""
         path = self.path("fct_reviews")
-        writers.load_fact(cut(self.fct_reviews(), "fact"), path)
+        writers.load_fact(self.fct_reviews(), path)
         return writers.read_fact(self.spark, path)
 
     def path(self, label: str) -> str:
@@ -199,10 +199,11 @@ def materialize_table(m: Models) -> DataFrame:
 @_query
 def fct_insert_overwrite(m: Models) -> DataFrame:
     """Load everything, then reload the later months with verified reviews only."""
-    path, fact = m.path("fct_reviews"), cut(m.fct_reviews(), "fact")
-    writers.load_fact(fact, path)
+    path = m.path("fct_reviews")
+    writers.load_fact(m.fct_reviews(), path)
     late = F.col("review_month") >= F.lit("1998-01-01").cast("timestamp")
-    writers.load_fact(rows.verified_slicer(fact.where(late), True), path)
+    loaded = writers.read_fact(m.spark, path).where(late)
+    writers.load_fact(cut(rows.verified_slicer(loaded, True), "verified"), path)
     return writers.read_fact(m.spark, path)
 
 

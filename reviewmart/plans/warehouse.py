@@ -17,7 +17,7 @@ from reviewmart.plans.staging import stg_items, stg_reviews
 from reviewmart.session import apply_conf
 from reviewmart.sources.readers import external_table
 from reviewmart.sources.writers import load_fact, materialize_table, materialize_view, read_fact
-from reviewmart.workspace import cut, run_folder, stored_bytes
+from reviewmart.workspace import run_folder, stored_bytes
 
 
 def build(
@@ -75,6 +75,6 @@ def build(
             schemas.FCT_REVIEWS,
         )
         fact_path = f"{out}/fct_reviews"
-        load_fact(cut(fact, "fact"), fact_path)
+        load_fact(fact, fact_path)
     models["fct_reviews"] = read_fact(spark, fact_path)
     return models

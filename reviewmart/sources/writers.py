@@ -53,16 +53,18 @@ def cluster_layout(fact: DataFrame, partitions: int | None = None) -> DataFrame:
     """Deal rows out by ranges of month, user and product, and sort them; no value changes.
 
     Each file of a month then holds a range of users of its own, and statistics tell a reader
-    which files and row groups to skip. The last part of the range is a hash of the whole row,
-    so that neither a busy month nor a busy user has to stay in one task. ``partitions`` is the
-    number of ranges; by default, that of a shuffle, from which adaptive execution merges small
-    ones. Finding the ranges samples the rows, so they should be cheap to compute or written.
+    which files and row groups to skip. Ranges also go by time and by the partition a row comes
+    from, so that neither a busy month, a busy user nor a run of copies has to stay in one task.
+    ``partitions`` is the number of ranges; by default, that of a shuffle, from which adaptive
+    execution merges small ones. Finding the ranges takes a pass over the rows of its own, which
+    shuffles that were done for them serve as well.
     """
-    order = [F.col(FACT_PARTITION), *map(F.col, FACT_CLUSTER), F.xxhash64(*fact.columns)]
+    order = [F.col(name) for name in (FACT_PARTITION, *FACT_CLUSTER)]
+    ranges = [*order, F.col("timestamp"), F.spark_partition_id()]
     ranged = (
-        fact.repartitionByRange(partitions, *order)
+        fact.repartitionByRange(partitions, *ranges)
         if partitions
-        else fact.repartitionByRange(*order)
+        else fact.repartitionByRange(*ranges)
     )
     return ranged.sortWithinPartitions(*order)
 
