@@ -4,15 +4,15 @@ from __future__ import annotations
 
 _OP4 = """
 WITH RECURSIVE vectors AS (
-    SELECT vec_id, row_number() OVER () AS n, CAST(embedding AS DOUBLE[]) AS v,
-           embedding IS NOT NULL AND len(embedding) > 0
-           AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
-           AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
+    SELECT vec_id, row_number() OVER () AS n,
+           CASE WHEN len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+                 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+                THEN CAST(embedding AS DOUBLE[]) END AS v
     FROM embeddings),
 links AS (
     SELECT a.n AS a, b.n AS b FROM vectors a JOIN vectors b
-    ON a.usable AND b.usable AND a.n <> b.n AND len(a.v) = len(b.v)
-       AND list_cosine_similarity(a.v, b.v) >= 0.9),
+    ON a.n <> b.n AND len(a.v) = len(b.v)
+    WHERE CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) END >= 0.9),
 reached AS (
     SELECT n AS a, n AS b FROM vectors
     UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a)

@@ -9,7 +9,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import SF
+from samples import SF
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
