@@ -18,107 +18,108 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmart.llm.common import SPACES, as_doc, count_of, let, n_words, text_of, words
+from reviewmart.llm.common import as_doc, count_of, let, text_of, words
 from reviewmart.workspace import cut
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_UPPER, _DIGITS, _MARKS, _STOPS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "!?", ".,;:"
+# What is not counted character by character.
+_UNCOUNTED = f"[^{SYMBOLS}{_UPPER}{_DIGITS}{_MARKS}{_STOPS}]+"
 _WORD_CHARACTER = r"[^\x20\x09-\x0D]"
 
 
-def _repeated_windows(text: Column) -> Column:
-    """Words that lie in a three-word window found twice or more in the text.
+def _windows(hashes: Column) -> Column:
+    """A 64-bit hash of each three-word window, from its words' hashes."""
+    n = F.greatest(F.size(hashes) - 2, F.lit(0))
+    return F.zip_with(
+        F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, 2, n), lambda a, b: F.xxhash64(a, b)),
+        F.slice(hashes, 3, n),
+        lambda ab, c: F.xxhash64(ab, c),
+    )
 
-    Windows are compared by a 64-bit hash of their words' hashes. Sorting the hashes with their
-    positions puts equal windows side by side; covered words are then counted without overlap.
-    """
 
-    def windows(hashes: Column) -> Column:
-        n = F.size(hashes) - 2
-        return F.zip_with(
-            F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, 2, n), lambda a, b: F.xxhash64(a, b)),
-            F.slice(hashes, 3, n),
-            lambda ab, c: F.xxhash64(ab, c),
-        )
+def _covered(windows: Column) -> Column:
+    """Words that lie in a window found twice or more.
 
-    def covered(keys: Column) -> Column:
-        placed = F.sort_array(F.transform(keys, lambda key, at: F.struct(key.alias("key"), at.alias("at"))))
+    Sorting the windows with their places puts equal ones side by side; the words that the
+    repeated ones cover are then counted without overlap.
+    """
 
-        def repeated(ordered: Column) -> Column:
-            n = F.size(ordered) - 1
-            same = F.zip_with(
-                F.slice(ordered, 1, n), F.slice(ordered, 2, n), lambda a, b: a["key"] == b["key"]
-            )
-            return let(
-                same,
-                lambda s: F.filter(
-                    F.zip_with(
-                        ordered,
-                        F.zip_with(F.concat(s, F.array(F.lit(False))), F.concat(F.array(F.lit(False)), s), lambda a, b: a | b),
-                        lambda entry, hit: F.when(hit, entry["at"]),
-                    ),
-                    lambda at: at.isNotNull(),
+    def repeated(ordered: Column) -> Column:
+        n = F.size(ordered) - 1
+        same = F.zip_with(
+            F.slice(ordered, 1, n), F.slice(ordered, 2, n), lambda a, b: a["key"] == b["key"]
+        )
+        none = F.array(F.lit(False))
+        return let(
+            same,
+            lambda s: F.filter(
+                F.zip_with(
+                    ordered,
+                    F.zip_with(F.concat(s, none), F.concat(none, s), lambda a, b: a | b),
+                    lambda entry, hit: F.when(hit, entry["at"]),
                 ),
-            )
-
-        def spread(at: Column) -> Column:
-            n = F.size(at)
-            following = F.concat(F.slice(at, 2, n - 1), F.array(F.element_at(at, -1) + 3))
-            return F.aggregate(
-                F.zip_with(at, following, lambda a, b: F.least(b - a, F.lit(3))),
-                F.lit(0),
-                lambda total, step: total + step,
-            )
-
-        return let(F.sort_array(let(placed, repeated)), spread)
+                lambda at: at.isNotNull(),
+            ),
+        )
 
-    def counted(keys: Column) -> Column:
-        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.lit(0)).otherwise(covered(keys))
+    def spread(at: Column) -> Column:
+        following = F.concat(F.slice(at, 2, F.size(at) - 1), F.array(F.element_at(at, -1) + 3))
+        return F.aggregate(
+            F.zip_with(at, following, lambda a, b: F.least(b - a, F.lit(3))),
+            F.lit(0),
+            lambda total, step: total + step,
+        )
 
-    return let(
-        F.transform(words(text), lambda word: F.xxhash64(word)),
-        lambda hashes: F.when(F.size(hashes) < 4, F.lit(0)).otherwise(let(windows(hashes), counted)),
-    ).cast("long")
+    placed = F.transform(windows, lambda key, at: F.struct(key.alias("key"), at.alias("at")))
+    return let(F.sort_array(let(F.sort_array(placed), repeated)), spread)
 
 
 def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``doc`` and ``m``, a struct of counts over the whole text."""
-    text = text_of(docs, text_col)
-    lines = let(
-        F.filter(F.split(text, "\n"), lambda line: line.rlike(_WORD_CHARACTER)),
-        lambda kept: F.struct(
-            F.size(kept).alias("all"), F.size(F.array_distinct(kept)).alias("different")
-        ),
+    """``doc`` and ``m``, a struct of counts over the whole text.
+
+    Words, lines and windows are columns of their own on the way, so that each is made once, and
+    characters are counted in what is left of the text without all others.
+    """
+    text, left = F.col("text"), F.col("left")
+    split = docs.select(as_doc(docs), text_of(docs, text_col).alias("text")).select(
+        "doc",
+        "text",
+        words(text).alias("words"),
+        F.regexp_replace(text, _UNCOUNTED, "").alias("left"),
+        F.filter(F.split(text, "\n"), lambda line: line.rlike(_WORD_CHARACTER)).alias("lines"),
     )
-    counts = docs.select(
-        as_doc(docs),
-        n_words(text).alias("n_words"),
-        F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
-        count_of(text, SYMBOLS).alias("n_symbols"),
-        lines.alias("lines"),
-        _repeated_windows(text).alias("n_repeat_words"),
-        count_of(text, _UPPER).alias("n_upper"),
-        count_of(text, "0123456789").alias("n_digits"),
-        count_of(text, "!?").alias("n_marks"),
-        count_of(text, ".,;:").alias("n_stops"),
-        F.size(F.array_distinct(words(text))).cast("long").alias("n_different"),
+    counted = split.select(
+        "doc",
+        F.size("words").cast("long").alias("n_words"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        count_of(left, SYMBOLS).alias("n_symbols"),
+        F.size("lines").cast("long").alias("n_lines"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        count_of(left, _UPPER).alias("n_upper"),
+        count_of(left, _DIGITS).alias("n_digits"),
+        count_of(left, _MARKS).alias("n_marks"),
+        count_of(left, _STOPS).alias("n_stops"),
+        F.transform("words", lambda word: F.xxhash64(word)).alias("hashes"),
     )
-    return counts.select(
+    windowed = counted.withColumn("windows", _windows(F.col("hashes")))
+    repeats = F.size("windows") > F.size(F.array_distinct("windows"))
+    return windowed.select(
         "doc",
         F.struct(
             "n_words",
             "word_chars",
             "n_symbols",
-            (F.col("lines.all") - F.col("lines.different")).cast("long").alias("n_dup_lines"),
-            "n_repeat_words",
-            F.col("lines.all").cast("long").alias("n_lines"),
+            "n_dup_lines",
+            F.when(repeats, _covered(F.col("windows"))).otherwise(0).cast("long").alias("n_repeat_words"),
+            "n_lines",
             "n_upper",
             "n_digits",
             "n_marks",
             "n_stops",
-            "n_different",
+            F.size(F.array_distinct("hashes")).cast("long").alias("n_different"),
         ).alias("m"),
     )
 
