@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-
-from reviewmart.jobs.staging import options, read_rows
+from reviewmart.jobs.staging import options, read_rows, start
 from reviewmart.plans.staging import stage_items
 from reviewmart.schemas import RAW_ITEM
-from reviewmart.session import apply_conf
 from reviewmart.sources.readers import scan_items_json
 from reviewmart.sources.writers import write_items_parquet
 
 
 def main(argv: list[str] | None = None) -> None:
     chosen = options(__doc__, "raw/meta/*.jsonl.gz", "staging/item").parse_args(argv)
-    spark = apply_conf(SparkSession.builder.appName("stage items").getOrCreate())
+    spark = start("stage items", chosen)
     scan = scan_items_json(spark, chosen.input, chosen.skip_broken_files)
     raw = read_rows(spark, chosen, RAW_ITEM, scan)
     write_items_parquet(stage_items(raw), chosen.output, chosen.partitions)

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from reviewmart.jobs.staging import options, read_rows
+from reviewmart.jobs.staging import options, read_rows, start
 from reviewmart.plans.staging import stage_reviews
 from reviewmart.schemas import RAW_REVIEW_ANY_TIME
-from reviewmart.session import apply_conf
 from reviewmart.sources.readers import scan_reviews_json
 from reviewmart.sources.writers import write_reviews_parquet
 
 
 def main(argv: list[str] | None = None) -> None:
     chosen = options(__doc__, "raw/reviews/*.jsonl.gz", "staging/review").parse_args(argv)
-    spark = apply_conf(SparkSession.builder.appName("stage reviews").getOrCreate())
+    spark = start("stage reviews", chosen)
     scan = scan_reviews_json(spark, chosen.input, RAW_REVIEW_ANY_TIME, chosen.skip_broken_files)
     raw = read_rows(spark, chosen, RAW_REVIEW_ANY_TIME, scan)
     # Times that no timestamp can hold become null, and their reviews are left out of the models.

@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from reviewmart.session import apply_conf
 from reviewmart.sources.readers import broken_files, split_corrupt
 from reviewmart.sources.writers import materialize_table
 
@@ -16,6 +17,11 @@ def options(description: str, example: str, output: str) -> argparse.ArgumentPar
     args.add_argument("--input", required=True, help=f"path or glob, e.g. {example}")
     args.add_argument("--output", default=output)
     args.add_argument("--partitions", type=int, help="exact number of files; default: by size")
+    args.add_argument(
+        "--file-bytes",
+        default="256MB",
+        help="what a file is written from without --partitions, as shuffled rows",
+    )
     args.add_argument(
         "--skip-broken-files",
         action="store_true",
@@ -29,6 +35,13 @@ def options(description: str, example: str, output: str) -> argparse.ArgumentPar
     return args
 
 
+def start(name: str, chosen: argparse.Namespace) -> SparkSession:
+    """The session of a staging job. Its only shuffle is the one before its files."""
+    spark = apply_conf(SparkSession.builder.appName(name).getOrCreate())
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", chosen.file_bytes)
+    return spark
+
+
 def read_rows(
     spark: SparkSession, chosen: argparse.Namespace, schema: StructType, scan: DataFrame
 ) -> DataFrame:
