@@ -61,10 +61,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    ids = bpe.ids_of(F.col("text"), vocabulary)
-    return docs.select("doc_id", "source", ids.alias("ids")).select(
-        "doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids"
-    )
+    return bpe.with_ids(docs.select("doc_id", "source", "text"), "text", vocabulary)
 
 
 STAGES = [

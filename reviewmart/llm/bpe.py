@@ -16,18 +16,22 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
-# Chunks kept per worker process in each of two tables. A full one makes room for a new one, which
-# takes over what is met again; the results are the same.
-_KEPT_CHUNKS = 250_000
+# Chunks kept per worker process, in each of two tables.
+_KEPT_CHUNKS = 200_000
+# Documents whose ids are held at once.
+_AT_ONCE = 256
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 # str.split takes these for white space too, the vocabulary's rule does not.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -40,6 +44,28 @@ def byte_characters() -> list[str]:
     return [chr(byte if byte in shown else next(others)) for byte in range(256)]
 
 
+class Kept(dict):
+    """Values made when first asked for and kept, in two tables of up to ``most`` entries.
+
+    A full table makes room for a new one, which takes over what is met again. What is kept never
+    changes a value.
+    """
+
+    def __init__(self, make: Callable[[str], object], most: int) -> None:
+        self.make, self.most = make, most
+        self.before: dict[str, object] = {}
+
+    def __missing__(self, key: str) -> object:
+        found = self.before.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 class Encoder:
     """Encodes with the vocabulary file at ``path``: a byte-level BPE with word ends."""
 
@@ -59,8 +85,8 @@ class Encoder:
         self.word = regex.compile(split["pattern"]["Regex"])
         self.bytes = byte_characters()
         self.special_parts = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.kept: dict[str, tuple[str, str, int]] = {}
-        self.before: dict[str, tuple[str, str, int]] = {}
+        self.kept = Kept(self._chunk, _KEPT_CHUNKS)
+        self.kept_packed = Kept(self._packed, _KEPT_CHUNKS)
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one word."""
@@ -91,36 +117,48 @@ class Encoder:
                 heapq.heappush(queue, (found[0], h, ids[h], ids[i]))
         return [i for i in ids if i >= 0]
 
+    def _ids(self, chunk: str) -> list[int]:
+        lowered = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        return [i for word in self.word.findall(lowered) for i in self.encode_word(word)]
+
     def _chunk(self, chunk: str) -> tuple[str, str, int]:
         """Ids and tokens of a chunk, each joined by blanks, and their number."""
-        lowered = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        ids = [i for word in self.word.findall(lowered) for i in self.encode_word(word)]
+        if chunk in self.special:
+            return str(self.special[chunk]), chunk, 1
+        ids = self._ids(chunk)
         return " ".join(map(str, ids)), self.decode(ids), len(ids)
 
-    def _pieces(self, text: str) -> Iterator[tuple[str, str, int]]:
-        parts = self.special_parts.split(text) if "<|" in text else [text]
-        for part in parts:
-            if part in self.special:
-                yield str(self.special[part]), part, 1
-                continue
-            for chunk in _SPACE.split(part) if _ODD_SPACE.search(part) else part.split():
-                if not (known := self.kept.get(chunk)):
-                    known = self.before.get(chunk) or self._chunk(chunk)
-                    if len(self.kept) >= _KEPT_CHUNKS:
-                        self.kept, self.before = {}, self.kept
-                    self.kept[chunk] = known
-                if known[2]:
-                    yield known
+    def _packed(self, chunk: str) -> bytes:
+        """Ids of a chunk as 32-bit integers."""
+        return array("i", [self.special[chunk]] if chunk in self.special else self._ids(chunk)).tobytes()
+
+    def _chunks(self, text: str) -> list[str]:
+        """What stands between white space, special tokens apart."""
+        if "<|" in text:
+            parts = self.special_parts.split(text)
+            if len(parts) > 1:
+                return [
+                    chunk
+                    for part in parts
+                    for chunk in ([part] if part in self.special else self._chunks(part))
+                ]
+        if _ODD_SPACE.search(text):
+            return [chunk for chunk in _SPACE.split(text) if chunk]
+        return text.split()
 
     def encode(self, text: str | None) -> tuple[str, str, int]:
         """Ids and tokens of a text, each joined by blanks, and their number."""
-        pieces = list(self._pieces(text or ""))
+        pieces = list(map(self.kept.__getitem__, self._chunks(text or "")))
         return (
             " ".join([piece[0] for piece in pieces]),
             " ".join([piece[1] for piece in pieces]),
             sum([piece[2] for piece in pieces]),
         )
 
+    def pack(self, text: str | None) -> bytes:
+        """Ids of a text as 32-bit integers."""
+        return b"".join(map(self.kept_packed.__getitem__, self._chunks(text or "")))
+
     def decode(self, ids: list[int]) -> str:
         """The vocabulary's strings in order, by blanks; the vocabulary names no other joint."""
         return " ".join([self.token[i] for i in ids])
@@ -147,17 +185,29 @@ def encoded(text: Column, path: str) -> Column:
     return digests(text)
 
 
-def ids_of(text: Column, path: str) -> Column:
-    """The ids as an array."""
-
-    @F.pandas_udf("array<int>")
-    def arrays(texts: pd.Series) -> pd.Series:
-        encode = encoder(path).encode
-        joined = [encode(t)[0] for t in texts]
-        none = np.empty(0, np.int32)
-        return pd.Series([np.fromstring(ids, np.int32, sep=" ") if ids else none for ids in joined])
-
-    return arrays(text)
+def with_ids(docs: DataFrame, text_col: str, path: str) -> DataFrame:
+    """``docs`` with its text replaced by ``n_tokens`` and the array ``ids``."""
+    others = [field for field in docs.schema.fields if field.name != text_col]
+    schema = StructType([*others]).add("n_tokens", LongType()).add("ids", ArrayType(IntegerType()))
+    names = [field.name for field in others]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = encoder(path).pack
+        for batch in batches:
+            for begin in range(0, batch.num_rows, _AT_ONCE):
+                some = batch.slice(begin, _AT_ONCE)
+                packed = [pack(text) for text in some.column(text_col).to_pylist()]
+                sizes = np.array([len(ids) // 4 for ids in packed], np.int64)
+                ids = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()),
+                    pa.array(np.frombuffer(b"".join(packed), np.int32)),
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [*(some.column(name) for name in names), pa.array(sizes), ids],
+                    names=[*names, "n_tokens", "ids"],
+                )
+
+    return docs.mapInArrow(work, schema)
 
 
 def decoded(ids: Column, path: str) -> Column:

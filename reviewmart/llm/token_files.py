@@ -27,11 +27,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmart.llm.bpe import byte_characters
+from reviewmart.llm.bpe import Kept, byte_characters
 from reviewmart.llm.common import drawn
 
-# Chunks kept per worker process in each of two tables. A full one makes room for a new one, which
-# takes over what is met again; the results are the same.
+# Chunks kept per worker process, in each of two tables, with and without a blank before.
 _KEPT_CHUNKS = 500_000
 _BLOCK_BYTES = 1 << 20
 _BLOCK_DOCUMENTS = 4096
@@ -47,45 +46,37 @@ class _Odd(Exception):
     """A chunk whose ids depend on what stands around it."""
 
 
-class _Chunks(dict):
-    """Serialized ids of what stands between blanks, each encoded when first asked for.
+class _Chunks(Kept):
+    """Serialized ids of what stands between blanks.
 
     Most chunks are a word of letters, perhaps with a mark after it. Such a word is one piece for
     the model, and the mark is another; all else goes through the tokenizer as it is.
     """
 
     def __init__(self, tokenizer: object, lead: str, code: str, special: list[str]) -> None:
+        super().__init__(self._serialized, _KEPT_CHUNKS)
         self.tokenizer, self.lead, self.code, self.special = tokenizer, lead, code, special
         self.model = tokenizer.model.tokenize
         self.lead_name = lead.translate(_BYTE_NAMES)
-        self.before: dict[str, bytes] = {}
         self.marks = {mark: self.whole(mark) for mark in ".,;:!?"}
 
     def whole(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def __missing__(self, chunk: str) -> bytes:
-        if chunk in self.before:
-            found = self.before[chunk]
-        elif _is_word(chunk):
+    def _serialized(self, chunk: str) -> bytes:
+        if _is_word(chunk):
             if chunk.isascii():
                 piece = self.lead_name + chunk
             else:
                 piece = self.lead_name + chunk.encode().decode("latin1").translate(_BYTE_NAMES)
-            found = array(self.code, [token.id for token in self.model(piece)]).tobytes()
-        elif not chunk or chunk[0].isspace() or chunk[-1].isspace():
+            return array(self.code, [token.id for token in self.model(piece)]).tobytes()
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Odd
-        elif chunk[-1] in self.marks and _is_word(chunk[:-1]):
-            found = self[chunk[:-1]] + self.marks[chunk[-1]]
-        elif any(special in chunk for special in self.special):
+        if chunk[-1] in self.marks and _is_word(chunk[:-1]):
+            return self[chunk[:-1]] + self.marks[chunk[-1]]
+        if any(special in chunk for special in self.special):
             raise _Odd
-        else:
-            found = self.whole(self.lead + chunk)
-        if len(self) >= _KEPT_CHUNKS:
-            self.before = dict(self)
-            self.clear()
-        self[chunk] = found
-        return found
+        return self.whole(self.lead + chunk)
 
 
 def _is_word(chunk: str) -> bool:
