@@ -28,8 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
-# Chunks kept per worker process, in each of two tables.
-_KEPT_CHUNKS = 200_000
+# Chunks kept per worker process, in each of two tables: with their tokens, and packed ids only.
+_KEPT_CHUNKS, _KEPT_PACKED = 350_000, 200_000
 # Documents whose ids are held at once.
 _AT_ONCE = 256
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -86,7 +86,7 @@ class Encoder:
         self.bytes = byte_characters()
         self.special_parts = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.kept = Kept(self._chunk, _KEPT_CHUNKS)
-        self.kept_packed = Kept(self._packed, _KEPT_CHUNKS)
+        self.kept_packed = Kept(self._packed, _KEPT_PACKED)
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one word."""
