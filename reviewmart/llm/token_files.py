@@ -31,7 +31,7 @@ from reviewmart.llm.bpe import Kept, byte_characters
 from reviewmart.llm.common import drawn
 
 # Chunks kept per worker process, in each of two tables, with and without a blank before.
-_KEPT_CHUNKS = 500_000
+_KEPT_CHUNKS = 650_000
 _BLOCK_BYTES = 1 << 20
 _BLOCK_DOCUMENTS = 4096
 _LEVEL = 1
