@@ -178,6 +178,37 @@ def test_recall_at_the_threshold(spark):
     assert found >= 0.95
 
 
+def _crowded():
+    """A third of all vectors crowd one direction, linked in pairs at 0.905 only."""
+    import numpy as np
+
+    draw = np.random.default_rng(7)
+    middle = np.eye(65)[64]
+    base = np.pad(draw.standard_normal((1000, 64)), ((0, 0), (0, 1)))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = np.pad(draw.standard_normal((1000, 64)), ((0, 0), (0, 1)))
+    side -= (side * base).sum(1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    mate = 0.62 * base + np.sqrt(1 - 0.62**2) * side
+    crowd = np.sqrt(0.75) * middle + 0.5 * np.vstack([base, mate])
+    vectors = np.vstack([crowd, draw.standard_normal((4000, 65))])
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    return vectors, ((unit @ unit.T >= 0.9).sum(1) - 1).tolist()
+
+
+@pytest.mark.parametrize(("depth", "recall"), [(None, 1.0), (8, 0.98)])
+def test_recall_in_a_crowd(spark, monkeypatch, depth, recall):
+    """Pairs in a crowded direction are found like others, by all pairs or by prefixes."""
+    vectors, links = _crowded()
+    if depth:
+        monkeypatch.setattr(embedding_dedup, "_depth", lambda *_: depth)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    out = {r["doc"]["vec_id"]: r["n_links"] for r in embedding_dedup.link(rows).collect()}
+    assert sum(links[:1000]) >= 1000
+    assert sum(out[i] == links[i] for i in range(2000)) >= recall * 2000
+    assert all(out[i] <= links[i] for i in range(len(vectors)))
+
+
 def _marked(odd):
     return cut(
         odd.select(F.struct("doc_id", "text").alias("doc"), F.col("doc_id").alias("id"), simhash.fingerprint(F.col("text"), 3).alias("fingerprint")),
