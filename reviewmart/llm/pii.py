@@ -1,12 +1,15 @@
 """Personal data, and the words that give it away.
 
-Patterns find the protected entities. For each word near an entity, document counts over the whole
-corpus tell how much of the entity the word discloses: their pointwise mutual information over the
-entity's own information, 1 if the word never occurs without it. Words above the upper threshold
-are removed, those between the two are replaced by their kind.
-
-A null text has no entities. Repeated rows are documents of their own in every count, so a
-corpus should be deduplicated before. Spans count code points; a word inside an entity is no term.
+Patterns find the protected entities. For each word of a document with an entity, wherever it
+stands, document counts over the whole corpus tell how much of the entity the word discloses: their
+pointwise mutual information over the entity's own information, 1 if the word never occurs without
+it. In the documents that hold the entity, all occurrences of words above the upper threshold are
+removed, and of those between the two replaced by their kind.
+
+An entity, or a word with it, in fewer documents than the support is too rare to be judged: the
+entity is still replaced, and no word beside it is. A null text has no entities. Repeated rows are
+documents of their own in every count, so a corpus should be deduplicated before. Spans count code
+points; a word inside an entity is no term.
 """
 
 from __future__ import annotations
@@ -68,41 +71,19 @@ def entities(text: Column) -> Column:
     return F.concat(email, ip, card, phone)
 
 
-def _near(text: Column, span: Column, reach: int) -> Column:
-    """Terms within ``reach`` code points of a span, whole ones only."""
-    begin = F.greatest(span["start"] - reach, F.lit(0))
-    left = F.substring(text, begin + 1, span["start"] - begin)
-    right = F.substring(text, span["end"] + 1, F.lit(reach))
-
-    def shifted(terms: Column, by: Column) -> Column:
-        return F.transform(
-            terms,
-            lambda t: F.struct(
-                t["kind"].alias("kind"),
-                (t["start"] + by).alias("start"),
-                (t["end"] + by).alias("end"),
-                t["value"].alias("value"),
-            ),
-        )
-
-    before = F.filter(S.found(left, "term", TERM), lambda t: (t["start"] > 0) | (begin == 0))
-    after = F.filter(S.found(right, "term", TERM), lambda t: t["end"] < reach)
-    return F.concat(shifted(before, begin), shifted(after, span["end"]))
-
-
 def sanitise(
     docs: DataFrame,
     text_col: str = "text",
     remove_at: float = 0.9,
     generalise_at: float = 0.75,
     support: int = 3,
-    reach: int = 60,
 ) -> DataFrame:
     """``doc`` and ``spans``: entities and disclosing terms, each with its ``replacement``.
 
-    A term is judged by an entity if they are near each other in ``support`` documents at least.
-    Work and shuffles follow the entities' surroundings; of other documents only each word's
-    document count is needed, summed in each task first.
+    A term is judged by an entity if they share ``support`` documents at least. Work and shuffles
+    follow the documents whose entities have that many; of others only each word's document count
+    is needed, summed in each task first. A word in so many documents that no entity could be
+    disclosed by it is left out before words and entities meet.
     """
     text = text_of(docs, text_col)
     scanned = docs.select(as_doc(docs), text.alias("text"), entities(text).alias("spans"))
@@ -110,38 +91,21 @@ def sanitise(
         scanned.where(F.size("spans") > 0).withColumn("row", F.monotonically_increasing_id()),
         "entities",
     )
-    each = found.select("row", "text", "spans", F.explode("spans").alias("span")).select(
-        "row",
-        "spans",
-        F.xxhash64("span.kind", F.lower("span.value")).alias("entity"),
-        F.explode(_near(F.col("text"), F.col("span"), reach)).alias("term"),
-    )
-    near = cut(
-        each.where(
-            ~F.exists(
-                "spans",
-                lambda s: (s["start"] < F.col("term.end")) & (F.col("term.start") < s["end"]),
-            )
-        ).select(
-            "row", "entity", "term", F.xxhash64(F.lower("term.value")).alias("word")
+    n = docs.count()
+    entity = lambda s: F.xxhash64(s["kind"], F.lower(s["value"]))
+    each = found.select("row", F.explode(F.array_distinct(F.transform("spans", entity))).alias("entity"))
+    entity_docs = each.groupBy("entity").agg(F.count("*").alias("entity_docs"))
+    held = cut(
+        each.join(
+            entity_docs.where((F.col("entity_docs") >= support) & (F.col("entity_docs") < n)), "entity"
         ),
-        "entity-surroundings",
-    )
-    pairs = cut(
-        near.select("row", "entity", "word")
-        .distinct()
-        .groupBy("entity", "word")
-        .agg(F.count("*").alias("together"))
-        .where(F.col("together") >= support),
-        "entity-terms",
-    )
-    entity_docs = (
-        found.select("row", F.explode("spans").alias("span"))
-        .select("row", F.xxhash64("span.kind", F.lower("span.value")).alias("entity"))
-        .distinct()
-        .groupBy("entity")
-        .agg(F.count("*").alias("entity_docs"))
+        "entities-held",
     )
+
+    def most(entity_docs: Column) -> Column:
+        """Documents a word may be in to disclose an entity, even one it always comes with."""
+        return F.lit(n * (1 + 1e-9)) * F.pow(entity_docs / F.lit(float(max(n, 1))), F.lit(generalise_at))
+
     word_docs = (
         docs.select(
             F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("w")
@@ -149,24 +113,47 @@ def sanitise(
         .groupBy(F.xxhash64("w").alias("word"))
         .agg(F.count("*").alias("word_docs"))
     )
-    n = docs.count()
+    hottest = held.agg(F.max("entity_docs")).first()[0]
+    telling = word_docs.where(F.col("word_docs").between(F.lit(support), most(F.lit(hottest or 0))))
+    holding = found.select("row", "text", "spans").join(held.select("row"), "row", "left_semi")
+    words = F.regexp_extract_all(S.blanked(F.col("text"), F.col("spans")), F.lit(TERM), F.lit(0))
+    lowered = F.array_distinct(F.transform(words, F.lower))
+    row_words = cut(
+        holding.select("row", F.explode(lowered).alias("w"))
+        .select("row", F.xxhash64("w").alias("word"))
+        .join(telling, "word"),
+        "entity-words",
+    )
+    met = row_words.join(held, "row").where(F.col("word_docs") <= most(F.col("entity_docs")))
     own = F.log2(F.lit(float(n)) / F.col("entity_docs"))
     mutual = F.log2(
         F.col("together") * F.lit(float(n)) / (F.col("word_docs") * F.col("entity_docs"))
     )
-    disclosing = (
-        pairs.join(entity_docs, "entity")
-        .join(word_docs, "word")
-        .where(F.col("entity_docs") < n)
+    disclosing = cut(
+        met.groupBy("entity", "word", "entity_docs", "word_docs")
+        .agg(F.count("*").alias("together"))
+        .where(F.col("together") >= support)
         .select("entity", "word", (mutual / own).alias("disclosed"))
-        .where(F.col("disclosed") >= generalise_at)
+        .where(F.col("disclosed") >= generalise_at),
+        "entity-terms",
+    )
+    judged = cut(
+        met.select("row", "entity", "word")
+        .join(disclosing, ["entity", "word"])
+        .groupBy("row", "word")
+        .agg(F.max("disclosed").alias("disclosed")),
+        "judged-words",
+    )
+    placed = (
+        found.select("row", "text", "spans")
+        .join(judged.select("row"), "row", "left_semi")
+        .select("row", F.explode(S.found(S.blanked(F.col("text"), F.col("spans")), "term", TERM)).alias("term"))
+        .withColumn("word", F.xxhash64(F.lower("term.value")))
     )
     value = F.col("term.value")
     kind_of = F.when(value.rlike(r"\p{N}"), "[code]").when(value.rlike(r"^\p{Lu}"), "[name]").otherwise("[word]")
     terms = (
-        near.join(disclosing, ["entity", "word"])
-        .groupBy("row", "term")
-        .agg(F.max("disclosed").alias("disclosed"))
+        placed.join(judged, ["row", "word"])
         .select(
             "row",
             F.struct(

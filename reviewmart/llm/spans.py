@@ -99,6 +99,30 @@ def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def blanked(text: Column, spans: Column) -> Column:
+    """``text`` with blanks in place of all spans, so that everything else stays where it is."""
+
+    def step(state: Column, s: Column) -> Column:
+        begin = F.greatest(state["at"], s["start"])
+        piece = F.concat(
+            F.substring(text, state["at"] + 1, begin - state["at"]),
+            F.repeat(F.lit(" "), F.greatest(s["end"] - begin, F.lit(0))),
+        )
+        return F.struct(
+            F.greatest(state["at"], s["end"]).alias("at"),
+            F.concat(state["parts"], F.array(piece)).alias("parts"),
+        )
+
+    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    return F.aggregate(
+        ordered,
+        start,
+        step,
+        lambda state: F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text))),
+    )
+
+
 def replaced(text: Column, spans: Column) -> Column:
     """``text`` with each span put in place of its ``value``; of overlapping spans the first counts.
 

@@ -56,6 +56,18 @@ def test_disclosing_terms(spark):
     assert texts[20] == "about the plan 0"
 
 
+def test_disclosing_terms_far_away(spark):
+    """Words are judged and replaced over the whole document, at every occurrence."""
+    filler = "about the plan " * 40
+    rows = [(i, f"Kestrel {filler} ann@mail.example.org {filler} KESTREL and {i}") for i in range(4)]
+    rows += [(10 + i, f"{filler} and {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc"]["doc_id"]: r for r in pii.sanitise(docs).collect()}
+    for i, text in rows:
+        terms = [text[s["start"] : s["end"]] for s in out[i]["spans"] if s["kind"] == "term"]
+        assert sorted(terms) == (["KESTREL", "Kestrel"] if i < 4 else [])
+
+
 def test_generalised_terms(spark):
     rows = [(i, f"Kestrel near ann@mail.example.org {i}") for i in range(6)]
     rows += [(6, "Kestrel flies"), (7, "Kestrel sings")]
