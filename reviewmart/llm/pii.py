@@ -190,7 +190,7 @@ def sanitise(
 
 
 def sanitised_text(text: Column, spans: Column) -> Column:
-    """The text with every span replaced; where spans overlap, the first and widest counts."""
+    """The text with every span replaced; what overlapping ones cover, by the first and widest."""
     return F.when(F.size(spans) == 0, text).otherwise(
         S.replaced(
             text,
@@ -203,5 +203,6 @@ def sanitised_text(text: Column, spans: Column) -> Column:
                     s["replacement"].alias("value"),
                 ),
             ),
+            united=True,
         )
     )

@@ -111,7 +111,7 @@ def scan(
 
 
 def redact(text: Column, secrets: Column) -> Column:
-    """``text`` with live secrets put out of sight; examples stay."""
+    """``text`` with live secrets put out of sight, overlapping ones as one; examples stay."""
     live = F.transform(
         F.filter(secrets, lambda s: s["live"]),
         lambda s: F.struct(
@@ -121,4 +121,4 @@ def redact(text: Column, secrets: Column) -> Column:
             F.concat(F.lit("[secret:"), s["kind"], F.lit("]")).alias("value"),
         ),
     )
-    return F.when(F.exists(secrets, lambda s: s["live"]), S.replaced(text, live)).otherwise(text)
+    return F.when(F.exists(secrets, lambda s: s["live"]), S.replaced(text, live, united=True)).otherwise(text)

@@ -123,10 +123,11 @@ def blanked(text: Column, spans: Column) -> Column:
     )
 
 
-def replaced(text: Column, spans: Column) -> Column:
+def replaced(text: Column, spans: Column, united: bool = False) -> Column:
     """``text`` with each span put in place of its ``value``; of overlapping spans the first counts.
 
-    Null values remove the span's text.
+    With ``united`` that one takes the place of all that overlapping spans cover. Null values remove
+    the span's text.
     """
 
     def step(state: Column, s: Column) -> Column:
@@ -135,7 +136,9 @@ def replaced(text: Column, spans: Column) -> Column:
             F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.coalesce(s["value"], F.lit(""))
         )
         return F.struct(
-            F.when(fresh, s["end"]).otherwise(state["at"]).alias("at"),
+            F.when(fresh, s["end"])
+            .otherwise(F.greatest(state["at"], s["end"]) if united else state["at"])
+            .alias("at"),
             F.when(fresh, F.concat(state["parts"], F.array(piece))).otherwise(state["parts"]).alias("parts"),
         )
 
