@@ -2,7 +2,8 @@
 
 Patterns propose candidates. Each candidate's value is hashed, and the hashes are counted over the
 corpus by distinct owners and repositories: a value that many owners carry is an example copied
-around, one that belongs to a single owner and looks random is taken for a live credential. Random
+around, one that belongs to a single owner and looks random is taken for a live credential. Only
+owners decide; repositories are reported. Random
 tokens that no pattern names are candidates too, and are reported only if one owner has them.
 
 A null text has no candidates; a null owner or repository counts as one owner or repository of its
