@@ -6,7 +6,7 @@ symbols have since changed is stale and skipped.
 
 The vocabulary file gives tokens, ranks, special tokens and the rule that splits text into words.
 Words never reach across white space, so what a chunk of text between white space encodes to is
-kept for the next time it is met, in a table of bounded size. A null text is empty.
+kept for the next time it is met, unless long, in tables of bounded bytes. A null text is empty.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import unicodedata
 from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from sys import getsizeof
 
 import numpy as np
 import pandas as pd
@@ -28,8 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
-# Chunks kept per worker process, in each of two tables: with their tokens, and packed ids only.
-_KEPT_CHUNKS, _KEPT_PACKED = 350_000, 200_000
+# Bytes of chunks kept per worker process, in each of two tables: with their tokens, and packed ids
+# only. They hold some 350,000 and 200,000 usual words.
+_KEPT_BYTES, _PACKED_BYTES = 120 << 20, 38 << 20
+# Longer chunks, as in text without blanks, seldom come again and are not kept.
+LONGEST_KEPT = 64
+# What a dictionary needs for an entry, about.
+_SLOT_BYTES = 100
 # Documents whose ids are held at once.
 _AT_ONCE = 256
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -45,24 +51,31 @@ def byte_characters() -> list[str]:
 
 
 class Kept(dict):
-    """Values made when first asked for and kept, in two tables of up to ``most`` entries.
+    """Values made when first asked for and kept, in two tables of up to ``most_bytes`` each.
 
     A full table makes room for a new one, which takes over what is met again. What is kept never
-    changes a value.
+    changes a value; keys of more than ``LONGEST_KEPT`` characters are not kept at all.
     """
 
-    def __init__(self, make: Callable[[str], object], most: int) -> None:
-        self.make, self.most = make, most
+    def __init__(self, make: Callable[[str], object], most_bytes: int) -> None:
+        self.make, self.most_bytes, self.held_bytes = make, most_bytes, 0
         self.before: dict[str, object] = {}
 
     def __missing__(self, key: str) -> object:
+        if len(key) > LONGEST_KEPT:
+            return self.make(key)
         found = self.before.get(key)
         if found is None:
             found = self.make(key)
-        if len(self) >= self.most:
+        size = _SLOT_BYTES + getsizeof(key) + getsizeof(found)
+        if type(found) is tuple:
+            size += sum(map(getsizeof, found))
+        if self.held_bytes + size > self.most_bytes:
             self.before = dict(self)
             self.clear()
+            self.held_bytes = 0
         self[key] = found
+        self.held_bytes += size
         return found
 
 
@@ -85,8 +98,8 @@ class Encoder:
         self.word = regex.compile(split["pattern"]["Regex"])
         self.bytes = byte_characters()
         self.special_parts = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.kept = Kept(self._chunk, _KEPT_CHUNKS)
-        self.kept_packed = Kept(self._packed, _KEPT_PACKED)
+        self.kept = Kept(self._chunk, _KEPT_BYTES)
+        self.kept_packed = Kept(self._packed, _PACKED_BYTES)
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one word."""

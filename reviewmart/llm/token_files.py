@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from reviewmart.llm.bpe import Kept, byte_characters
 from reviewmart.llm.common import drawn
 
-# Chunks kept per worker process, in each of two tables, with and without a blank before.
-_KEPT_CHUNKS = 650_000
+# Bytes of chunks kept per worker process, in each of two tables, with and without a blank before.
+# They hold some 650,000 usual words.
+_KEPT_BYTES = 120 << 20
 _BLOCK_BYTES = 1 << 20
 _BLOCK_DOCUMENTS = 4096
 _LEVEL = 1
@@ -54,7 +55,7 @@ class _Chunks(Kept):
     """
 
     def __init__(self, tokenizer: object, lead: str, code: str, special: list[str]) -> None:
-        super().__init__(self._serialized, _KEPT_CHUNKS)
+        super().__init__(self._serialized, _KEPT_BYTES)
         self.tokenizer, self.lead, self.code, self.special = tokenizer, lead, code, special
         self.model = tokenizer.model.tokenize
         self.lead_name = lead.translate(_BYTE_NAMES)

@@ -117,6 +117,22 @@ def test_token_files(spark, odd):
     assert token_files.fetch(spark, path, 999) == []
 
 
+def test_kept_chunks_are_bounded_by_bytes():
+    """Text without blanks does not fill the tables, and what fills them is counted in bytes."""
+    encoder, serializer = bpe.Encoder(WORDS), token_files.Serializer(BYTES)
+    blobs = ["".join(chr(0x4E00 + (7 * i + 11 * j) % 5000) for j in range(300)) for i in range(20)]
+    for blob in blobs:
+        ids, _, n = encoder.encode(blob)
+        assert len(encoder.pack(blob)) == 4 * n == 4 * len(ids.split())
+        serializer.serialize(f"a {blob}")
+    assert not encoder.kept and not encoder.kept_packed
+    assert not any(len(key) > 64 for key in (*serializer.bare, *serializer.after_blank))
+    kept = bpe.Kept(lambda key: key * 100, 10_000)
+    for i in range(1000):
+        assert kept[f"word{i % 700}"] == f"word{i % 700}" * 100
+        assert sum(map(len, kept.values())) <= 10_000 and sum(map(len, kept.before.values())) <= 10_000
+
+
 @pytest.mark.parametrize(
     "text",
     ["a  b", "a \n b", "a\n\n b", " a", "a ", "  ", "\n", "a <|endoftext|> b", "x<|endoftext|>", "a,\nB. c!\nd\n", "a.. b,; C", "été\u0378 ｶﾅ x1 1x ١", "it's 12 ok's\tand  so", " a b"],
