@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reviewmart.llm import (
     bpe,
     embedding_dedup,
+    language_id,
     mixing,
     pii,
     quality_rules,
@@ -142,6 +143,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = language_id.held_out(F.col("doc_id"))
+    model = language_id.fit(docs, learn=F.col("doc_id").isNotNull() & ~held_out)
+    return docs.select(
+        "doc_id", held_out.alias("held_out"), language_id.predicted(F.col("text"), model).alias("predicted")
+    ).select("doc_id", "held_out", "predicted.*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_pii,
@@ -154,5 +164,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_secrets,
         op9_bpe,
         op10_quality_rules,
+        op11_language_id,
     )
     return {query.__name__: query for query in every}
