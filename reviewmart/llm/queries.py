@@ -14,6 +14,7 @@ from reviewmart.llm import (
     language_id,
     mixing,
     pii,
+    prefix_trie,
     quality_rules,
     secret_scan,
     sharding,
@@ -152,6 +153,12 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", "predicted.*")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    turns, convs = prefix_trie.rebuilt(prefix_trie.ordered(rows))
+    return prefix_trie.trie(turns, convs)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_pii,
@@ -165,5 +172,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_bpe,
         op10_quality_rules,
         op11_language_id,
+        op12_prefix_trie,
     )
     return {query.__name__: query for query in every}
