@@ -12,6 +12,7 @@ from reviewmart.llm import (
     bpe,
     embedding_dedup,
     language_id,
+    lexical_search,
     mixing,
     pii,
     prefix_trie,
@@ -159,6 +160,12 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(turns, convs)
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(
+        documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_pii,
@@ -173,5 +180,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_quality_rules,
         op11_language_id,
         op12_prefix_trie,
+        op13_lexical_search,
     )
     return {query.__name__: query for query in every}
