@@ -2,7 +2,7 @@
 
 Terms are runs of ASCII letters and digits and of characters beyond ASCII, A to Z in lower case. A
 document's signature holds each of its terms at every level of ``_LEVELS`` that its frequency
-reaches. Documents of one task with about equally many entries form a block; its signatures are kept
+reaches; levels lie close together, so bounds do too. Documents of one task with about equally many entries form a block; its signatures are kept
 as bit slices, one bitmap over the block's documents per signature bit. A term's slices, intersected,
 show all documents that may hold it, and perhaps more. The weighted sum of what each level can add
 to the score, for the document's own length, is a bound that no score exceeds.
@@ -31,14 +31,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmart.operators.joins import USUAL, measured_bytes
 from reviewmart.workspace import cut
 
 _TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _LOWER = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
 # Frequencies that an entry of their own marks; between two of them the upper one bounds the score.
-_LEVELS = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 64, 128, 256, 1024, 4096, 1 << 16, 1 << 20)
+_LEVELS = (*range(1, 17), *(16 * 9**n // 8**n for n in range(1, 94)))
+# Documents with the highest bounds that are scored first, for each one that is asked for.
+_FIRST = 8
 # Bits set for an entry, and bits of a signature for an entry of the block's fullest document.
-_HASHES, _BITS = 4, 10
+_HASHES, _BITS = 5, 12
 # Documents of a block, and bytes of its slices.
 _ROWS, _BLOCK_BYTES = 1024, 8 << 20
 # Characters of query texts searched for in one go, over all documents.
@@ -250,6 +253,8 @@ def _scored(docs: DataFrame, candidates: DataFrame, queries: Queries, label: str
     wanted = cut(
         candidates.groupBy("doc_id", "check").agg(F.array_sort(F.collect_set("number")).alias("numbers")), f"{label}-candidates"
     )
+    if measured_bytes(wanted) <= USUAL.broadcast_bytes:
+        wanted = F.broadcast(wanted)
     met = docs.join(
         wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["check"] == wanted["check"])
     ).select(docs["doc_id"], "text", "numbers")
@@ -346,7 +351,7 @@ def _searched(docs: DataFrame, blocks: DataFrame, asked: DataFrame, k: int) -> D
         n,
         max(total, 1),
     )
-    first = _scored(docs, _highest(blocks, queries, k), queries, "first")
+    first = _scored(docs, _highest(blocks, queries, _FIRST * k), queries, "first")
     ranked = Window.partitionBy("number").orderBy(F.col("score").desc())
     lowest = first.withColumn("place", F.row_number().over(ranked)).where(F.col("place") == k)
     least = [0] * len(rows)
