@@ -201,10 +201,86 @@ FROM texts LEFT JOIN listed USING (n)
 """
 
 
+# A checksum's register takes in a byte, then shifts eight times.
+_CRC32 = """xor(4294967295, list_reduce(
+    flatten([[4294967295]] || list_transform(range(1, length({text}) + 1),
+        lambda i: [ascii(({text})[i]), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda crc, step: CASE WHEN step < 0 THEN xor(crc >> 1, (crc & 1) * 3988292384) ELSE xor(crc, step) END))"""
+
+_OP12 = rf"""
+WITH turns AS (
+    SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce("text", '')}} AS said,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(
+               length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce("text", ''))) AS place
+    FROM conversations WHERE conv_id IS NOT NULL),
+told AS (SELECT conv_id, list(said ORDER BY place) AS said FROM turns GROUP BY conv_id),
+convs AS (
+    SELECT *, {_CRC32.format(text="CAST(conv_id AS VARCHAR)")} % 4 AS h FROM told),
+rebuilt AS (
+    SELECT c.conv_id, coalesce(b.said[1:c.h], []) || c.said[c.h + 1:] AS path
+    FROM convs c LEFT JOIN told b ON b.conv_id = c.conv_id - c.conv_id % 20),
+members AS (
+    SELECT conv_id, len(path) = d AS ends, d AS depth, path[1:d] AS prefix
+    FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM rebuilt)),
+nodes AS (
+    SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), ''))
+               AS ends_sha256
+    FROM members GROUP BY depth, prefix),
+children AS (
+    SELECT depth - 1 AS depth, prefix[1:depth - 1] AS prefix, count(*) AS n_children
+    FROM nodes WHERE depth > 0 GROUP BY ALL),
+valued AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children,
+           CASE WHEN depth = 0 THEN 0 ELSE
+               (n_convs - 1) * len(regexp_extract_all(prefix[depth].text, '[^ 	-]+')) END AS saved
+    FROM nodes n LEFT JOIN children USING (depth, prefix)),
+below AS (
+    SELECT k AS depth, prefix[1:k] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves,
+           CAST(sum(saved) AS BIGINT) AS saved_tokens
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM valued) GROUP BY k, prefix[1:k])
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens,
+       v.ends_sha256
+FROM valued v JOIN below USING (depth, prefix)
+LEFT JOIN nodes p ON p.depth = v.depth - 1 AND p.prefix = v.prefix[1:v.depth - 1]
+"""
+
+_TERMS = r"""regexp_extract_all(translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+_OP13 = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, doc_id, {_TERMS} AS terms FROM documents),
+sized AS (SELECT d, doc_id, len(terms) AS n FROM docs WHERE len(terms) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sized),
+held AS (
+    SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM docs) GROUP BY d, term),
+weighed AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM held, total GROUP BY term, docs),
+asked AS (
+    SELECT i, item_id, term, count(*) AS times
+    FROM (SELECT i, item_id, unnest(terms) AS term
+          FROM (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS terms FROM benchmark))
+    GROUP BY i, item_id, term),
+scored AS (
+    SELECT i, item_id, d, doc_id, CAST(sum(
+        times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total.terms)))) AS BIGINT) AS score
+    FROM asked JOIN weighed USING (term) JOIN held USING (term) JOIN sized USING (d), total
+    GROUP BY i, item_id, d, doc_id),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank
+    FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_pii": _OP1,
         "op4_embedding_dedup": _OP4,
         "op7_mixing": _OP7,
         "op8_secrets": _OP8,
+        "op12_prefix_trie": _OP12,
+        "op13_lexical_search": _OP13,
     }

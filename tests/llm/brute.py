@@ -1,8 +1,10 @@
 """Plain Python versions of what the operators compute, for small tables."""
 
 import hashlib
+import math
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SECRET = {
@@ -116,3 +118,70 @@ def components(nodes, linked):
                 low, high = sorted((find(a), find(b)))
                 root[high] = low
     return {node: find(node) for node in nodes}
+
+
+def prefix_nodes(rows):
+    """All nodes of the trie of rebuilt conversations, from (conv_id, turn, role, text)."""
+    told = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            tie = hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest()
+            told[conv].append((turn is not None, turn or 0, tie, role, text))
+    told = {conv: [turn[3:] for turn in sorted(turns)] for conv, turns in told.items()}
+    path = {}
+    for conv, turns in told.items():
+        h = zlib.crc32(str(conv).encode()) % 4
+        path[conv] = told.get(conv - int(math.fmod(conv, 20)), [])[:h] + turns[h:]
+    members = defaultdict(list)
+    for conv, turns in path.items():
+        for depth in range(len(turns) + 1):
+            members[tuple(turns[:depth])].append(conv)
+    children, leaves, saved = Counter(), Counter(), Counter()
+    for prefix in members:
+        if prefix:
+            children[prefix[:-1]] += 1
+    for prefix, convs in members.items():
+        words = len(WORD.findall(prefix[-1][1])) if prefix else 0
+        for depth in range(len(prefix) + 1):
+            leaves[prefix[:depth]] += not children[prefix]
+            saved[prefix[:depth]] += (len(convs) - 1) * words
+    return [
+        {
+            "conv_id": min(convs),
+            "depth": len(prefix),
+            "parent_conv_id": min(members[prefix[:-1]]) if prefix else None,
+            "n_convs": len(convs),
+            "n_children": children[prefix],
+            "n_leaves": leaves[prefix],
+            "saved_tokens": saved[prefix],
+            "ends_sha256": sha(",".join(map(str, sorted(c for c in convs if len(path[c]) == len(prefix))))),
+        }
+        for prefix, convs in members.items()
+    ]
+
+
+def best_documents(docs, items, k=10):
+    """(item, rank, doc_id, score) from (doc_id, text) and (item, text), scoring every document."""
+    term = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+    def count(text):
+        return Counter(term.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")))
+
+    counted = [(doc_id, terms) for doc_id, text in docs if (terms := count(text))]
+    n, total = len(counted), sum(terms.total() for _, terms in counted)
+    df = Counter(t for _, terms in counted for t in terms)
+    out = []
+    for item, text in items:
+        scored = []
+        for doc_id, terms in counted:
+            m = 100 - 75 + (75 * terms.total() * n) // total
+            score = sum(
+                times * math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * ((10**9 * terms[t]) // (1000 * terms[t] + 8 * m))
+                for t, times in count(text).items()
+                if t in terms
+            )
+            if score > 0:
+                scored.append((-score, doc_id is None, doc_id or 0, doc_id))
+        out += [(item, rank, doc_id, -score) for rank, (score, _, _, doc_id) in enumerate(sorted(scored)[:k], 1)]
+    return out

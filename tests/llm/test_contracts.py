@@ -34,12 +34,12 @@ def result(spark):
     return of
 
 
-def test_ten_and_the_pipeline():
-    assert sorted(NAMES, key=lambda n: int(n[2:])) == [f"op{n}" for n in range(1, 11)]
+def test_all_and_the_pipeline():
+    assert sorted(NAMES, key=lambda n: int(n[2:])) == [f"op{n}" for n in range(1, 14)]
     assert "pipeline" in contract.queries()
 
 
-@pytest.mark.parametrize("op", [f"op{n}" for n in (1, 2, 3, 5, 6, 7, 8, 9, 10)])
+@pytest.mark.parametrize("op", [f"op{n}" for n in (1, 2, 3, 5, 6, 7, 8, 9, 10, 11)])
 def test_one_row_per_document(result, docs, op):
     assert sorted(r["doc_id"] for r in result(op)) == sorted(docs)
 
@@ -145,8 +145,29 @@ def test_quality(result, docs):
         assert not (row["base_failed"] and row["kept"])
 
 
+def test_languages(result):
+    rows = duckdb.sql(f"SELECT doc_id, lang FROM '{SF}/documents.parquet'").fetchall()
+    got = {r["doc_id"]: r for r in result("op11")}
+    held = [(i, lang) for i, lang in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert {i for i, r in got.items() if r["held_out"]} == {i for i, _ in held}
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    assert sum(got[i]["lang_pred"] == lang for i, lang in held) >= 0.97 * len(held)
+
+
+def test_prefixes(result):
+    rows = duckdb.sql(f"SELECT conv_id, turn, role, text FROM '{SF}/conversations.parquet'").fetchall()
+    key = lambda r: sorted(r.items(), key=str)
+    assert sorted(map(str, map(key, result("op12")))) == sorted(str(key(r)) for r in brute.prefix_nodes(rows))
+
+
+def test_search(result, docs):
+    items = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
+    got = [(r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in result("op13")]
+    assert sorted(got) == sorted(brute.best_documents(docs.items(), items))
+
+
 def test_reruns_agree(spark, result):
-    for op in ("op2", "op7"):
+    for op in ("op2", "op7", "op11"):
         again = contract.queries()[NAMES[op]](spark, SF).repartition(3).collect()
         key = lambda r: sorted(r.items(), key=str)
         assert sorted(map(str, map(key, result(op)))) == sorted(str(key(r.asDict())) for r in again)

@@ -14,7 +14,7 @@ STATEMENTS = oracle.oracle_sql()
 def _bags(spark, folder, name):
     got = queries.queries()[name](spark, folder)
     db = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations", "benchmark"):
         at = f"{folder}/{table}.parquet"
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{at}{'' if folder == SF else '/*.parquet'}')")
     want = db.execute(STATEMENTS[name])
@@ -44,5 +44,11 @@ def test_odd_rows(spark, tmp_path, name):
     vectors += [(8, [None, 1.0]), (9, [float("nan"), 1.0]), (10, [1.0, 0.0])]
     table = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").coalesce(1)
     table.write.parquet(f"{tmp_path}/embeddings.parquet")
+    turns = [(c, t, r, x) for c in (None, -21, -20, 0, 1, 19, 20, 21) for t in (None, 0, 0, 2) for r, x in ((None, None), ("u", "a b"))]
+    turns += [(c, t, "u", f"turn {t}") for c in range(40, 60) for t in range(40)]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    table.coalesce(2).write.parquet(f"{tmp_path}/conversations.parquet")
+    items = [(1, "Number of ADDRESS at a b c"), (None, None), (2, ""), (3, "one one ümlaut 日本"), (3, "one one ümlaut 日本")]
+    spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
     got, want = _bags(spark, str(tmp_path), name)
     assert got == want
