@@ -20,9 +20,8 @@ from __future__ import annotations
 
 import heapq
 import math
-import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,14 +33,18 @@ from pyspark.sql import functions as F
 from reviewmart.operators.joins import USUAL, measured_bytes
 from reviewmart.workspace import cut
 
-_TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
-_LOWER = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
+# In UTF-8, bytes of ASCII letters and digits and all from 128 on belong to terms.
+_BYTES = bytes(
+    code + 32 if 65 <= code <= 90 else code if 48 <= code <= 57 or 97 <= code <= 122 or code > 127 else 32 for code in range(256)
+)
 # Frequencies that an entry of their own marks; between two of them the upper one bounds the score.
 _LEVELS = (*range(1, 17), *(16 * 9**n // 8**n for n in range(1, 94)))
 # Documents with the highest bounds that are scored first, for each one that is asked for.
 _FIRST = 8
 # Bits set for an entry, and bits of a signature for an entry of the block's fullest document.
 _HASHES, _BITS = 5, 12
+# Terms whose hashes a task keeps, and the longest of them in bytes.
+_KEPT, _LONGEST_KEPT = 200_000, 64
 # Documents of a block, and bytes of its slices.
 _ROWS, _BLOCK_BYTES = 1024, 8 << 20
 # Characters of query texts searched for in one go, over all documents.
@@ -50,9 +53,9 @@ QUERY_CHARS = 8 << 20
 _MOST = 1_000_000
 
 
-def terms(text: str | None) -> list[str]:
-    """The terms of a text, in order, with repeats."""
-    return _TERM.findall((text or "").translate(_LOWER))
+def terms(text: bytes | None) -> list[bytes]:
+    """The terms of a text in UTF-8, in order, with repeats."""
+    return (text or b"").translate(_BYTES).split()
 
 
 def _gain(tf: int, m: int) -> int:
@@ -60,10 +63,35 @@ def _gain(tf: int, m: int) -> int:
     return (1_000_000_000 * tf) // (1000 * tf + 8 * m)
 
 
-def _positions(entries: list[tuple[str, int]]) -> np.ndarray:
-    """Two hashes of each entry; its bits follow from them for any width."""
-    digests = [xxhash.xxh3_128_digest(f"{level} {term}".encode("utf-8", "surrogatepass")) for term, level in entries]
-    return np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+class _Digests(dict):
+    """Hashes of terms, kept for the next time; a full table starts anew."""
+
+    def __missing__(self, term: bytes) -> bytes:
+        if len(self) >= _KEPT:
+            self.clear()
+        digest = xxhash.xxh3_128_digest(term)
+        if len(term) <= _LONGEST_KEPT:
+            self[term] = digest
+        return digest
+
+
+def _hashes(digests: _Digests, words: Iterable[bytes]) -> np.ndarray:
+    """Two hashes of each word."""
+    return np.frombuffer(b"".join(map(digests.__getitem__, words)), np.uint64).reshape(-1, 2)
+
+
+def _at_level(hashes: np.ndarray, level: np.ndarray | int) -> np.ndarray:
+    """Two hashes of each entry, from those of its term; its bits follow from them for any width."""
+    mixed = (hashes + np.asarray(level, np.uint64).reshape(-1, 1) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ (mixed >> np.uint64(31))
+
+
+def _entries(digests: _Digests, counts: Counter) -> np.ndarray:
+    """Hashes of a document's entries: each term at every level that its frequency reaches."""
+    levels = np.searchsorted(_LEVELS, np.fromiter(counts.values(), np.int64, len(counts)), "right")
+    before = np.cumsum(levels) - levels
+    level = np.arange(levels.sum()) - np.repeat(before, levels)
+    return _at_level(np.repeat(_hashes(digests, counts), levels, axis=0), level)
 
 
 def _bits(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -83,8 +111,7 @@ def _block(width: int, docs: list[tuple[int | None, int, int, np.ndarray]]) -> d
     """A block of documents: an array of ``width`` bitmaps over them."""
     slices = np.zeros((width, (len(docs) + 7) // 8), np.uint8)
     for i, (_, _, _, hashes) in enumerate(docs):
-        # Unique first: an unbuffered or is needed only within a document's own bits.
-        slices[np.unique(_bits(hashes, width)), i >> 3] |= np.uint8(1 << (i & 7))
+        slices[_bits(hashes, width).ravel(), i >> 3] |= np.uint8(1 << (i & 7))
     return {
         "width": width,
         "rows": len(docs),
@@ -101,16 +128,16 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     texts = docs.select(docs[f"`{id_col}`"].cast("long").alias("doc_id"), docs[f"`{text_col}`"].alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_blocks: dict[int, list] = {}
+        open_blocks, digests = {}, _Digests()
         for batch in batches:
             for doc_id, check, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 counts = Counter(terms(text))
                 if not counts:
                     continue
-                entries = [(term, level) for term, tf in counts.items() for level in _LEVELS if level <= tf]
+                entries = _entries(digests, counts)
                 width = 1 << max(6, math.ceil(math.log2(_BITS * len(entries))))
                 held = open_blocks.setdefault(width, [])
-                held.append((doc_id, check, sum(counts.values()), _positions(entries)))
+                held.append((doc_id, check, counts.total(), entries))
                 if len(held) >= max(8, min(_ROWS, 8 * _BLOCK_BYTES // width)):
                     yield pa.RecordBatch.from_pylist([_block(width, open_blocks.pop(width))], schema=_BLOCKS)
         for width, held in open_blocks.items():
@@ -119,7 +146,7 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     schema = (
         "width long, rows int, slices binary, doc_id array<long>, check array<long>, length array<long>, known array<boolean>"
     )
-    return cut(texts.select("doc_id", F.xxhash64("text").alias("check"), "text").mapInArrow(work, schema), "signatures")
+    return cut(texts.select("doc_id", F.xxhash64("text").alias("check"), F.col("text").cast("binary")).mapInArrow(work, schema), "signatures")
 
 
 @dataclass(frozen=True)
@@ -127,8 +154,8 @@ class Queries:
     """Some queries with all that scoring needs."""
 
     items: tuple[int | None, ...]
-    words: tuple[dict[str, int], ...]  # how often each term occurs in the query
-    weight: dict[str, int]
+    words: tuple[dict[bytes, int], ...]  # how often each term occurs in the query
+    weight: dict[bytes, int]
     n_docs: int
     n_terms: int
 
@@ -149,8 +176,8 @@ class _Bounds:
     def __init__(self, queries: Queries) -> None:
         self.queries = queries
         self.terms = sorted(queries.weight)
-        self.number = {term: i for i, term in enumerate(self.terms)}
-        self.hashes = [_positions([(term, level) for term in self.terms]) for level in _LEVELS]
+        hashes = _hashes(_Digests(), self.terms)
+        self.hashes = [_at_level(hashes, level) for level in range(len(_LEVELS))]
 
     def of(self, block: dict) -> Iterator[tuple[int, np.ndarray]]:
         """Each query's number, and the bounds of the block's documents (0: no term)."""
@@ -167,7 +194,7 @@ class _Bounds:
             most = np.minimum(np.ceil(1e9 * tf / (1000 * tf + 8 * m)) + 1, _MOST)
             steps.append(np.where(tops >= level, most - before, 0))
             before = np.where(tops >= level, most, before)
-        gains: dict[str, np.ndarray] = {}
+        gains: dict[bytes, np.ndarray] = {}
         alive, held = np.arange(len(self.terms)), None
         for level, step in enumerate(steps):
             # Terms that no document may hold at this level are not looked up at the next.
@@ -257,7 +284,7 @@ def _scored(docs: DataFrame, candidates: DataFrame, queries: Queries, label: str
         wanted = F.broadcast(wanted)
     met = docs.join(
         wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["check"] == wanted["check"])
-    ).select(docs["doc_id"], "text", "numbers")
+    ).select(docs["doc_id"], F.col("text").cast("binary"), "numbers")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,7 +303,7 @@ def _scored(docs: DataFrame, candidates: DataFrame, queries: Queries, label: str
 _SCORED = pa.schema([("number", pa.int32()), ("doc_id", pa.int64()), ("score", pa.int64())])
 
 
-def _statistics(docs: DataFrame, words: frozenset[str]) -> tuple[int, int, dict[str, int]]:
+def _statistics(docs: DataFrame, words: frozenset[bytes]) -> tuple[int, int, dict[bytes, int]]:
     """Documents with terms, all their terms, and the documents that hold each of ``words``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,24 +313,24 @@ def _statistics(docs: DataFrame, words: frozenset[str]) -> tuple[int, int, dict[
                 found = terms(text)
                 n, total = n + bool(found), total + len(found)
                 held.update(words.intersection(found))
-        names = ["", *held]
+        names = [b"", *held]
         yield pa.RecordBatch.from_pydict(
             {"term": names, "docs": [n, *held.values()], "total": [total, *[0] * len(held)]}, schema=_COUNTED
         )
 
     rows = (
-        docs.select("text")
-        .mapInArrow(work, "term string, docs long, total long")
+        docs.select(F.col("text").cast("binary"))
+        .mapInArrow(work, "term binary, docs long, total long")
         .groupBy("term")
         .agg(F.sum("docs").alias("docs"), F.sum("total").alias("total"))
         .collect()
     )
-    counted = {row["term"]: (row["docs"], row["total"]) for row in rows}
-    n, total = counted.pop("", (0, 0))
+    counted = {bytes(row["term"]): (row["docs"], row["total"]) for row in rows}
+    n, total = counted.pop(b"", (0, 0))
     return n, total, {term: docs for term, (docs, _) in counted.items()}
 
 
-_COUNTED = pa.schema([("term", pa.string()), ("docs", pa.int64()), ("total", pa.int64())])
+_COUNTED = pa.schema([("term", pa.binary()), ("docs", pa.int64()), ("total", pa.int64())])
 
 
 def search(
@@ -341,7 +368,7 @@ def search(
 
 def _searched(docs: DataFrame, blocks: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     rows = sorted(((r["item_id"] is not None, r["item_id"] or 0, r["text"] or "") for r in asked.collect()))
-    counted = [Counter(terms(text)) for _, _, text in rows]
+    counted = [Counter(terms(text.encode())) for _, _, text in rows]
     n, total, held = _statistics(docs, frozenset(term for words in counted for term in words))
     weight = {term: math.floor(1000 * math.log((2 * n + 2) / (2 * df + 1))) for term, df in held.items()}
     queries = Queries(

@@ -21,9 +21,9 @@ def _plain(docs, items, k=10):
 
 
 def _queries(texts, asked):
-    counted = [Counter(search.terms(t)) for t in texts]
+    counted = [Counter(search.terms(t.encode())) for t in texts]
     df = Counter(t for c in counted for t in c)
-    words = tuple({t: n for t, n in Counter(search.terms(q)).items() if t in df} for q in asked)
+    words = tuple({t: n for t, n in Counter(search.terms(q.encode())).items() if t in df} for q in asked)
     weight = {t: 10_000 // df[t] for q in words for t in q}
     return search.Queries(tuple(range(len(asked))), words, weight, len(texts), sum(c.total() for c in counted))
 
@@ -32,9 +32,8 @@ def test_bounds_are_never_below_the_score():
     draw = random.Random(4)
     texts = [" ".join(f"w{min(int(draw.expovariate(0.2)), 60)}" for _ in range(draw.choice([1, 5, 40, 900]))) for _ in range(60)]
     queries = _queries(texts, [" ".join(f"w{draw.randint(0, 70)}" for _ in range(12)) for _ in range(20)])
-    counts = [Counter(search.terms(t)) for t in texts]
-    entries = [[(t, level) for t, n in c.items() for level in search._LEVELS if level <= n] for c in counts]
-    rows = [(i, 0, c.total(), search._positions(e)) for i, (c, e) in enumerate(zip(counts, entries, strict=True))]
+    counts = [Counter(search.terms(t.encode())) for t in texts]
+    rows = [(i, 0, c.total(), search._entries(search._Digests(), c)) for i, c in enumerate(counts)]
     close = 0
     for width in (64, 1 << 14):
         for number, bound in search._Bounds(queries).of(search._block(width, rows)):
