@@ -5,8 +5,14 @@ time on two thirds of the labelled rows, pruned on the last third, and taken if
 enough there; the rows it covers are then set aside. The list becomes one conditional expression.
 Labelled rows stay distributed: a step brings only counts per feature and bin to the driver.
 
-A null text has no words. Repeated rows count once each, in the labels' weight and in the result.
-Without labels (or without both classes) no rule is learned and only the fixed limits decide.
+A rule's support on the pruning third must be at least ``min_support`` junk rows and ``min_share`` of
+its junk, and so many that junk's share among the rows left would bring them about with a
+probability of ``chance`` at most: five pure rows where half of the rows are junk, two where a tenth is.
+
+A null or empty text has no words, and texts of any length are measured whole. Repeated rows count
+once each, in the labels' weight and in the result; of equally good conditions the first feature and
+lowest limit wins. An empty table has no rows. Without labels (or without both classes) no rule is
+learned and only the fixed limits decide.
 """
 
 from __future__ import annotations
@@ -19,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmart.llm.common import as_doc, count_of, let, text_of, words
+from reviewmart.llm.numbering import numbered
 from reviewmart.workspace import cut
 
 SYMBOLS = "#*$%&|<>"
@@ -167,6 +174,17 @@ def _precision(junk: int, good: int) -> float:
     return junk / (junk + good + 1)
 
 
+def _by_chance(junk: int, good: int, rate: float) -> float:
+    """The probability of at least ``junk`` among so many rows, if ``rate`` of all rows were junk."""
+    if rate >= 1:
+        return 1.0
+    n = junk + good
+    ways = [math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) for k in range(junk, n + 1)]
+    return math.fsum(
+        math.exp(way + k * math.log(rate) + (n - k) * math.log1p(-rate)) for k, way in enumerate(ways, junk)
+    )
+
+
 @dataclass(frozen=True)
 class DecisionList:
     """Ordered rules; the first that holds rejects."""
@@ -189,19 +207,26 @@ def fit(
     max_conditions: int = 4,
     min_precision: float = 0.97,
     min_share: float = 0.002,
+    min_support: int = 2,
+    chance: float = 0.05,
 ) -> DecisionList:
-    """Learn a decision list from ``m`` and the boolean column ``junk``, a row per labelled text.
+    """Learn a decision list from ``m``, the boolean column ``junk`` and the text's ``key``, a row per
+    labelled text.
 
     Thresholds are ``bins`` quantiles of each feature over all labelled rows. A rule needs
-    ``min_precision`` on the pruning third and at least ``min_share`` of its junk.
+    ``min_precision`` on the pruning third, and the support there that the module names.
     """
     names = list(features(F.col("m")))
+    known = stats.where(F.col("junk").isNotNull()).select(
+        F.col("junk").cast("long").alias("junk"),
+        F.xxhash64("key", "m").alias("draw"),
+        *(value.alias(name) for name, value in features(F.col("m")).items()),
+    )
+    # Every third row of either class, in the order of a hash.
     rows = cut(
-        stats.where(F.col("junk").isNotNull()).select(
-            F.col("junk").cast("long").alias("junk"),
-            (F.pmod(F.xxhash64("m"), F.lit(3)) == 0).alias("prunes"),
-            *(value.alias(name) for name, value in features(F.col("m")).items()),
-        ),
+        numbered(known, F.col("junk"), F.col("draw"), name="place")
+        .withColumn("prunes", F.col("place") % 3 == 0)
+        .drop("place", "draw"),
         "labelled-statistics",
     )
     values = {name: F.col(name) for name in names}
@@ -265,12 +290,17 @@ def fit(
         tried = rows.where(left & F.col("prunes")).agg(
             *(
                 F.coalesce(F.sum(F.when(_matches(tail, values), part)), F.lit(0)).alias(f"{what}{n}")
-                for n, tail in enumerate(tails)
+                for n, tail in enumerate([*tails, ()])
                 for what, part in (("junk", F.col("junk")), ("good", 1 - F.col("junk")))
             )
         ).first()
-        scores = [(tried[f"junk{n}"], tried[f"good{n}"]) for n in range(len(tails))]
-        fit_ones = [n for n, s in enumerate(scores) if _precision(*s) >= min_precision and s[0] >= max(2, min_share * first["prune"])]
+        *scores, (junk, good) = [(tried[f"junk{n}"], tried[f"good{n}"]) for n in range(len(tails) + 1)]
+        support = max(min_support, min_share * first["prune"])
+        fit_ones = [
+            n
+            for n, s in enumerate(scores)
+            if s[0] >= support and s[0] >= min_precision * sum(s) and _by_chance(*s, junk / (junk + good)) <= chance
+        ]
         if not fit_ones:
             break
         # The tail that removes the most junk for the good it costs; shorter ones win ties.
@@ -286,13 +316,13 @@ def _gain(junk: int, good: int, before: float) -> float:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> DataFrame:
-    """``docs`` that have a label, with ``junk``: whether most of their labels are 0."""
+    """``docs`` that have a label, with their ``key`` and ``junk``: whether most of their labels are 0."""
     verdict = (
         labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(key).alias("label_of"))
         .agg((F.avg(label) < 0.5).alias("junk"))
     )
-    return docs.join(verdict, F.col(f"doc.{key}") == F.col("label_of")).drop("label_of")
+    return docs.join(verdict, F.col(f"doc.{key}") == F.col("label_of")).withColumnRenamed("label_of", "key")
 
 
 def judge(measured: DataFrame, rules: DecisionList) -> DataFrame:

@@ -185,3 +185,52 @@ def best_documents(docs, items, k=10):
                 scored.append((-score, doc_id is None, doc_id or 0, doc_id))
         out += [(item, rank, doc_id, -score) for rank, (score, _, _, doc_id) in enumerate(sorted(scored)[:k], 1)]
     return out
+
+
+def decision_list(rows, bins=32, most_rules=12, most_conditions=4, precise=0.97, share=0.002, chance=0.05):
+    """Rules of (feature, above, limit) by sequential covering, from rows with ``junk`` and ``prunes``."""
+    names = [name for name in rows[0] if name not in ("junk", "prunes")] if rows else []
+    limits = {}
+    for name in names:
+        ordered = sorted(row[name] for row in rows)
+        limits[name] = sorted({ordered[math.ceil(len(rows) * i / bins) - 1] for i in range(1, bins)})
+    covers = lambda rule, row: all((row[f] > limit) == above for f, above, limit in rule)
+    count = lambda some: (sum(r["junk"] for r in some), sum(not r["junk"] for r in some))
+    purity = lambda junk, good: junk / (junk + good + 1)
+    left, rules = list(rows), []
+    n_prune = sum(r["junk"] for r in rows if r["prunes"])
+    if not n_prune or n_prune == sum(r["junk"] for r in rows) or all(r["junk"] for r in rows):
+        return []
+    while len(rules) < most_rules:
+        grow, prune = [r for r in left if not r["prunes"]], [r for r in left if r["prunes"]]
+        rule = []
+        while len(rule) < most_conditions:
+            covered, best = [r for r in grow if covers(rule, r)], None
+            before = purity(*count(covered))
+            for name in names:
+                for limit in limits[name]:
+                    for above in (False, True):
+                        junk, good = count([r for r in covered if covers([(name, above, limit)], r)])
+                        if junk and before:
+                            gain = junk * (math.log2(purity(junk, good)) - math.log2(before))
+                            if gain > 0 and (best is None or gain > best[0]):
+                                best = gain, (name, above, limit)
+            if not best:
+                break
+            rule.append(best[1])
+        all_junk, all_good = count(prune)
+        chosen = None
+        for n in range(1, len(rule) + 1):
+            junk, good = count([r for r in prune if covers(rule[:n], r)])
+            if junk < max(2, share * n_prune) or junk < precise * (junk + good):
+                continue
+            rate = all_junk / (all_junk + all_good)
+            m = junk + good
+            tail = sum(math.comb(m, k) * rate**k * (1 - rate) ** (m - k) for k in range(junk, m + 1))
+            if rate < 1 and tail <= chance and (chosen is None or junk - 10 * good > chosen[0]):
+                chosen = junk - 10 * good, n
+        if chosen is None:
+            break
+        rules.append(rule[: chosen[1]])
+        left = [r for r in left if not covers(rules[-1], r)]
+    return rules

@@ -414,6 +414,42 @@ def test_learned_rules(spark):
     assert len(kept - good) <= 10 and len(good - kept) <= 5
 
 
+@pytest.mark.parametrize("n_junk", [20, 60])
+def test_few_labels_teach_a_rule(spark, n_junk):
+    rows = [(i, " ".join(["plain"] * 20 + [f"w{j % 17}{i}" for j in range(60)]), 1) for i in range(n_junk)]
+    rows += [(1000 + i, " ".join(f"W{j}{i}!!" for j in range(80)), 0) for i in range(n_junk)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    measured = cut(quality_rules.measures(table), "measured")
+    rules = quality_rules.fit(quality_rules.labelled(measured, table))
+    assert len(rules.rules) == 1
+    assert {r["doc"]["doc_id"] for r in quality_rules.judge(measured, rules).where("rule = 1").collect()} == {r[0] for r in rows if not r[2]}
+
+
+def test_rules_like_plain_covering(spark):
+    """The learned list at two scales, against covering row by row."""
+    for sf in ("sf0.001", "sf0.01"):
+        folder = f"/root/testdata/{sf}"
+        measured = cut(quality_rules.measures(spark.read.parquet(f"{folder}/documents.parquet")), "measured")
+        stats = quality_rules.labelled(measured, spark.read.parquet(f"{folder}/labels.parquet"))
+        values = stats.select(
+            "junk",
+            F.xxhash64("key", "m").alias("prunes"),
+            *(value.alias(name) for name, value in quality_rules.features(F.col("m")).items()),
+        )
+        rows = sorted((r.asDict() for r in values.collect()), key=lambda r: (r["junk"], r["prunes"]))
+        want = brute.decision_list([{**row, "prunes": place % 3 == 0} for place, row in enumerate(rows)])
+        got = quality_rules.fit(stats).rules
+        assert [[(c.feature, c.above, c.limit) for c in rule] for rule in got] == want
+    assert want  # so few labels already teach something
+
+
+def test_support_by_chance():
+    assert quality_rules._by_chance(5, 0, 0.5) == pytest.approx(1 / 32)
+    assert quality_rules._by_chance(2, 1, 0.1) == pytest.approx(3 * 0.01 * 0.9 + 0.001)
+    assert quality_rules._by_chance(0, 3, 0.2) == pytest.approx(1)
+    assert quality_rules._by_chance(4, 0, 1.0) == 1
+
+
 def test_empty_tables(spark, odd):
     none = odd.limit(0)
     assert pii.sanitise(none).count() == 0
