@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, repeats, clashing names and empty tables."""
 
+import math
+
 import brute
 import public_tokenizers
 import pytest
@@ -193,17 +195,33 @@ def test_recall_at_the_threshold(spark):
     import numpy as np
 
     draw = np.random.default_rng(6)
-    base = draw.standard_normal((3000, 32))
+    base = draw.standard_normal((8000, 32))
     base /= np.linalg.norm(base, axis=1, keepdims=True)
     side = draw.standard_normal(base.shape)
     side -= (side * base).sum(1, keepdims=True) * base
     side /= np.linalg.norm(side, axis=1, keepdims=True)
-    mate = 0.905 * base + np.sqrt(1 - 0.905**2) * side
+    mate = 0.902 * base + np.sqrt(1 - 0.902**2) * side
     vectors = np.vstack([base, mate])
     rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
     out = {r["doc"]["vec_id"]: r["n_links"] for r in embedding_dedup.link(rows).collect()}
-    found = sum(out[i] > 0 for i in range(3000)) / 3000
+    found = sum(out[i] > 0 for i in range(8000)) / 8000
     assert found >= 0.95
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    assert (np.array([out[i] for i in range(16000)]) <= [(unit @ v >= 0.9).sum() - 1 for v in unit]).all()
+
+
+def test_ranges_meet_at_their_ends(spark):
+    """Neighbours that a pass sorts into different ranges are compared all the same."""
+    vectors = [(i, [math.cos(i * 0.02), math.sin(i * 0.02)]) for i in range(300)]
+    classes = cut(spark.createDataFrame(vectors, "cls long, vector array<double>").withColumn("dim", F.lit(2)), "classes")
+    classes = cut(embedding_dedup._sketched(classes, 3), "sketched")
+    strings = embedding_dedup._strings(classes, range(1), 3).withColumn("root", F.lit(-1).cast("long"))
+    met = embedding_dedup._neighbours(strings, 128).collect()
+    inside = {}
+    for row in met:
+        inside.setdefault(row["unit"], set()).add(row["cls"])
+    order = [r["cls"] for r in strings.orderBy("dim", "pass", "key", "cls").collect()]
+    assert all(any({a, b} <= unit for unit in inside.values()) for a, b in zip(order, order[1:]))
 
 
 def _crowded():
@@ -224,9 +242,9 @@ def _crowded():
     return vectors, ((unit @ unit.T >= 0.9).sum(1) - 1).tolist()
 
 
-@pytest.mark.parametrize(("depth", "recall"), [(None, 1.0), (8, 0.98)])
+@pytest.mark.parametrize(("depth", "recall"), [(None, 0.98), (14, 0.97)])
 def test_recall_in_a_crowd(spark, monkeypatch, depth, recall):
-    """Pairs in a crowded direction are found like others, by all pairs or by prefixes."""
+    """Pairs in a crowded direction are found like others, with short and long beginnings of strings."""
     vectors, links = _crowded()
     if depth:
         monkeypatch.setattr(embedding_dedup, "_depth", lambda *_: depth)
