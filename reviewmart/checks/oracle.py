@@ -202,6 +202,9 @@ _STATEMENTS = {
     "external_table": "SELECT * FROM staged_reviews",
     "materialize_view": "SELECT * FROM stg_items",
     "materialize_table": "SELECT * FROM dim_items",
+    "verify_archives": """
+        SELECT CAST(sum(length('{"asin":"' || asin || '"}') + 1) AS BIGINT) AS text_bytes,
+               CAST(0 AS BIGINT) AS broken FROM raw_reviews""",
     "fct_insert_overwrite": f"""
         {_replacing("fct_reviews", "avg_rating", "rating_diff_from_avg", "price")}
         QUALIFY review_month < TIMESTAMP '1998-01-01' OR verified_purchase
@@ -384,6 +387,16 @@ _SAME = {
     "dim_users_shuffled": "dim_users",
     "fct_reviews_shuffled": "fct_reviews",
     "monthly_reviews_price_shuffled": "monthly_reviews_price",
+    "fct_x_users_bucketed": "fct_x_users",
+    "dim_users_bucketed": "dim_users",
+    "refresh_table": "dim_items",
+    "fct_incremental": "fct_reviews",
+    "dim_users_incremental": "dim_users",
+    "rollup_reviews_by_year": "reviews_by_year",
+    "rollup_category_rating_trend": "category_rating_trend",
+    "rollup_category_share": "category_share",
+    "rollup_monthly_reviews_price": "monthly_reviews_price",
+    "rollup_weekday_trend_verified": "weekday_trend_verified",
     "loaded_reviews_by_year": "reviews_by_year",
     "loaded_category_rating_trend": "category_rating_trend",
     "loaded_category_share": "category_share",

@@ -7,8 +7,11 @@ places, so that two engines can be compared value by value.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import date
 from functools import cached_property, reduce
+from uuid import uuid4
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +21,9 @@ from reviewmart.functions import keys, numbers, times
 from reviewmart.operators import aggregates as agg
 from reviewmart.operators import calendar as cal
 from reviewmart.operators import joins, quality, rows
-from reviewmart.plans import dashboard, marts, staging
+from reviewmart.plans import dashboard, incremental, marts, rollup, staging
 from reviewmart.session import apply_conf
-from reviewmart.sources import readers, writers
+from reviewmart.sources import archives, readers, writers
 from reviewmart.workspace import cut, fresh_path
 
 # Sums of doubles differ in their last bits by the order of addition. A value halfway between two
@@ -196,6 +199,30 @@ def materialize_table(m: Models) -> DataFrame:
     return writers.materialize_table(m.dim_items, m.path("dim_items"))
 
 
+@_query
+def refresh_table(m: Models) -> DataFrame:
+    """A first version, one that fails while it is written, and a second one."""
+    name, root = f"items_{uuid4().hex}", m.path("items")
+    writers.refresh_table(rows.category_distinct(m.staged_items, "ECONOMY"), name, root)
+    broken = m.dim_items.withColumn("title", F.raise_error(F.lit("no such title")))
+    try:
+        writers.refresh_table(broken, name, root)
+    except PySparkException:
+        writers.refresh_table(m.dim_items, name, root)
+    return m.spark.table(name)
+
+
+@_query
+def verify_archives(m: Models) -> DataFrame:
+    """What the archives of the raw reviews inflate to, none of them broken."""
+    path = m.path("raw-archives")
+    m.raw_reviews.select("asin").write.option("compression", "gzip").json(path)
+    report = archives.verify(m.spark, f"{path}/*.json.gz")
+    return report.agg(
+        F.sum("text_bytes").alias("text_bytes"), F.count("broken_at").alias("broken")
+    )
+
+
 @_query
 def fct_insert_overwrite(m: Models) -> DataFrame:
     """Load everything, then reload the later months with verified reviews only."""
@@ -413,6 +440,21 @@ def fct_x_item_avg_shuffled(m: Models) -> DataFrame:
     return joins.fct_x_item_avg(m.stg_reviews, average, SHUFFLED)
 
 
+def _bucketed(m: Models, df: DataFrame, label: str) -> DataFrame:
+    return writers.bucketed_table(df, f"{label}_{uuid4().hex}", m.path(label))
+
+
+@_query
+def fct_x_users_bucketed(m: Models) -> DataFrame:
+    reviews = _bucketed(m, m.stg_reviews, "reviews")
+    return joins.bucketed_x_users(reviews, _bucketed(m, m.dim_users(), "users"))
+
+
+@_query
+def dim_users_bucketed(m: Models) -> DataFrame:
+    return marts.dim_users(_bucketed(m, m.stg_reviews, "reviews"), m.dim_items)
+
+
 # --- aggregations and the calendar -----------------------------------------------------
 
 
@@ -502,6 +544,27 @@ def fct_reviews_shuffled(m: Models) -> DataFrame:
     return m.fct_reviews(SHUFFLED)
 
 
+def _loaded_months(m: Models) -> str:
+    """Reviews loaded range by range; the middle one first in part, as of an earlier delivery."""
+    out = m.path("by-month")
+    early = rows.verified_slicer(m.stg_reviews, True)
+    incremental.load_months(m.stg_reviews, out, date(1990, 1, 1), date(1996, 12, 31))
+    incremental.load_months(early, out, date(1997, 1, 1), date(1998, 6, 30))
+    incremental.load_months(m.stg_reviews, out, date(1998, 7, 1), date(2010, 12, 31))
+    incremental.load_months(m.stg_reviews, out, date(1997, 1, 15), date(1998, 6, 1))
+    return out
+
+
+@_query
+def fct_incremental(m: Models) -> DataFrame:
+    return incremental.fct_reviews(m.spark, _loaded_months(m), m.item_table, m.dim_time)
+
+
+@_query
+def dim_users_incremental(m: Models) -> DataFrame:
+    return incremental.dim_users(m.spark, _loaded_months(m), m.item_table)
+
+
 # --- dashboard -----------------------------------------------------------------------
 
 
@@ -582,6 +645,37 @@ def loaded_weekday_trend(m: Models) -> DataFrame:
     return dashboard.weekday_trend(m.loaded_fact(), verified=False)
 
 
+def _rolled_up(m: Models) -> DataFrame:
+    path = m.path("rollup")
+    rollup.load_rollup(m.fct_reviews(), path)
+    return rollup.read_rollup(m.spark, path)
+
+
+@_query
+def rollup_reviews_by_year(m: Models) -> DataFrame:
+    return rollup.reviews_by_year(_rolled_up(m))
+
+
+@_query
+def rollup_category_rating_trend(m: Models) -> DataFrame:
+    return rollup.category_rating_trend(_rolled_up(m))
+
+
+@_query
+def rollup_category_share(m: Models) -> DataFrame:
+    return rollup.category_share(_rolled_up(m))
+
+
+@_query
+def rollup_monthly_reviews_price(m: Models) -> DataFrame:
+    return rollup.monthly_reviews_price(_rolled_up(m))
+
+
+@_query
+def rollup_weekday_trend_verified(m: Models) -> DataFrame:
+    return rollup.weekday_trend(_rolled_up(m), verified=True)
+
+
 # --- quality and documented intents ----------------------------------------------------
 
 

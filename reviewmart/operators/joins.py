@@ -61,6 +61,12 @@ def fct_x_users(reviews: DataFrame, users: DataFrame, limits: JoinLimits = USUAL
     return lookup(reviews, known, "user_id", counts, limits=limits)
 
 
+def bucketed_x_users(reviews: DataFrame, users: DataFrame) -> DataFrame:
+    """``fct_x_users`` of two tables in buckets of ``user_id``: merged where they lie."""
+    attributes = [name for name in users.columns if name not in reviews.columns]
+    return reviews.join(users.select("user_id", *attributes).hint("merge"), "user_id", "left")
+
+
 def fct_x_items(reviews: DataFrame, items: DataFrame, limits: JoinLimits = USUAL) -> DataFrame:
     """Add ``price``, ``category`` and ``store``; an item listed twice doubles its reviews."""
     listed = item_columns(items, "price", "category", "store")

@@ -89,10 +89,14 @@ def review_context(
 
 
 def item_context(
-    reviews: DataFrame, items: DataFrame, limits: JoinLimits = USUAL
+    reviews: DataFrame, items: DataFrame, limits: JoinLimits = USUAL, rated: bool = False
 ) -> DataFrame:
-    """All that is known per product, a row for each of its listings, as a written table."""
-    listed, rated = item_columns(items, "price", "category", "store"), agg.item_ratings(reviews)
+    """All that is known per product, a row for each of its listings, as a written table.
+
+    With ``rated``, ``reviews`` are not reviews but what ``item_ratings`` makes of them.
+    """
+    listed = item_columns(items, "price", "category", "store")
+    rated = reviews if rated else agg.item_ratings(reviews)
     if measured_bytes(listed) <= limits.broadcast_bytes:
         return cut(rated.join(F.broadcast(listed), "asin", "left"), "item-context")
     rated, listed = cut(rated, "item-ratings"), cut(listed, "listed-items")
@@ -119,6 +123,9 @@ def fct_reviews(
     counts = per_item.groupBy("asin").agg(F.max("rows").alias("rows"))
     dated = fct_x_time(reviews, time)
     joined = lookup(dated, per_item.drop("rows"), "asin", counts, limits=limits)
+    # Of reviews stored by month, so that a filter on it reaches the stored ones.
+    stored = "review_month" in reviews.columns
+    month = F.col("review_month") if stored else review_month(F.col("timestamp"))
     return joined.select(
         "review_id",
         review_id_hex(F.col("review_id")).alias("review_id_power_bi"),
@@ -128,7 +135,7 @@ def fct_reviews(
         "verified_purchase",
         "helpful_votes",
         "timestamp",
-        review_month(F.col("timestamp")).alias("review_month"),
+        month.alias("review_month"),
         "price",
         "category",
         "store",

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from reviewmart.schemas import RAW_ITEM, RAW_REVIEW
+from reviewmart.sources.archives import verify
+from reviewmart.workspace import cut
 
 _CORRUPT = "_corrupt_record"
 _UNREADABLE = re.compile("(?i)EOF|unexpected end|FAILED_READ|not in gzip|incorrect|corrupt")
@@ -54,15 +56,26 @@ def split_corrupt(
     """
     lines = spark.read.text(paths).where(F.trim("value") != "")
     wide = StructType([*schema.fields, StructField(_CORRUPT, StringType(), True)])
-    parsed = lines.select(
+    row = F.col("row")
+    first = lines.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
-        # Any object is a map of texts, whatever its fields hold.
-        F.from_json("value", "map<string,string>").isNull().alias("unparseable"),
         F.from_json(
             "value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
         ).alias("row"),
     )
+    # Archives are inflated and parsed once: rows and what is amiss are read from the table made
+    # of them. Only a line that did not fit is parsed again; any object is a map of texts.
+    amiss_line = row[_CORRUPT].isNotNull() | row.isNull()
+    parsed = cut(
+        first.select(
+            "file",
+            "row",
+            F.when(amiss_line, F.col("value")).alias("value"),
+            (amiss_line & F.from_json("value", "map<string,string>").isNull()).alias("unparseable"),
+        ),
+        "parsed-lines",
+    )
     rows = parsed.where("NOT unparseable").select(
         [F.col(f"row.{name}") for name in schema.fieldNames()]
     )
@@ -76,18 +89,19 @@ def split_corrupt(
 def broken_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
     """The files that cannot be read to their end, of which a scan that skips keeps a part only.
 
-    Reads each file once, in a job of its own; the number of files is that of the downloads.
+    One job inflates them all. Files in a store that only Spark's readers open are read by Spark,
+    one after another.
     """
-    listed = spark.read.format("binaryFile").load(paths).select("path").collect()
-    broken = []
-    for (path,) in sorted(listed):
+    report = verify(spark, paths).select("path", "bytes", "broken_at").collect()
+    broken = [row["path"] for row in report if row["broken_at"] is not None]
+    for path in sorted(row["path"] for row in report if row["bytes"] is None):
         try:
             spark.read.text(path).agg(F.count("*")).collect()
         except Exception as error:  # noqa: BLE001 - whatever a reader raises on damaged input
             if not _UNREADABLE.search(str(error)):
                 raise
             broken.append(path)
-    return broken
+    return sorted(broken)
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from time import time_ns
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reviewmart.schemas import FCT_REVIEWS
+from reviewmart.workspace import remove_folders
 
 FACT_PARTITION = "review_month"
 FACT_CLUSTER = ("user_id", "asin")
@@ -49,6 +53,55 @@ def materialize_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def refresh_table(df: DataFrame, name: str, root: str) -> DataFrame:
+    """A model as a catalog table whose refresh readers never see half done.
+
+    A refresh writes a version folder of its own under ``root`` and then moves the table to it. If it
+    fails, the table still shows the version before, and nothing has to be repaired. The version
+    before stays for queries that are reading it; older ones, and what a failed refresh left, go.
+    """
+    spark, catalog = df.sparkSession, df.sparkSession.catalog
+    path = f"{root.rstrip('/')}/version-{time_ns():020d}-{uuid4().hex[:8]}"
+    df.write.parquet(path)
+    before = None
+    if catalog.tableExists(name):
+        described = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()
+        before = described["data_type"].rstrip("/").rsplit("/", 1)[-1]
+        if spark.table(name).dtypes == df.dtypes:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        else:
+            # Another schema is another table; its files are its own.
+            spark.sql(f"DROP TABLE {name}")
+            catalog.createTable(name, path=path, source="parquet")
+        catalog.refreshTable(name)
+    else:
+        catalog.createTable(name, path=path, source="parquet")
+    remove_folders(spark, root, keep=(path.rsplit("/", 1)[-1], before), prefix="version-")
+    return spark.table(name)
+
+
+def bucketed_table(
+    df: DataFrame, name: str, path: str, key: str = "user_id", buckets: int | None = None
+) -> DataFrame:
+    """A catalog table in buckets of ``key``, sorted by it, one file each.
+
+    Tables with as many buckets of one key join, and are grouped by it, without moving a row. What
+    cannot be divided is a single key: where one holds a large part of all rows, a shuffled join
+    that spreads heavy keys serves better. By default a bucket is what a shuffle partition is.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (
+        df.repartition(n, key)
+        .write.mode("overwrite")
+        .bucketBy(n, key)
+        .sortBy(key)
+        .option("path", path)
+        .saveAsTable(name)
+    )
+    return spark.table(name)
+
+
 def cluster_layout(fact: DataFrame, partitions: int | None = None) -> DataFrame:
     """Deal rows out by ranges of month, user and product, and sort them; no value changes.
 

@@ -56,6 +56,18 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
 
 
+def remove_folders(
+    spark: SparkSession, root: str, keep: tuple[str | None, ...], prefix: str = ""
+) -> None:
+    """Remove the folders right under ``root`` whose name has the prefix and is not among ``keep``."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(at):
+        name = status.getPath().getName()
+        if name.startswith(prefix) and name not in keep:
+            files.delete(status.getPath(), True)
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return it read back.
 

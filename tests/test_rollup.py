@@ -1,0 +1,50 @@
+"""The rollup answers as the fact does, also after months are loaded again."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from reviewmart.plans import dashboard, marts, rollup
+
+ROWS = [
+    ("u1", "a", "2020-01-05 10:00:00", 5.0, True),
+    ("u1", "b", "2020-01-06 11:00:00", 3.0, None),
+    ("u2", "c", "2020-02-01 00:00:00", 2.0, False),
+    ("u2", "a", "2021-02-03 00:00:00", 4.0, True),
+    ("u3", None, "1990-02-03 00:00:00", 1.0, True),
+    ("u3", "a", "2020-01-07 10:00:00", 1.0, True),
+]
+QUESTIONS = ["reviews_by_year", "category_rating_trend", "category_share", "monthly_reviews_price", "weekday_trend"]
+
+
+def _rows(df):
+    return sorted(str(sorted(row.asDict().items())) for row in df.collect())
+
+
+@pytest.mark.parametrize("verified", [None, True, False])
+def test_questions(spark, reviews, items, time, tmp_path, verified):
+    catalog = items(("a", 10.0), ("a", 30.0, "Toys"), ("b", None))
+    fact = marts.fct_reviews(reviews(*ROWS), catalog, time)
+    path = str(tmp_path)
+    # A first delivery of one month is replaced by the whole of it.
+    rollup.load_rollup(fact.where("user_id = 'u1'"), path)
+    rollup.load_rollup(fact, path)
+    parts = rollup.read_rollup(spark, path)
+    for name in QUESTIONS:
+        assert _rows(getattr(rollup, name)(parts, verified)) == _rows(getattr(dashboard, name)(fact, verified)), name
+    by_month = rollup.monthly_reviews_price(parts, verified, by_calendar_month=True)
+    assert _rows(by_month) == _rows(dashboard.monthly_reviews_price(fact, verified, by_calendar_month=True))
+
+
+def test_other_months_stay(spark, reviews, items, time, tmp_path):
+    fact = marts.fct_reviews(reviews(*ROWS), items(("a", 10.0)), time)
+    rollup.load_rollup(fact, str(tmp_path))
+    rollup.load_rollup(fact.where(F.year("review_month") == 2021), str(tmp_path))
+    parts = rollup.read_rollup(spark, str(tmp_path))
+    assert _rows(rollup.reviews_by_year(parts)) == _rows(dashboard.reviews_by_year(fact))
+
+
+def test_no_reviews(spark, reviews, items, time, tmp_path):
+    fact = marts.fct_reviews(reviews(*ROWS), items(("a", 10.0)), time)
+    rollup.load_rollup(fact, str(tmp_path))
+    parts = rollup.read_rollup(spark, str(tmp_path)).limit(0)
+    assert all(getattr(rollup, name)(parts).count() == 0 for name in QUESTIONS)
