@@ -51,7 +51,7 @@ _SMALL_RUN = 64
 # Rows of a piece of a united group, and what they grow to in very large groups.
 _PIECE_ROWS, _LARGEST_PIECE = 128, 1024
 # Passes run together, and vectors projected at once.
-_LEAST_PASSES, _TOGETHER, _PROJECTED = 16, 16, 1024
+_LEAST_PASSES, _TOGETHER, _PROJECTED = 16, 32, 1024
 
 
 def passes_for(depth: int, threshold: float, recall: float) -> int:
@@ -276,6 +276,8 @@ def _groups(classes: DataFrame, threshold: float, recall: float, seed: int) -> D
         strings = cut(_strings(vectors, range(begin, min(begin + _TOGETHER, passes)), seed), "vector-strings")
         for finds in (lambda: _neighbours(strings, most), lambda: _run_mates(strings, stars, depth, most)):
             fresh = cut(_verified(finds(), classes, threshold), "vector-edges")
+            if stars is not None and fresh.isEmpty():
+                continue
             edges = fresh if edges is None else edges.unionByName(fresh)
             stars = cut(components(edges), "vector-groups")
             # The groups' stars say all that their edges did.
