@@ -147,42 +147,53 @@ base AS (
         "len(list_filter(string_split(value, '.'), lambda p: length(ltrim(p, '0')) > 3 OR CAST(p AS HUGEINT) > 255)) = 0")}
     UNION ALL {_found("card", "[0-9](?:[ -]?[0-9])+", 0, f"length({_DIGITS}) BETWEEN 13 AND 19 AND {_LUHN}")}
     UNION ALL {_found("phone", "[+][0-9][ ().0-9-]+[0-9]", 0, f"length({_DIGITS}) BETWEEN 9 AND 15")}),
-entities AS (
-    SELECT n, kind || ':' || lower(value) AS entity, start, "end" FROM base),
-sides AS (
-    SELECT row_number() OVER () AS n, * FROM (
-        SELECT n AS doc, entity, greatest(start - 60, 0) AS begin, true AS before,
-               substr("text", CAST(greatest(start - 60, 0) AS BIGINT) + 1,
-                      start - CAST(greatest(start - 60, 0) AS BIGINT)) AS "text"
-        FROM entities JOIN texts USING (n)
-        UNION ALL
-        SELECT n, entity, "end", false, substr("text", "end" + 1, 60)
-        FROM entities JOIN texts USING (n))),
+levelled AS (
+    SELECT n, kind, lower(value) AS own, unnest(range(0, 4)) AS level, unnest([
+        lower(value),
+        CASE kind WHEN 'email' THEN regexp_extract(lower(value), '[^@]+$')
+                  WHEN 'ip' THEN regexp_extract(value, '^[0-9]+[.][0-9]+')
+                  WHEN 'card' THEN left({_DIGITS}, 6) ELSE left({_DIGITS}, 4) END,
+        CASE kind WHEN 'email' THEN regexp_extract(lower(value), '[^.]+$')
+                  WHEN 'ip' THEN regexp_extract(value, '^[0-9]+')
+                  WHEN 'card' THEN left({_DIGITS}, 1) ELSE left({_DIGITS}, 2) END,
+        '']) AS class
+    FROM base),
+total AS (SELECT CAST(count(*) AS DOUBLE) AS total FROM texts),
+entity_docs AS (
+    SELECT kind, level, class, count(DISTINCT n) AS entity_docs FROM levelled, total
+    GROUP BY ALL HAVING count(DISTINCT n) >= 3 AND count(DISTINCT n) < any_value(total)),
+-- The narrowest class that enough documents have.
+held AS (
+    SELECT DISTINCT n, kind, level, class, entity_docs FROM (
+        SELECT *, min(level) OVER (PARTITION BY n, kind, own) AS first
+        FROM levelled JOIN entity_docs USING (kind, level, class))
+    WHERE level = first),
+covered AS (
+    SELECT n, list(DISTINCT {{'start': start, 'end': "end"}}) AS places FROM base GROUP BY n),
+blanked AS (
+    SELECT n, array_to_string(list_transform(string_split("text", ''), lambda c, i: CASE
+               WHEN len(list_filter(places, lambda p: p."start" < i AND i <= p."end")) > 0 THEN ' '
+               ELSE c END), '') AS "text"
+    FROM covered JOIN texts USING (n)),
 terms AS (
-    {_found("term", _TERM, 0, "true", "sides")}),
-near AS (
-    SELECT doc AS n, entity, lower(value) AS word, begin + start AS start, begin + "end" AS "end"
-    FROM terms t JOIN (SELECT n, doc, entity, begin, before FROM sides) s USING (n)
-    WHERE CASE WHEN before THEN start > 0 OR begin = 0 ELSE "end" < 60 END
-      AND NOT EXISTS (SELECT 1 FROM base b WHERE b.n = s.doc AND b.start < begin + t."end"
-                                             AND begin + t.start < b."end")),
+    {_found("term", _TERM, 0, "true", "blanked")}),
+words AS (SELECT DISTINCT n, lower(value) AS word FROM terms),
 pairs AS (
-    SELECT entity, word, count(DISTINCT n) AS together FROM near
-    GROUP BY entity, word HAVING count(DISTINCT n) >= 3),
-entity_docs AS (SELECT entity, count(DISTINCT n) AS entity_docs FROM entities GROUP BY entity),
+    SELECT kind, level, class, entity_docs, word, count(*) AS together
+    FROM held JOIN words USING (n) GROUP BY ALL HAVING count(*) >= 3),
 word_docs AS (
     SELECT word, count(DISTINCT n) AS word_docs
     FROM (SELECT n, unnest(regexp_extract_all(lower("text"), '{_TERM}')) AS word FROM texts)
     GROUP BY word),
 disclosing AS (
-    SELECT entity, word FROM pairs JOIN entity_docs USING (entity) JOIN word_docs USING (word),
-         (SELECT CAST(count(*) AS DOUBLE) AS total FROM texts)
-    WHERE entity_docs < total
-      AND log2(together * total / (word_docs * entity_docs)) / log2(total / entity_docs) >= 0.75),
+    SELECT kind, level, class, word FROM pairs JOIN word_docs USING (word), total
+    WHERE log2(together * total / (word_docs * entity_docs)) / log2(total / entity_docs) >= 0.75),
+judged AS (
+    SELECT DISTINCT n, word FROM held JOIN disclosing USING (kind, level, class) JOIN words USING (n, word)),
 spans AS (
     SELECT n, kind, start, "end" FROM base
     UNION ALL
-    SELECT DISTINCT n, 'term', start, "end" FROM near JOIN disclosing USING (entity, word)),
+    SELECT terms.n, 'term', start, "end" FROM terms JOIN judged ON judged.n = terms.n AND word = lower(value)),
 placed AS (
     SELECT *, kind || ':' || start || ':' || "end" AS shown,
            list_position(['email', 'ip', 'card', 'phone', 'term'], kind) AS place FROM spans),
@@ -233,7 +244,8 @@ children AS (
 valued AS (
     SELECT n.*, coalesce(n_children, 0) AS n_children,
            CASE WHEN depth = 0 THEN 0 ELSE
-               (n_convs - 1) * len(regexp_extract_all(prefix[depth].text, '[^ 	-]+')) END AS saved
+               (n_convs - 1) * len(regexp_extract_all(prefix[depth].text, '[^ 	-
+]+')) END AS saved
     FROM nodes n LEFT JOIN children USING (depth, prefix)),
 below AS (
     SELECT k AS depth, prefix[1:k] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves,

@@ -6,10 +6,24 @@ pointwise mutual information over the entity's own information, 1 if the word ne
 it. In the documents that hold the entity, all occurrences of words above the upper threshold are
 removed, and of those between the two replaced by their kind.
 
-An entity, or a word with it, in fewer documents than the support is too rare to be judged: the
-entity is still replaced, and no word beside it is. A null text has no entities. Repeated rows are
-documents of their own in every count, so a corpus should be deduplicated before. Spans count code
-points; a word inside an entity is no term.
+Most personal data are rare, so an entity in fewer documents than the support stands for its class:
+the first of the levels below that enough documents have. A word is then judged by how much it tells
+of the class.
+
+========  ==============  ====================  ===================  ==============
+level     email           ip                    card                 phone
+========  ==============  ====================  ===================  ==============
+0         the address     the address           the number           the number
+1         its domain      its first two parts   its first 6 digits   first 4 digits
+2         top domain      its first part        its first digit      first 2 digits
+3         any email       any ip                any card             any phone
+========  ==============  ====================  ===================  ==============
+
+Where even the kind is rarer than the support, or in every document, the entity is replaced, and no
+word beside it is. Null and empty texts have no entities; texts of any length are taken whole.
+Repeated rows are documents of their own in every count, so a corpus should be deduplicated before;
+rows alike are judged alike. An empty table has no rows. Spans count code points; a word inside an
+entity is no term.
 """
 
 from __future__ import annotations
@@ -71,6 +85,28 @@ def entities(text: Column) -> Column:
     return F.concat(email, ip, card, phone)
 
 
+def _levels(span: Column) -> Column:
+    """The entity's own key and those of its classes, from the narrowest to the widest."""
+    kind, value = span["kind"], F.lower(span["value"])
+    digits = _digits(value)
+
+    def classes(email: str, ip: str, card: int, phone: int) -> Column:
+        return (
+            F.when(kind == "email", F.regexp_extract(value, email, 0))
+            .when(kind == "ip", F.regexp_extract(value, ip, 0))
+            .when(kind == "card", F.left(digits, F.lit(card)))
+            .otherwise(F.left(digits, F.lit(phone)))
+        )
+
+    names = [
+        value,
+        classes("[^@]+$", r"^[0-9]+\.[0-9]+", 6, 4),
+        classes(r"[^.]+$", "^[0-9]+", 1, 2),
+        F.lit(""),
+    ]
+    return F.array(*(F.xxhash64(kind, F.lit(level), name) for level, name in enumerate(names)))
+
+
 def sanitise(
     docs: DataFrame,
     text_col: str = "text",
@@ -80,8 +116,8 @@ def sanitise(
 ) -> DataFrame:
     """``doc`` and ``spans``: entities and disclosing terms, each with its ``replacement``.
 
-    A term is judged by an entity if they share ``support`` documents at least. Work and shuffles
-    follow the documents whose entities have that many; of others only each word's document count
+    A term is judged by an entity, or its class, if they share ``support`` documents at least. Work
+    and shuffles follow the documents with entities; of others only each word's document count
     is needed, summed in each task first. A word in so many documents that no entity could be
     disclosed by it is left out before words and entities meet.
     """
@@ -92,13 +128,22 @@ def sanitise(
         "entities",
     )
     n = docs.count()
-    entity = lambda s: F.xxhash64(s["kind"], F.lower(s["value"]))
-    each = found.select("row", F.explode(F.array_distinct(F.transform("spans", entity))).alias("entity"))
-    entity_docs = each.groupBy("entity").agg(F.count("*").alias("entity_docs"))
+    keys = F.transform("spans", _levels)
+    key_docs = (
+        found.select(F.explode(F.array_distinct(F.flatten(keys))).alias("key"))
+        .groupBy("key")
+        .agg(F.count("*").alias("entity_docs"))
+        .where((F.col("entity_docs") >= support) & (F.col("entity_docs") < n))
+    )
+    each = found.select("row", F.explode(F.array_distinct(keys)).alias("keys")).select(
+        "row", F.col("keys")[0].alias("own"), F.posexplode("keys").alias("level", "key")
+    )
     held = cut(
-        each.join(
-            entity_docs.where((F.col("entity_docs") >= support) & (F.col("entity_docs") < n)), "entity"
-        ),
+        each.join(key_docs, "key")
+        .groupBy("row", "own")
+        .agg(F.min(F.struct("level", "key", "entity_docs")).alias("first"))
+        .select("row", F.col("first.key").alias("entity"), "first.entity_docs")
+        .distinct(),
         "entities-held",
     )
 

@@ -46,7 +46,7 @@ def test_disclosing_terms(spark):
     """A word that occurs only beside one address gives it away; a common one does not."""
     rows = [(i, f"Kestrel wrote to ann@mail.example.org about the plan {i}") for i in range(4)]
     rows += [(10 + i, f"the plan for {i} about others bob{i}@mail.example.org") for i in range(4)]
-    rows += [(20 + i, f"about the plan {i}") for i in range(40)]
+    rows += [(20 + i, f"about the plan {i}" + (" for others" if i > 10 else "")) for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     out = {r["doc"]["doc_id"]: r for r in pii.sanitise(docs).collect()}
     terms = {out[0]["doc"]["text"][s["start"] : s["end"]] for s in out[0]["spans"] if s["kind"] == "term"}
@@ -70,6 +70,29 @@ def test_disclosing_terms_far_away(spark):
         assert sorted(terms) == (["KESTREL", "Kestrel"] if i < 4 else [])
 
 
+@pytest.mark.parametrize(
+    "entity",
+    [
+        lambda i: f"p{i}@corp.example.org",  # one domain
+        lambda i: f"p{i}@corp{i}.example.org",  # one top domain
+        lambda i: f"10.20.{i}.7",
+        lambda i: f"10.{i}.3.7",
+        lambda i: f"{i + 3}.{i}.3.7",  # nothing but the kind
+        lambda i: f"+1 (555) 010-22{i}3",
+        lambda i: f"+{i + 2}1 999 010-2203",
+    ],
+)
+def test_terms_of_rare_entities(spark, entity):
+    """Entities of one document each are judged by the narrowest class that documents share."""
+    rows = [(i, f"Kestrel reach {entity(i)} about the plan {i}") for i in range(4)]
+    rows += [(20 + i, f"reach about the plan {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc"]["doc_id"]: r for r in pii.sanitise(docs).collect()}
+    for i, text in rows:
+        terms = [text[s["start"] : s["end"]] for s in out[i]["spans"] if s["kind"] == "term"]
+        assert terms == (["Kestrel"] if i < 4 else [])
+
+
 def test_generalised_terms(spark):
     rows = [(i, f"Kestrel near ann@mail.example.org {i}") for i in range(6)]
     rows += [(6, "Kestrel flies"), (7, "Kestrel sings")]

@@ -36,6 +36,8 @@ def test_odd_rows(spark, tmp_path, name):
     secret, address = "token = q8Zr51LmX0vT77b", "write Kestrel at ann@mail.example.org today"
     short = [t for t in TEXTS if not t or len(t) < 5000]
     texts = [*short, *[f"{secret} {address} number {i}" for i in range(4)], "loose q8Zr51LmX0vT77bYYwaE33 end"]
+    texts += [f"Kestrel {'far away ' * 30} ann@mail.example.org and KESTREL {i}" for i in range(4)]
+    texts += [f"Falcon at 10.1.{i}.1 and {'away ' * 30}" for i in range(3)] + [f"far away and at {i}" for i in range(40)]
     rows = [(i, t, f"s{i % 5}" if i % 4 else None, "en" if i % 2 else None) for i, t in enumerate(texts)]
     rows += [(None, "a b c", None, None), (3, "one", "s3", "en"), (3, "one", "s3", "en")]
     schema = "doc_id long, text string, source string, lang string"
@@ -52,3 +54,5 @@ def test_odd_rows(spark, tmp_path, name):
     spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
     got, want = _bags(spark, str(tmp_path), name)
     assert got == want
+    if name == "op1_pii":
+        assert sum(r["n_term"] > 0 for r in queries.op1_pii(spark, str(tmp_path)).collect()) >= 7
