@@ -5,8 +5,13 @@ rank and place; popping one merges it and queues the pairs with the new neighbou
 symbols have since changed is stale and skipped.
 
 The vocabulary file gives tokens, ranks, special tokens and the rule that splits text into words.
+Libraries differ in the Unicode version they know. Where that cannot matter (Latin letters, usual
+punctuation) text is put into lower case and split here, everywhere else by the tokenizers library's
+own normalizer and rule; merging is done here for all.
+
 Words never reach across white space, so what a chunk of text between white space encodes to is
-kept for the next time it is met, unless long, in tables of bounded bytes. A null text is empty.
+kept for the next time it is met, unless long, in tables of bounded bytes. Null and empty texts
+have no ids; texts of any length are encoded whole, repeated rows each. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import os
 import re
 import unicodedata
 from array import array
@@ -28,6 +34,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
+from tokenizers import Tokenizer
 
 # Bytes of chunks kept per worker process, in each of two tables: with their tokens, and packed ids
 # only. They hold some 350,000 and 200,000 usual words.
@@ -39,6 +46,8 @@ _SLOT_BYTES = 100
 # Documents whose ids are held at once.
 _AT_ONCE = 256
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+# Characters whose case, composition and class are the same in every Unicode version in use.
+_SETTLED = re.compile("[\x00-\u02ff\u2010-\u2027\u20ac]*")
 # str.split takes these for white space too, the vocabulary's rule does not.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -97,14 +106,15 @@ class Encoder:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.word = regex.compile(split["pattern"]["Regex"])
         self.bytes = byte_characters()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.library = Tokenizer.from_file(path)
         self.special_parts = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.kept = Kept(self._chunk, _KEPT_BYTES)
         self.kept_packed = Kept(self._packed, _PACKED_BYTES)
 
-    def encode_word(self, word: str) -> list[int]:
-        """Ids of one word."""
-        symbols = [self.bytes[byte] for byte in word.encode()]
-        symbols[-1] += self.suffix
+    def encode_word(self, symbols: list[str]) -> list[int]:
+        """Ids of one word, given as the characters that stand for its bytes."""
+        symbols = [*symbols[:-1], symbols[-1] + self.suffix]
         ids: list[int] = [self.vocabulary[s] for s in symbols]
         n, merges = len(ids), self.merges
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
@@ -131,8 +141,13 @@ class Encoder:
         return [i for i in ids if i >= 0]
 
     def _ids(self, chunk: str) -> list[int]:
-        lowered = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        return [i for word in self.word.findall(lowered) for i in self.encode_word(word)]
+        if _SETTLED.fullmatch(chunk):
+            lowered = unicodedata.normalize("NFC", chunk).lower()
+            words = [[self.bytes[byte] for byte in word.encode()] for word in self.word.findall(lowered)]
+        else:
+            lowered = self.library.normalizer.normalize_str(chunk)
+            words = [list(word) for word, _ in self.library.pre_tokenizer.pre_tokenize_str(lowered)]
+        return [i for word in words for i in self.encode_word(word)]
 
     def _chunk(self, chunk: str) -> tuple[str, str, int]:
         """Ids and tokens of a chunk, each joined by blanks, and their number."""
@@ -199,8 +214,11 @@ def encoded(text: Column, path: str) -> Column:
 
 
 def with_ids(docs: DataFrame, text_col: str, path: str) -> DataFrame:
-    """``docs`` with its text replaced by ``n_tokens`` and the array ``ids``."""
-    others = [field for field in docs.schema.fields if field.name != text_col]
+    """``docs`` with its text replaced by ``n_tokens`` and the array ``ids``.
+
+    Columns that have these names already give way to them.
+    """
+    others = [field for field in docs.schema.fields if field.name not in (text_col, "n_tokens", "ids")]
     schema = StructType([*others]).add("n_tokens", LongType()).add("ids", ArrayType(IntegerType()))
     names = [field.name for field in others]
 
@@ -209,18 +227,18 @@ def with_ids(docs: DataFrame, text_col: str, path: str) -> DataFrame:
         for batch in batches:
             for begin in range(0, batch.num_rows, _AT_ONCE):
                 some = batch.slice(begin, _AT_ONCE)
-                packed = [pack(text) for text in some.column(text_col).to_pylist()]
+                packed = [pack(text) for text in some.column(len(names)).to_pylist()]
                 sizes = np.array([len(ids) // 4 for ids in packed], np.int64)
                 ids = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()),
                     pa.array(np.frombuffer(b"".join(packed), np.int32)),
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [*(some.column(name) for name in names), pa.array(sizes), ids],
-                    names=[*names, "n_tokens", "ids"],
+                    [*some.columns[:-1], pa.array(sizes), ids], names=[*names, "n_tokens", "ids"]
                 )
 
-    return docs.mapInArrow(work, schema)
+    # The text is the last column, whatever else is called as it is.
+    return docs.select(*(docs[f"`{name}`"] for name in names), docs[f"`{text_col}`"]).mapInArrow(work, schema)
 
 
 def decoded(ids: Column, path: str) -> Column:

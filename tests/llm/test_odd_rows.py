@@ -423,6 +423,44 @@ def test_encoder(text):
     assert encoder.encode(text) == (" ".join(map(str, ids)), library.decode(ids, skip_special_tokens=False), len(ids))
 
 
+def test_encoder_on_every_character():
+    from tokenizers import Tokenizer
+
+    library, encoder = Tokenizer.from_file(WORDS), bpe.Encoder(WORDS)
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}b {c} A{c}" for c in every]
+    for begin in range(0, len(texts), 50_000):
+        some = texts[begin : begin + 50_000]
+        for text, want in zip(some, library.encode_batch(some, add_special_tokens=False), strict=True):
+            assert encoder.encode(text)[0] == " ".join(map(str, want.ids)), ascii(text)
+
+
+def test_encoder_on_strings_of_marks():
+    import random
+    import unicodedata
+
+    from tokenizers import Tokenizer
+
+    library, encoder = Tokenizer.from_file(WORDS), bpe.Encoder(WORDS)
+    draw = random.Random(4)
+    marks = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) in ("Mn", "Mc")]
+    letters = [chr(c) for c in range(0x3000) if unicodedata.category(chr(c))[0] in "LNPSZ"]
+    texts = ["t\u1ac5\u1dd8\u1715"] + [
+        "".join(draw.choice(marks if draw.random() < 0.6 else letters) for _ in range(draw.randint(2, 8))) for _ in range(50_000)
+    ]
+    texts += ["".join(draw.choice(letters[:700]) for _ in range(draw.randint(2, 12))) for _ in range(20_000)]
+    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        ids, tokens, n = encoder.encode(text)
+        assert ids == " ".join(map(str, want.ids)), ascii(text)
+        assert tokens == library.decode(want.ids, skip_special_tokens=False) and n == len(want.ids)
+
+
+def test_ids_beside_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a b", 7, "x")], "ids int, text string, n_tokens int, doc string")
+    row = bpe.with_ids(docs, "text", WORDS).first()
+    assert row.asDict() == {"doc": "x", "n_tokens": 2, "ids": bpe.encoder(WORDS)._ids("a") + bpe.encoder(WORDS)._ids("b")}
+
+
 def test_quality(odd):
     rows = quality_rules.judge(quality_rules.measures(odd), quality_rules.DecisionList(())).collect()
     assert _texts(rows) == _whole(odd)
