@@ -158,15 +158,20 @@ def _depth(classes: DataFrame, n: int, threshold: float, recall: float, seed: in
         .groupBy("dim", "pass", "depth", _beginning(F.col("key"), F.col("depth")).alias("prefix"))
         .agg(F.count("*").alias("size"))
     )
+    beyond = F.col("size") * (n / _PROBED) > WINDOW
     rows = runs_of.groupBy("depth").agg(
-        F.sum("size").alias("rows"), F.sum(F.col("size") * (F.col("size") - 1)).alias("met")
+        F.sum("size").alias("rows"),
+        F.sum(F.col("size") * (F.col("size") - 1)).alias("met"),
+        F.sum(F.when(beyond, F.col("size")).otherwise(0)).alias("in_long_runs"),
     )
     cost = {}
     for row in rows.collect():
         # Others of a row's run, for all vectors.
         others = row["met"] / row["rows"] * n * _PROBES / row["rows"]
         met = max(others, _SMALL_RUN) * (1 + _ROW_COST / _COMPARED_ROWS)
-        cost[row["depth"]] = passes_for(row["depth"], threshold, recall) * (_ROW_COST + met)
+        # Rows of runs longer than the window are brought to units of their own besides.
+        brought = _ROW_COST * (1 + 2 * row["in_long_runs"] / row["rows"])
+        cost[row["depth"]] = passes_for(row["depth"], threshold, recall) * (brought + met)
     return min(cost, key=lambda depth: (cost[depth], depth), default=_SHALLOWEST)
 
 
