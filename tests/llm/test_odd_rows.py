@@ -126,6 +126,46 @@ def test_shards_split_a_hot_text_only(spark):
     assert all(len(shards) == 1 for shards in places.values())
 
 
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_shards_split_rows_alike(spark, partitions):
+    """A third of all rows alike in text and id, with another column that differs."""
+    rows = [(7, "quite the same " * 9, i) for i in range(3000)]
+    rows += [(100 + i, f"text {i} " * (1 + i % 9), i) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, other int").repartition(partitions)
+    out = sharding.shard(docs, shards=10, piece_bytes=5000).collect()
+    assert sorted(r["doc"]["other"] for r in out) == sorted(r[2] for r in rows)
+    sizes, slots = {}, {}
+    for r in out:
+        sizes[r["shard"]] = sizes.get(r["shard"], 0) + r["size"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    mean = sum(sizes.values()) / 10
+    assert len(sizes) == 10 and max(abs(s - mean) for s in sizes.values()) <= 0.02 * mean + 160
+    assert all(sorted(found) == list(range(len(found))) for found in slots.values())
+
+
+def test_shards_like_plain_splitters(spark):
+    """Every boundary is where counting all rows in order puts it, within the tolerance."""
+    rows = [(i, f"some text {i} " * (1 + i % 23)) for i in range(4000)] + [(i, None) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sharding.shard(docs, shards=8, piece_bytes=3000).collect()
+    text, doc_id = F.coalesce("text", F.lit("")), F.col("doc_id")
+    keys = docs.select(
+        "doc_id",
+        F.shiftrightunsigned(F.xxhash64(text), 1).alias("key"),
+        F.shiftrightunsigned(F.xxhash64(doc_id.isNull(), doc_id), 1).alias("tie"),
+        "text",
+    ).collect()
+    shard_of = {(r["doc"]["doc_id"], r["doc"]["text"]): r["shard"] for r in out}
+    total, before = sum(r["size"] for r in out), 0
+    order = sorted(keys, key=lambda r: (r["key"], r["tie"]))
+    numbers = [shard_of[r["doc_id"], r["text"]] for r in order]
+    assert numbers == sorted(numbers)
+    for row, number, following in zip(order, numbers, numbers[1:]):
+        before += len((row["text"] or "").encode()) + 16
+        if following != number:
+            assert abs(before - total * following / 8) <= 0.002 * total / 8 + 400
+
+
 def test_token_files(spark, odd):
     path = fresh_path(spark, "files")
     token_files.write(odd, path, BYTES, end=2)
@@ -371,6 +411,25 @@ def test_mix(odd):
     assert all(r["copies"] <= 2 for r in rows)
 
 
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_mix_of_rows_alike(spark, partitions):
+    """A third of all rows alike: targets are met within one row, and each row counts by itself."""
+    rows = [(7, "a b c d e f g", "s0", i) for i in range(3000)] + [(8, "x y z", "s2", i) for i in range(500)]
+    rows += [(100 + i, "word " * (1 + i % 5), f"s{i % 3}", i) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, other int").repartition(partitions)
+    out = mixing.mix(docs).collect()
+    assert sorted(r["doc"]["other"] for r in out) == sorted(r[3] for r in rows)
+    taken, target = {}, {}
+    for r in out:
+        source = r["doc"]["source"]
+        taken[source] = taken.get(source, 0) + r["size"] * r["copies"]
+        target[source] = r["target"]
+    for source in target:
+        assert abs(taken[source] - target[source]) <= 4
+    alike = [r["copies"] for r in out if r["doc"]["doc_id"] == 7]
+    assert len(alike) == 3000 and max(alike) - min(alike) <= 1
+
+
 def test_budget_beyond_all_caps(odd):
     rows = mixing.mix(odd, share=9.0).collect()
     assert {r["copies"] for r in rows if r["size"]} == {2}
