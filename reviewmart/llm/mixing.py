@@ -5,8 +5,9 @@ it is clamped there and the excess goes to the others by weight, until none is a
 then repeated whole as often as fits, and once more in part: of its rows in the order of a seeded
 hash, the first ones that fit into what is missing, and the one that fills the gap best.
 
-A null text has size 0, a null source is a source of its own and comes last. Rows alike in all key
-columns share their fate. If the budget exceeds all caps, every source stands at its cap. Nothing
+A null or empty text has size 0, a null source is a source of its own and comes last. Rows alike in
+all key columns have one place in that order and are told apart by numbers they get when written
+to a table, so that a part of them can be taken. Without rows there are no sources. If the budget exceeds all caps, every source stands at its cap. Nothing
 is drawn at run time: the same rows and seed give the same mix, however they are partitioned.
 """
 
@@ -21,7 +22,7 @@ from reviewmart.workspace import cut
 
 _DRAW_BITS = 60
 # Parts of a source's hash range that are summed first; only the part with the cut is sorted.
-_PART_BITS = 12
+_PART_BITS = 16
 
 
 def draw_of(doc: Column, key_cols: tuple[str, ...], seed: int) -> Column:
@@ -60,8 +61,9 @@ def water_filled(sources: DataFrame, share: float, max_epochs: float) -> DataFra
     return sources.withColumn("target", F.least(cap, weight * level))
 
 
-def _cuts(sizes: DataFrame, sources: DataFrame) -> DataFrame:
-    """Per source, the draws of the repetition in part: all up to ``last_draw``, and ``more_draw``."""
+def _cuts(sizes: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What the repetition in part takes: per source all draws up to ``last_draw``, and of some
+    further draws (``picked``) a number of ``rows``."""
     missing = F.col("target") - F.col("whole") * F.col("source_size")
     parts = sizes.groupBy(
         "source", F.shiftright("draw", _DRAW_BITS - _PART_BITS).alias("part")
@@ -110,16 +112,66 @@ def _cuts(sizes: DataFrame, sources: DataFrame) -> DataFrame:
         ),
         "mix-cuts",
     )
+    # Of the rows alike that come next, as many as fit; rows without words change nothing.
+    after = sizes.join(cuts, F.col("source").eqNullSafe(F.col("cut_source"))).where(
+        (F.col("draw") > F.col("last_draw")) & (F.col("each") > 0)
+    )
+    following = cut(
+        after.groupBy("cut_source")
+        .agg(F.min(F.struct("draw", "each", "gap")).alias("next"))
+        .select(
+            F.col("cut_source").alias("next_source"),
+            F.col("next.draw").alias("next_draw"),
+            F.floor(F.col("next.gap") / F.col("next.each")).alias("fitting"),
+            (F.col("next.gap") - F.floor(F.col("next.gap") / F.col("next.each")) * F.col("next.each")).alias("rest"),
+        ),
+        "mix-next",
+    )
     # One row more if it brings the source nearer.
-    off = F.abs(F.col("size") - F.col("gap"))
+    off = F.abs(F.col("each") - F.col("rest"))
     nearest = (
-        sizes.join(cuts, F.col("source").eqNullSafe(F.col("cut_source")))
-        .where((F.col("draw") > F.col("last_draw")) & (off < F.col("gap")))
-        .groupBy(F.col("source").alias("more_source"))
-        .agg(F.min(F.struct(off, F.col("draw")))["draw"].alias("more_draw"))
+        after.join(following, F.col("cut_source").eqNullSafe(F.col("next_source")))
+        .where(off < F.col("rest"))
+        .groupBy("next_source")
+        .agg(F.min(F.struct(off, F.col("draw")))["draw"].alias("draw"))
+        .select("next_source", "draw", F.lit(1).cast("long").alias("rows"))
+    )
+    fitting = following.where("fitting > 0").select(
+        "next_source", F.col("next_draw").alias("draw"), F.col("fitting").alias("rows")
+    )
+    picked = (
+        fitting.unionByName(nearest)
+        .groupBy(F.col("next_source").alias("picked_source"), F.col("draw").alias("picked_draw"))
+        .agg(F.sum("rows").alias("rows"))
     )
-    return cuts.join(nearest, F.col("cut_source").eqNullSafe(F.col("more_source")), "left").select(
-        "cut_source", "last_draw", "more_draw"
+    return cuts.select("cut_source", "last_draw"), picked
+
+
+def _numbered_alike(rows: DataFrame) -> DataFrame:
+    """Add ``number``, from 0 without gaps among rows of a source and draw, in the order written."""
+    written = cut(rows.withColumn("at", F.monotonically_increasing_id()), "rows-alike")
+    # The partition is above 33 bits: one task numbers what another wrote, and no more.
+    placed = written.withColumn("task", F.shiftright("at", 33))
+    alike = ["source", "draw"]
+    own = Window.partitionBy(*alike, "task").orderBy("at")
+    counts = placed.groupBy(*alike, "task").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(*alike).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select(
+        F.col("source").alias("begin_source"),
+        F.col("draw").alias("begin_draw"),
+        F.col("task").alias("begin_task"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"),
+    )
+    same = (
+        F.col("source").eqNullSafe(F.col("begin_source"))
+        & (F.col("draw") == F.col("begin_draw"))
+        & (F.col("task") == F.col("begin_task"))
+    )
+    return (
+        placed.withColumn("number", F.row_number().over(own) - 1)
+        .join(begins, same)
+        .withColumn("number", F.col("number") + F.col("begin"))
+        .drop("at", "task", "begin_source", "begin_draw", "begin_task", "begin")
     )
 
 
@@ -141,7 +193,10 @@ def mix(
         .withColumn("source", doc[source_col])
     )
     sizes = cut(
-        sized.groupBy("source", "draw").agg(F.sum("size").alias("size")), "mix-sizes"
+        sized.groupBy("source", "draw").agg(
+            F.sum("size").alias("size"), F.max("size").alias("each"), F.count("*").alias("alike")
+        ),
+        "mix-sizes",
     )
     sources = cut(
         water_filled(weighed(sizes, weights), share, max_epochs).withColumn(
@@ -152,24 +207,34 @@ def mix(
         ),
         "mix-sources",
     )
+    cuts, picked = _cuts(sizes, sources)
+    cuts = cuts.withColumnRenamed("last_draw", "through_draw")
     plan = cut(
-        sources.join(
-            _cuts(sizes, sources), F.col("source").eqNullSafe(F.col("cut_source")), "left"
-        ).select(
-            F.col("source").alias("plan_source"),
-            "source_size",
-            "target",
-            "whole",
-            "last_draw",
-            "more_draw",
+        sources.join(cuts, F.col("source").eqNullSafe(F.col("cut_source")), "left").select(
+            F.col("source").alias("plan_source"), "source_size", "target", "whole", F.col("through_draw").alias("last_draw")
         ),
         "mix-plan",
     )
-    once_more = (F.col("draw") <= F.col("last_draw")) | F.col("draw").eqNullSafe(F.col("more_draw"))
+    of_picked = F.col("source").eqNullSafe(F.col("picked_source")) & (F.col("draw") == F.col("picked_draw"))
+    # Two draws of a source at most.
+    few = cut(picked.join(sizes.select("source", "draw", "alike"), of_picked).drop("source", "draw"), "mix-picked")
+    all_of_them = few.where("rows >= alike").select("picked_source", "picked_draw", F.lit(True).alias("whole_draw"))
+    some_of_them = few.where("rows < alike").select("picked_source", "picked_draw", "rows")
+    planned = sized.join(plan, F.col("source").eqNullSafe(F.col("plan_source")))
+    if not some_of_them.isEmpty():
+        among = _numbered_alike(planned.join(some_of_them, of_picked).drop("picked_source", "picked_draw"))
+        divided = among.select(
+            "doc", "size", "source_size", "target", (F.col("whole") + (F.col("number") < F.col("rows")).cast("int")).alias("copies")
+        )
+        planned = planned.join(some_of_them, of_picked, "left_anti")
+    else:
+        divided = None
+    once_more = (F.col("draw") <= F.col("last_draw")) | F.col("whole_draw")
     more = F.coalesce(once_more, F.lit(False)).cast("int")
-    return sized.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).select(
+    mixed = planned.join(all_of_them, of_picked, "left").select(
         "doc", "size", "source_size", "target", (F.col("whole") + more).alias("copies")
     )
+    return mixed if divided is None else mixed.unionByName(divided)
 
 
 def repeated(mixed: DataFrame) -> DataFrame:

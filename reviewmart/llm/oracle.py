@@ -50,25 +50,38 @@ aimed AS (
                 THEN floor(least(cap, weight * water.level) / source_size) ELSE 0 END AS whole
     FROM filling, water),
 drawn AS (
-    SELECT source, draw, sum(size) AS size FROM sized GROUP BY source, draw),
+    SELECT source, draw, sum(size) AS size, max(size) AS each, count(*) AS alike
+    FROM sized GROUP BY source, draw),
 running AS (
-    SELECT d.source, d.draw, d.size, target - whole * source_size AS missing,
+    SELECT d.*, target - whole * source_size AS missing,
            sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw) AS through
     FROM drawn d JOIN aimed a ON d.source IS NOT DISTINCT FROM a.source),
 gaps AS (
     SELECT source, coalesce(max(draw) FILTER (through <= missing), -1) AS last_draw,
            any_value(missing) - coalesce(max(through) FILTER (through <= missing), 0) AS gap
     FROM running WHERE missing > 0 GROUP BY source),
+-- Of the rows alike that come next, as many as fit, and one more row that fills the rest best.
+following AS (
+    SELECT g.source, min(r.draw) AS next_draw, floor(any_value(gap) / arg_min(each, r.draw)) AS fitting,
+           any_value(gap) - floor(any_value(gap) / arg_min(each, r.draw)) * arg_min(each, r.draw) AS rest
+    FROM running r JOIN gaps g ON r.source IS NOT DISTINCT FROM g.source
+    WHERE r.draw > last_draw AND each > 0 GROUP BY g.source),
 more AS (
-    SELECT g.source, arg_min(r.draw, (abs(r.size - gap), r.draw)) AS more_draw
+    SELECT f.source, arg_min(r.draw, (abs(each - rest), r.draw)) AS draw
     FROM running r JOIN gaps g ON r.source IS NOT DISTINCT FROM g.source
-    WHERE r.draw > last_draw AND abs(r.size - gap) < gap GROUP BY g.source)
+    JOIN following f ON r.source IS NOT DISTINCT FROM f.source
+    WHERE r.draw > last_draw AND each > 0 AND abs(each - rest) < rest GROUP BY f.source),
+picked AS (
+    SELECT source, draw, sum(n) AS n FROM (
+        SELECT source, next_draw AS draw, fitting AS n FROM following
+        UNION ALL SELECT source, draw, 1 FROM more) GROUP BY source, draw),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source, draw) AS number FROM sized)
 SELECT s.doc_id, s.size, a.source_size, a.target,
-       CAST(s.size * (whole + CAST(coalesce(draw <= last_draw, false)
-                                   OR coalesce(draw = more_draw, false) AS INT)) AS BIGINT) AS taken
-FROM sized s JOIN aimed a ON s.source IS NOT DISTINCT FROM a.source
+       CAST(s.size * (whole + CAST(coalesce(s.draw <= last_draw, false)
+                                   OR coalesce(number <= p.n, false) AS INT)) AS BIGINT) AS taken
+FROM placed s JOIN aimed a ON s.source IS NOT DISTINCT FROM a.source
 LEFT JOIN gaps g ON s.source IS NOT DISTINCT FROM g.source
-LEFT JOIN more m ON s.source IS NOT DISTINCT FROM m.source
+LEFT JOIN picked p ON s.source IS NOT DISTINCT FROM p.source AND s.draw = p.draw
 """
 
 
