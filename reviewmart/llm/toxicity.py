@@ -6,9 +6,11 @@ threshold below each grade: P(grade > k) = sigmoid(w x - t_k). Labels say only w
 toxic; a toxic text's grade, 1 to 3, follows from how much of it is made of words that occur in
 toxic texts alone, by thirds of the labelled toxic texts.
 
-Labelled rows are a sample of bounded size, drawn from each class by hash. Without both
-classes the model knows no feature and calls nothing toxic. A null text has no words. Repeated
-rows of a text count once in training.
+Labelled rows are a sample of bounded size, drawn from each class by a hash of the text. A text counts
+once in training, however many rows have it, and is toxic if at least half of all its labels say so.
+Without both classes, as from an empty table, the model knows no feature and calls nothing toxic.
+Null and empty texts have no words; texts of any length are graded whole; repeated rows get equal
+grades, and of equally likely grades the lower one.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmart.llm.common import drawn, text_of
+from reviewmart.operators.joins import USUAL, measured_bytes
 from reviewmart.workspace import cut
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -74,25 +77,34 @@ def labelled_sample(
     docs: DataFrame, labels: DataFrame, text_col: str, key: str, label: str, most: int
 ) -> DataFrame:
     """``text`` and ``toxic`` of about ``most`` labelled texts of either class, drawn by hash."""
-    verdict = (
+    votes = (
         labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(key).alias("label_of"))
-        .agg((F.avg(label) >= 0.5).alias("toxic"))
+        .agg(F.sum(F.col(label).cast("double")).alias("toxic_votes"), F.count("*").alias("votes"))
     )
-    n = {row["toxic"]: row["count"] for row in verdict.groupBy("toxic").count().collect()}
-    share = {toxic: most / n.get(toxic, most) for toxic in (False, True)}
-    chosen = verdict.where(
-        drawn(F.col("label_of"), share[True]) & F.col("toxic")
-        | drawn(F.col("label_of"), share[False]) & ~F.col("toxic")
+    texts = docs.select(docs[f"`{key}`"].alias("key"), text_of(docs, text_col).alias("text"))
+    # The labels of all rows with a text, by the text's hash alone.
+    judged = cut(
+        texts.select("key", F.xxhash64("text").alias("hash"))
+        .join(votes, F.col("key") == F.col("label_of"))
+        .groupBy("hash")
+        .agg((F.sum("toxic_votes") >= 0.5 * F.sum("votes")).alias("toxic")),
+        "toxicity-texts",
     )
-    # The sample's size is bounded by the parameter.
-    few = F.broadcast(cut(chosen, "toxicity-labels"))
-    texts = (
-        docs.select(docs[f"`{key}`"].alias("key"), text_of(docs, text_col).alias("text"))
-        .join(few, F.col("key") == F.col("label_of"))
-        .select("text", "toxic")
+    n = {row["toxic"]: row["count"] for row in judged.groupBy("toxic").count().collect()}
+    share = {toxic: most / n.get(toxic, most) for toxic in (False, True)}
+    chosen = cut(
+        judged.where(
+            drawn(F.col("hash"), share[True]) & F.col("toxic")
+            | drawn(F.col("hash"), share[False]) & ~F.col("toxic")
+        ),
+        "toxicity-labels",
     )
-    return cut(texts.dropDuplicates(["text"]), "toxicity-sample")
+    # Bounded in expectation by the parameter, and measured all the same.
+    if measured_bytes(chosen) <= USUAL.broadcast_bytes:
+        chosen = F.broadcast(chosen)
+    met = texts.select("text", F.xxhash64("text").alias("hash")).join(chosen, "hash")
+    return cut(met.groupBy("text").agg(F.first("toxic").alias("toxic")), "toxicity-sample")
 
 
 def _counted(sample: DataFrame) -> DataFrame:
