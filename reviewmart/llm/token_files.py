@@ -8,7 +8,8 @@ offset and its own frame alone, without touching its neighbours.
 
 Ids are serialized as little-endian unsigned integers of two bytes, or four for vocabularies that
 need them. Documents are in ascending id order, null ids first, then by text hash. A null text is
-empty and, like any text, ends with the end id. Repeated rows are stored as often as they occur.
+empty and, like any text, ends with the end id. Texts of any length are one frame each. Repeated
+rows are stored as often as they occur. An empty table gives a file set without documents.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmart.llm.bpe import Kept, byte_characters
-from reviewmart.llm.common import drawn
+from reviewmart.llm.common import drawn, let
 
 # Bytes of chunks kept per worker process, in each of two tables, with and without a blank before.
 # They hold some 650,000 usual words.
@@ -133,20 +134,39 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if data else None
 
 
-def train_dictionary(docs: DataFrame, vocabulary: str, samples: int, size: int) -> bytes:
-    """A dictionary of up to ``size`` bytes from about ``samples`` texts of moderate length.
+def train_dictionary(
+    docs: DataFrame, vocabulary: str, samples: int, size: int, piece: int = 16384
+) -> bytes:
+    """A dictionary of up to ``size`` bytes from about ``samples`` pieces of texts of any length.
 
-    The texts are drawn by their hash from all rows, twice as many at most. Where there is too little to
+    Texts are cut into pieces of up to ``piece`` characters, so that a long one is drawn from as often
+    as short ones of the same length together; pieces are drawn by a hash of their text and place,
+    twice as many as wanted at most, and a text's copies count as one. Where there is too little to
     train on, the serialized ids themselves serve; with no texts at all there is no dictionary.
     """
-    share = samples / max(1, docs.count())
+    pieces = F.ceil(F.length("text") / piece)
+    total = docs.agg(F.sum(pieces)).first()[0] or 0
+    places = F.sequence(F.lit(0).cast("long"), pieces - 1)
+    share = samples / max(total, 1)
+    # A text is hashed once, and which of its pieces are drawn is known before any is cut out.
+    mine = let(
+        F.xxhash64("text"),
+        lambda text: F.filter(
+            F.transform(
+                F.when(pieces > 0, places), lambda place: F.struct(place.alias("place"), F.xxhash64(text, place).alias("hash"))
+            ),
+            lambda one: drawn(one["hash"], share),
+        ),
+    )
+    part = F.substring(F.col("text"), F.col("one.place") * piece + 1, F.lit(piece))
     rows = (
-        docs.where(F.length("text").between(1, 16384) & drawn(F.col("text"), share))
-        .groupBy(F.xxhash64("text").alias("hash"))
-        .agg(F.first("text").alias("text"))
+        docs.select("text", F.explode(mine).alias("one"))
+        .select("one.hash", part.alias("part"))
+        .groupBy("hash")
+        .agg(F.first("part").alias("part"))
     )
     encode = serializer(vocabulary).serialize
-    arrays = [encode(row["text"]) for row in rows.orderBy("hash").limit(2 * samples).collect()]
+    arrays = [encode(row["part"]) for row in rows.orderBy("hash").limit(2 * samples).collect()]
     try:
         return zstandard.train_dictionary(size, arrays).as_bytes()
     except zstandard.ZstdError:
