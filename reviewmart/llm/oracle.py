@@ -122,11 +122,13 @@ spans AS (
     SELECT * FROM loose l WHERE NOT EXISTS (
         SELECT 1 FROM known k WHERE k.n = l.n AND k.start < l."end" AND l.start < k."end")),
 carried AS (
-    SELECT value, count(DISTINCT coalesce('+' || source, '')) AS owners
+    SELECT value, count(DISTINCT coalesce('+' || source, '')) AS owners,
+           count(DISTINCT [source, lang]) AS repositories
     FROM spans JOIN texts USING (n) GROUP BY value),
 judged AS (
-    SELECT s.*, list_position(['assign', 'access', 'hex', 'random'], kind) AS place,
-           owners < 3 AND ({_RANDOM} OR kind <> 'assign') AS live
+    SELECT s.* EXCLUDE (value), value, list_position(['assign', 'access', 'hex', 'random'], kind) AS place,
+           owners < 3 AND NOT (owners = 2 AND repositories >= 4) AND ({_RANDOM} OR kind <> 'assign') AS live,
+           owners, repositories
     FROM spans s JOIN carried USING (value)
     WHERE kind <> 'random' OR owners = 1),
 listed AS (
@@ -135,11 +137,14 @@ listed AS (
            string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, place)
                FILTER (kind <> 'random') AS base,
            string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, place) AS spans,
-           count(*) FILTER (live) AS n_live
+           count(*) FILTER (live) AS n_live,
+           string_agg(owners, ',' ORDER BY start, place) AS owners,
+           string_agg(repositories, ',' ORDER BY start, place) AS repositories
     FROM judged GROUP BY n)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
        coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
-       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live
+       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
+       coalesce(owners, '') AS owners, coalesce(repositories, '') AS repositories
 FROM texts LEFT JOIN listed USING (n)
 """
 

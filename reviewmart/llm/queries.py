@@ -118,6 +118,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(S.listed(base, kinds, by_start=True), 256).alias("base_sha256"),
         S.listed(secrets, kinds, by_start=True).alias("spans"),
         F.size(F.filter(secrets, lambda s: s["live"])).cast("long").alias("n_live"),
+        *(S.listed(secrets, kinds, by_start=True, field=name).alias(name) for name in ("owners", "repositories")),
     )
 
 

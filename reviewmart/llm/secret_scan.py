@@ -1,13 +1,14 @@
 """Secret scan with corpus-wide ownership.
 
 Patterns propose candidates. Each candidate's value is hashed, and the hashes are counted over the
-corpus by distinct owners and repositories: a value that many owners carry is an example copied
-around, one that belongs to a single owner and looks random is taken for a live credential. Only
-owners decide; repositories are reported. Random
-tokens that no pattern names are candidates too, and are reported only if one owner has them.
-
-A null text has no candidates; a null owner or repository counts as one owner or repository of its
-own. Repeated rows add nothing to either count and are each scanned. Spans count code points.
+corpus by distinct owners and repositories. A value that ``example_owners`` carry is an example
+copied around, and so is one that two owners carry into ``example_repositories`` at least. What one
+owner has, in however many repositories, is that owner's: if it looks random it is taken for a live
+credential. Random tokens that no pattern names are candidates too, reported only if one owner has them.
+
+Null and empty texts have no candidates, and texts of any length are scanned whole; a null owner or
+repository counts as one owner or repository of its own. Repeated rows add nothing to either count
+and are each scanned, with the same verdict. An empty table has no rows. Spans count code points.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 RANDOM = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 LEAST_VALUE = 8
-# A value of this many owners at least is an example; more distinct characters look random.
+# A value of this many owners at least is an example, or of two in so many repositories; more
+# distinct characters look random.
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 4
 RANDOM_CHARACTERS = 8
 
 
@@ -66,6 +69,7 @@ def scan(
     owner_col: str = "source",
     repository_cols: tuple[str, ...] = ("source", "lang"),
     example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES,
 ) -> DataFrame:
     """``doc`` and ``secrets``: spans with ``live``, ``owners`` and ``repositories``.
 
@@ -88,12 +92,15 @@ def scan(
     carried = each.groupBy("value").agg(
         F.count_distinct("owner").alias("owners"), F.count_distinct("repository").alias("repositories")
     )
+    copied = (F.col("owners") >= example_owners) | (
+        (F.col("owners") >= 2) & (F.col("repositories") >= example_repositories)
+    )
     judged = (
         each.select("row", "span", "value")
         .join(carried, "value")
         .withColumn(
             "live",
-            (F.col("owners") < example_owners)
+            ~copied
             & (_looks_random(F.col("span.value")) | (F.col("span.kind") != "assign")),
         )
         .where((F.col("span.kind") != "random") | ((F.col("owners") == 1) & F.col("live")))

@@ -75,8 +75,9 @@ def found(text: Column, kind: str, pattern: str, value_group: int = 0) -> Column
     return F.when(text.rlike(pattern), placed(runs)).otherwise(none())
 
 
-def listed(spans: Column, kinds: tuple[str, ...], by_start: bool) -> Column:
-    """``kind:start:end`` joined by commas, by kind as listed and start, or the other way round."""
+def listed(spans: Column, kinds: tuple[str, ...], by_start: bool, field: str | None = None) -> Column:
+    """``kind:start:end`` joined by commas, by kind as listed and start, or the other way round; with
+    ``field``, what each span has there instead, in the same order."""
     places = F.array(*(F.lit(kind) for kind in kinds))
     rank = lambda s: F.array_position(places, s["kind"]).cast("int")
     keyed = F.transform(
@@ -87,12 +88,14 @@ def listed(spans: Column, kinds: tuple[str, ...], by_start: bool) -> Column:
             s["end"].alias("third"),
             s["kind"].alias("kind"),
             s["start"].alias("start"),
+            (s[field] if field else F.lit(None)).cast("string").alias("shown"),
         ),
     )
-    return F.concat_ws(
-        ",",
-        F.transform(F.sort_array(keyed), lambda s: F.concat_ws(":", s["kind"], s["start"], s["third"])),
-    )
+
+    def shown(s: Column) -> Column:
+        return s["shown"] if field else F.concat_ws(":", s["kind"], s["start"], s["third"])
+
+    return F.concat_ws(",", F.transform(F.sort_array(keyed), shown))
 
 
 def count_kind(spans: Column, kind: str) -> Column:

@@ -393,6 +393,67 @@ def test_toxicity(spark, odd):
     assert len(rows) == odd.count() and not any(r["g"]["toxic"] for r in rows)
 
 
+def test_labels_of_equal_texts_are_averaged(spark):
+    rows = [(i, "the same text", i % 3 == 0) for i in range(9)] + [(20 + i, "another one", i % 3 > 0) for i in range(9)]
+    table = spark.createDataFrame([(i, t, int(toxic)) for i, t, toxic in rows], "doc_id long, text string, toxic int")
+    for partitions in (1, 3, 8):
+        docs = table.drop("toxic").repartition(partitions)
+        few = toxicity.labelled_sample(docs, table.select("doc_id", "toxic"), "text", "doc_id", "toxic", 100)
+        assert {tuple(r) for r in few.collect()} == {("the same text", False), ("another one", True)}
+
+
+def test_toxicity_without_documents(spark):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    none = spark.createDataFrame([], "doc_id long, text string")
+    model = toxicity.fit(none, labels)
+    assert none.select(toxicity.graded(F.col("text"), model)).count() == 0
+    assert model.above("any text")[0] < 0.5
+
+
+def test_fit_is_the_likeliest():
+    """No change of a weight or threshold raises the likelihood as written down plainly."""
+    import random
+
+    import numpy as np
+
+    draw = random.Random(9)
+    rows = []
+    for i in range(240):
+        toxic = i % 2 == 0
+        places = sorted(draw.sample(range(6), 3) if not toxic else draw.sample(range(3, 9), 3))
+        rows.append({"toxic": toxic, "marked": draw.random() if toxic else 0.0, "places": places, "values": [draw.random() + 0.5 for _ in places]})
+    names = [f"f{i}" for i in range(9)]
+    model = toxicity._fitted(rows, names, rounds=4000)
+    marked = sorted(r["marked"] for r in rows if r["toxic"])
+    cuts = [float(np.quantile(marked, q)) for q in (1 / 3, 2 / 3)]
+
+    def likelihood(weights, thresholds):
+        total = 0.0
+        for row in rows:
+            grade = 1 + sum(row["marked"] >= c for c in cuts) if row["toxic"] else 0
+            score = sum(weights[p] * v for p, v in zip(row["places"], row["values"], strict=True))
+            above = [1.0, *(1 / (1 + math.exp(t - score)) for t in thresholds), 0.0]
+            total += math.log(max(above[grade] - above[grade + 1], 1e-12)) * 0.5 / 120
+        return total - 0.5e-4 * sum(w * w for w in weights)
+
+    weights, thresholds = [model.weights.get(name, 0.0) for name in names], list(model.thresholds)
+    best = likelihood(weights, thresholds)
+    for step in (0.05, -0.05, 0.5, -0.5):
+        for i in range(len(names)):
+            assert likelihood([w + step * (i == j) for j, w in enumerate(weights)], thresholds) <= best + 1e-6
+        for k in range(3):
+            moved = [t + step * (j == k) for j, t in enumerate(thresholds)]
+            if moved == sorted(moved):
+                assert likelihood(weights, moved) <= best + 1e-6
+
+
+def test_long_texts_train_the_dictionary(spark):
+    long = " ".join(f"word{i % 300}" for i in range(60_000))
+    docs = spark.createDataFrame([(1, long)], "id long, text string")
+    data = token_files.train_dictionary(docs, BYTES, samples=30, size=4096)
+    assert len(data) > 1000 and data == token_files.train_dictionary(docs.union(docs).repartition(3), BYTES, samples=60, size=4096)
+
+
 def test_held_out_toxicity(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
@@ -458,6 +519,16 @@ def test_ownership(spark):
     assert texts[10] == "loose [secret:random] end"
 
 
+def test_repositories_decide_between_two_owners(spark):
+    few, many, own = "few1Zr51LmX0vT77b", "many8Zr51LmX0vT7", "own8Zr51LmX0vT77"
+    rows = [(i, f"token = {few}", f"o{i % 2}", "en") for i in range(8)]
+    rows += [(10 + i, f"token = {many}", f"o{i % 2}", f"l{i // 2}") for i in range(8)]
+    rows += [(20 + i, f"token = {own}", "o1", f"l{i}") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    out = {r["doc"]["doc_id"]: r["secrets"][0] for r in secret_scan.scan(docs).collect()}
+    assert [(out[i]["owners"], out[i]["repositories"], out[i]["live"]) for i in (0, 10, 20)] == [(2, 2, True), (2, 8, False), (1, 8, True)]
+
+
 def test_encode(spark, odd):
     out = bpe.with_ids(odd.select("text", F.col("text").alias("t")), "t", WORDS)
     out = out.withColumn("back", bpe.decoded(F.col("ids"), WORDS))
