@@ -41,12 +41,16 @@ def dim_users(
     intermediate growing with the number of listings. ``counts`` gives the reviews (``rows``)
     per product where they are known already.
     """
-    spend = cut(agg.item_spend(items), "item-spend")
+    spend = agg.item_spend(items)
     seen = known_users(reviews).select("user_id", "asin", "verified_purchase", "timestamp")
     ts, weight = F.col("timestamp"), F.coalesce("copies", F.lit(1))
+    # A summary is no larger than what it sums up, so small items need not be written first.
+    if measured_bytes(item_columns(items, "price")) <= limits.broadcast_bytes:
+        joined = seen.join(F.broadcast(spend), "asin", "left")
+    else:
+        joined = lookup(seen, cut(spend, "item-spend"), "asin", counts, limits=limits)
     return (
-        lookup(seen, spend, "asin", counts, limits=limits)
-        .groupBy("user_id")
+        joined.groupBy("user_id")
         .agg(
             agg.verified_purchase_count(F.col("verified_purchase"), weight).alias(
                 "verified_purchase_count"
@@ -72,10 +76,16 @@ def review_context(
 
     For questions over models that are not saved as a fact. If the items cannot be broadcast,
     reviews are counted per product before they meet them; equal listings of a product are
-    counted in either case, so few rows per product are joined.
+    counted in either case, so few rows per product are joined. Without attributes only products
+    listed more than once matter, and mostly there are none.
     """
     listed = item_columns(items, *attributes)
     listings = listed.groupBy("asin", *attributes).agg(F.count("*").alias("copies"))
+    if not attributes:
+        listings = listings.where(F.col("copies") > 1)
+        if listings.isEmpty():
+            return reviews.groupBy(*by).agg(F.count("*").alias("n"))
+        listings = listed = cut(listings, "listed-again")
     if measured_bytes(listed) <= limits.broadcast_bytes:
         one = F.lit(1).cast("long").alias("reviews")
         joined = reviews.select("asin", *by, one).join(F.broadcast(listings), "asin", "left")
