@@ -12,14 +12,18 @@ from pyspark.sql import functions as F
 
 from reviewmart.llm import bpe, mixing, quality_rules, secret_scan, simhash
 from reviewmart.llm.common import as_doc, documents
-from reviewmart.workspace import cut
+from reviewmart.workspace import cut, run_folder
 
 SHINGLE = 3
 MAX_BITS = 3
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leave out documents that the fixed limits or the learned rules reject."""
+    """Leave out documents that the fixed limits or the learned rules reject.
+
+    Null and empty texts have too few words and go. Repeated rows share a verdict; rules are learned
+    from the rows' labels, each row counting once, and without labels only the limits decide.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     measured = cut(quality_rules.measures(docs), "quality-documents")
     rules = quality_rules.fit(quality_rules.labelled(measured, labels))
@@ -27,7 +31,10 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates."""
+    """Keep one document of each group of near-duplicates: the one with the smallest id.
+
+    Null and empty texts are near-duplicates of each other. Of rows alike, or with one id, one stays.
+    """
     marked = cut(
         docs.select(
             as_doc(docs),
@@ -40,7 +47,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Put live secrets out of the texts; ``n_chars`` follows the text."""
+    """Put live secrets out of the texts; ``n_chars`` follows the text.
+
+    Null and empty texts stay as they are, and so does a row without a live secret, null ``n_chars``
+    included. Repeated rows are changed alike.
+    """
     scanned = secret_scan.scan(docs)
     text = secret_scan.redact(F.col("doc.text"), F.col("secrets"))
     changed = F.exists("secrets", lambda s: s["live"])
@@ -54,12 +65,17 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat and leave out documents so that sources meet their targets."""
+    """Repeat and leave out documents so that sources meet their targets.
+
+    A null source is one of its own. Null and empty texts have no size and are repeated as often as
+    their source is whole, 0 times where that is less than once or the source has no words at all;
+    of rows alike, as many as the target takes.
+    """
     return mixing.repeated(mixing.mix(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document."""
+    """Token ids of each document; none for a null or empty text. Repeated rows stay repeated."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return bpe.with_ids(docs.select("doc_id", "source", "text"), "text", vocabulary)
 
@@ -77,8 +93,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    """All stages over ``documents``; of what they write, only the last one's rows stay."""
+    docs, last = documents(spark, sf_dir), STAGES[-1][0]
+    with run_folder(spark):
+        for name, stage in STAGES:
+            label = "pipeline-" + name.replace(" ", "-")
+            docs = cut(stage(spark, docs, sf_dir), label, lasting=name == last)
     return docs
