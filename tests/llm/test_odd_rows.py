@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, repeats, clashing names and empty tables."""
 
 import math
+from collections import Counter
 
 import brute
 import public_tokenizers
@@ -690,6 +691,19 @@ def test_stages(spark, odd, empty):
         docs = rows
 
 
+def test_pipeline_leaves_its_result_only(spark):
+    import os
+
+    from reviewmart.workspace import shared_folder
+
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = set(os.listdir(folder)) - before
+    assert len(left) == 1 and left.pop().startswith("pipeline-byte-pair-encoding")
+    assert rows.count() > 0
+
+
 def test_pipeline(spark):
     """Whole runs against plain versions of what each stage may keep."""
     sf = "/root/testdata/sf0.001"
@@ -708,6 +722,24 @@ def test_pipeline(spark):
     assert not any("AKIA" in r["text"] for r in kept["secret scan"])
     mixed = kept["source mixing"]
     assert {r["doc_id"] for r in mixed} <= {r["doc_id"] for r in apart}
+    # Targets by a plain water level, met by whole copies within half of the longest text.
+    size = {r["doc_id"]: len(brute.WORD.findall(r["text"])) for r in kept["secret scan"]}
+    source_of = {r["doc_id"]: r["source"] for r in kept["secret scan"]}
+    of_source = Counter()
+    for i, source in source_of.items():
+        of_source[source] += size[i]
+    weight = dict(zip(sorted(of_source), [5, 2, 1] * len(of_source), strict=False))
+    low, high = 0.0, 2.0 * sum(of_source.values())
+    for _ in range(200):
+        level = (low + high) / 2
+        filled = sum(min(2 * of_source[s], weight[s] * level) for s in of_source)
+        low, high = (level, high) if filled < 1.5 * sum(of_source.values()) else (low, level)
+    copies = Counter(r["doc_id"] for r in mixed)
+    assert max(copies.values()) <= 2
+    for source in of_source:
+        taken = sum(n * size[i] for i, n in copies.items() if source_of[i] == source)
+        longest = max(size[i] for i in size if source_of[i] == source)
+        assert abs(taken - min(2 * of_source[source], weight[source] * level)) <= longest / 2 + 1
     encoder, texts = bpe.encoder(WORDS), {r["doc_id"]: r["text"] for r in mixed}
     assert len(kept["byte-pair encoding"]) == len(mixed)
     for row in kept["byte-pair encoding"]:
