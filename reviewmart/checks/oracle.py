@@ -52,6 +52,13 @@ _BASE = {
                try_cast(nullif(regexp_extract(price, '\d+(?:\.\d+)?'), '') AS DOUBLE) AS price,
                average_rating, rating_number
         FROM raw_items""",
+    "run_together": """
+        SELECT md5(coalesce(user_id, '') || coalesce(asin, '')
+                   || strftime("timestamp", '%Y-%m-%d %H:%M:%S+00')) AS review_id, *
+        FROM (SELECT substr(user_id, 2, 9) AS user_id, substr(asin, 2, 9) AS asin,
+                     CAST(date_trunc('year', "timestamp") AS TIMESTAMP) AS "timestamp",
+                     rating, verified_purchase, helpful_votes
+              FROM stg_reviews)""",
     "dim_items": """
         SELECT asin, title, category, store, price, average_rating, rating_number
         FROM stg_items""",
@@ -350,6 +357,26 @@ _STATEMENTS = {
                 verified_purchase DESC NULLS LAST, asin DESC NULLS LAST, user_id DESC NULLS LAST,
                 "timestamp" DESC NULLS LAST) AS place
             FROM stg_reviews) WHERE place = 1""",
+    "dedup_reviews_exact": """
+        SELECT * EXCLUDE (place) FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id, asin, "timestamp" ORDER BY
+                helpful_votes DESC NULLS LAST, rating DESC NULLS LAST,
+                verified_purchase DESC NULLS LAST) AS place
+            FROM run_together) WHERE place = 1""",
+    "key_collisions": """
+        SELECT review_id, count(DISTINCT [user_id, asin]) AS keys, count(*) AS reviews
+        FROM run_together GROUP BY review_id HAVING count(DISTINCT [user_id, asin]) > 1""",
+    "impute_price": """
+        SELECT i.* REPLACE (round(coalesce(i.price, s.middle, c.middle, a.middle) + 1e-9, 6) + 0.0 AS price),
+               CASE WHEN i.price IS NOT NULL THEN 'item' WHEN s.middle IS NOT NULL THEN 'category+store'
+                    WHEN c.middle IS NOT NULL THEN 'category' WHEN a.middle IS NOT NULL THEN 'all'
+                    END AS price_from
+        FROM stg_items i
+        LEFT JOIN (SELECT category, store, median(price) AS middle FROM stg_items GROUP BY ALL) s
+               ON s.category IS NOT DISTINCT FROM i.category AND s.store IS NOT DISTINCT FROM i.store
+        LEFT JOIN (SELECT category, median(price) AS middle FROM stg_items GROUP BY ALL) c
+               ON c.category IS NOT DISTINCT FROM i.category
+        CROSS JOIN (SELECT median(price) AS middle FROM stg_items) a""",
     "quarantine_corrupt": """
         SELECT CASE WHEN title <> 'F' THEN asin END AS asin,
                CASE WHEN title <> 'F' THEN user_id END AS user_id,

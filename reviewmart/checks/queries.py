@@ -752,6 +752,35 @@ def dedup_reviews(m: Models) -> DataFrame:
     return rows.dedup_reviews(m.stg_reviews)
 
 
+@_query
+def dedup_reviews_exact(m: Models) -> DataFrame:
+    return rows.dedup_reviews(_run_together(m), exact=True)
+
+
+@_query
+def key_collisions(m: Models) -> DataFrame:
+    return rows.key_collisions(_run_together(m))
+
+
+def _run_together(m: Models) -> DataFrame:
+    """Reviews by month whose users and products are bare numbers, so that their keys run together."""
+    bare = m.stg_reviews.select(
+        F.substring("user_id", 2, 9).alias("user_id"),
+        F.substring("asin", 2, 9).alias("asin"),
+        F.date_trunc("year", "timestamp").alias("timestamp"),
+        "rating",
+        "verified_purchase",
+        "helpful_votes",
+    )
+    key = keys.review_id(F.col("user_id"), F.col("asin"), F.col("timestamp"))
+    return bare.select(key.alias("review_id"), *bare.columns)
+
+
+@_query
+def impute_price(m: Models) -> DataFrame:
+    return rows.impute_price(m.stg_items)
+
+
 @_query
 def quarantine_corrupt(m: Models) -> DataFrame:
     """Lines of one status are cut short before they are read back and split."""

@@ -7,14 +7,16 @@ from reviewmart.plans.staging import stage_items
 from reviewmart.schemas import RAW_ITEM
 from reviewmart.sources.readers import scan_items_json
 from reviewmart.sources.writers import write_items_parquet
+from reviewmart.workspace import run_folder
 
 
 def main(argv: list[str] | None = None) -> None:
     chosen = options(__doc__, "raw/meta/*.jsonl.gz", "staging/item").parse_args(argv)
     spark = start("stage items", chosen)
     scan = scan_items_json(spark, chosen.input, chosen.skip_broken_files)
-    raw = read_rows(spark, chosen, RAW_ITEM, scan)
-    write_items_parquet(stage_items(raw), chosen.output, chosen.partitions)
+    with run_folder(spark):
+        raw = read_rows(spark, chosen, RAW_ITEM, scan)
+        write_items_parquet(stage_items(raw), chosen.output, chosen.partitions)
 
 
 if __name__ == "__main__":

@@ -1,10 +1,13 @@
 import gzip
 import json
 import os
+from uuid import uuid4
 
 import pytest
 
-from reviewmart.jobs import build_marts, stage_items, stage_reviews
+from reviewmart.jobs import build_marts, load_months, stage_items, stage_reviews
+from reviewmart.plans import incremental
+from reviewmart.sources.writers import read_fact
 
 
 @pytest.fixture
@@ -46,6 +49,40 @@ def test_raw_files_to_star_schema(spark, landed):
     assert read(f"{root}/marts/fct_reviews").count() == 2
 
 
+def test_month_by_month(spark, landed):
+    root, land = landed
+    land("meta", [{"parent_asin": "a", "price": "$5.00", "main_category": "Toys"}])
+    _run(root)
+    whole = spark.read.parquet(f"{root}/marts/dim_users").collect()
+    database = f"months_{uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
+    for first, last in (("1997-07-01", "1997-07-31"), ("1997-05-01", "1997-05-01")):
+        load_months.main(
+            ["--reviews", f"{root}/review", "--items", f"{root}/item", "--output", f"{root}/months"]
+            + ["--database", database, "--first", first, "--last", last]
+        )
+    assert sorted(spark.table(f"{database}.dim_users").collect()) == sorted(whole)
+    fact = incremental.fct_reviews(
+        spark, f"{root}/months", spark.table(f"{database}.dim_items"), spark.table(f"{database}.dim_time")
+    )
+    assert fact.count() == 3 and fact.schema.fieldNames() == read_fact(spark, f"{root}/marts/fct_reviews").columns
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_shared_ids_are_named_and_kept(spark, landed, capsys):
+    root, land = landed
+    land("meta", [{"parent_asin": "a"}])
+    with gzip.open(root / "reviews" / "Shifted.jsonl.gz", "wt") as out:
+        for user, product in (("ab", "c"), ("a", "bc"), ("a", "bc")):
+            out.write(json.dumps({"rating": 1.0, "timestamp": 0, "parent_asin": product, "user_id": user}) + "\n")
+    _run(root, "--dedup")
+    assert spark.read.parquet(f"{root}/marts/stg_reviews").count() == 3
+    assert "keys in" not in capsys.readouterr().out
+    _run(root, "--dedup", "--exact-keys")
+    assert spark.read.parquet(f"{root}/marts/stg_reviews").count() == 4
+    assert "2 keys in 3 reviews" in capsys.readouterr().out
+
+
 def test_failing_key_checks_end_the_job(spark, landed):
     root, land = landed
     land("meta", [{"parent_asin": "a"}, {"parent_asin": "a"}])
