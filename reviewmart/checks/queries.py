@@ -20,7 +20,7 @@ from reviewmart.checks import tables
 from reviewmart.functions import keys, numbers, times
 from reviewmart.operators import aggregates as agg
 from reviewmart.operators import calendar as cal
-from reviewmart.operators import joins, quality, rows
+from reviewmart.operators import joins, profiles, quality, rows
 from reviewmart.plans import dashboard, incremental, marts, rollup, staging
 from reviewmart.session import apply_conf
 from reviewmart.sources import archives, readers, writers
@@ -241,6 +241,13 @@ def cluster_layout(m: Models) -> DataFrame:
     return writers.cluster_layout(joined.withColumn("review_month", month))
 
 
+@_query
+def z_order_layout(m: Models) -> DataFrame:
+    joined = joins.fct_x_items(m.dated(), m.item_table)
+    month = times.review_month(F.col("timestamp"))
+    return writers.z_order_layout(cut(joined.withColumn("review_month", month), "joined"))
+
+
 @_query
 def repartition(m: Models) -> DataFrame:
     return writers.repartition(m.raw_reviews, 16)
@@ -747,6 +754,25 @@ def profile(m: Models) -> DataFrame:
     return quality.profile(m.staged_reviews)
 
 
+@_query
+def merged_profile(m: Models) -> DataFrame:
+    """A table that grows by a second delivery, profiled file by file, against exact figures."""
+    table, state = m.path("growing"), m.path("growing-profile")
+    staged = m.staged_reviews
+    late = F.col("year") >= 1998
+    writers.repartition(staged.where(~late), 3).write.parquet(table)
+    profiles.update_profile(m.spark, table, state)
+    writers.repartition(staged.where(late | late.isNull()), 2).write.mode("append").parquet(table)
+    profiles.update_profile(m.spark, table, state)
+    whole = m.spark.read.parquet(table)
+    exact = whole.agg(*(F.count_distinct(name).alias(name) for name in whole.columns)).select(
+        F.inline(F.array(*(F.struct(F.lit(n).alias("column_name"), F.col(n).alias("exact")) for n in whole.columns)))
+    )
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.05 * F.col("exact")
+    merged = profiles.merged_profile(m.spark, table, state).join(exact, "column_name")
+    return merged.select("column_name", "data_type", "row_count", "filled", near.alias("near"))
+
+
 @_query
 def dedup_reviews(m: Models) -> DataFrame:
     return rows.dedup_reviews(m.stg_reviews)
