@@ -66,16 +66,17 @@ def _refine(rows: DataFrame, probes: list[_Probe]) -> dict[int, _Found]:
     spark, found = rows.sparkSession, {}
     while probes:
         bits = min(_BITS, probes[0].bits + (_MORE_BITS if probes[0].bits else _FIRST_BITS))
-        cells = spark.createDataFrame(
-            sorted({(p.group, p.prefix) for p in probes}), "cell_group long, cell_prefix long"
-        )
-        of_row = F.shiftright("value", _BITS - probes[0].bits) if probes[0].bits else F.lit(0)
+        wanted = sorted({(p.group, p.prefix) for p in probes})
+        of_row = F.shiftright("value", _BITS - probes[0].bits) if probes[0].bits else F.lit(0).cast("long")
+        if len(wanted) == 1:
+            group, prefix = wanted[0]
+            held = rows.where((F.col("group") == group) & (of_row == prefix)).withColumn("cell_prefix", F.lit(prefix))
+        else:
+            cells = spark.createDataFrame(wanted, "cell_group long, cell_prefix long")
+            at = (F.col("group") == F.col("cell_group")) & (of_row == F.col("cell_prefix"))
+            held = rows.join(F.broadcast(cells), at)
         counts = (
-            rows.join(
-                F.broadcast(cells),
-                (F.col("group") == F.col("cell_group")) & (of_row == F.col("cell_prefix")),
-            )
-            .groupBy("group", "cell_prefix", F.shiftright("value", _BITS - bits).alias("cell"))
+            held.groupBy("group", "cell_prefix", F.shiftright("value", _BITS - bits).alias("cell"))
             .agg(F.sum("size").alias("bytes"), F.min("value").alias("low"), F.max("value").alias("high"))
             .collect()
         )
