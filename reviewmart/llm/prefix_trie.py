@@ -52,12 +52,17 @@ def ordered(
             rows[f"`{turn_col}`"].alias("turn"),
             F.unhex(F.md5(F.concat(F.length(role).cast("string"), F.lit(":"), role, text))).alias("key"),
             n_words(text).alias("words"),
+            # Lets ranges divide rows that are alike.
+            F.xxhash64(F.monotonically_increasing_id()).alias("salt"),
         ),
         "turns",
     )
-    order = (F.col("conv"), F.col("turn").asc_nulls_first(), F.col("key"))
-    placed = cut(numbered(compact, *order, name="at").drop("turn"), "turns-in-order")
-    begins = placed.groupBy("conv").agg(F.min("at").alias("begin"), F.count("*").alias("turns"))
+    order = (F.col("conv"), F.col("turn").asc_nulls_first(), F.col("key"), F.col("salt"))
+    placed = cut(numbered(compact, *order, name="at").drop("turn", "salt"), "turns-in-order")
+    # A table of its own, so that a join can divide the turns of a long conversation.
+    begins = cut(
+        placed.groupBy("conv").agg(F.min("at").alias("begin"), F.count("*").alias("turns")), "conversation-begins"
+    )
     return placed.join(begins, "conv").select("conv", (F.col("at") - F.col("begin")).alias("place"), "key", "words", "turns")
 
 
