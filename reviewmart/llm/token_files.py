@@ -25,11 +25,12 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmart.llm.bpe import Kept, byte_characters
 from reviewmart.llm.common import drawn, let
+from reviewmart.workspace import cut
 
 # Bytes of chunks kept per worker process, in each of two tables, with and without a blank before.
 # They hold some 650,000 usual words.
@@ -144,27 +145,32 @@ def train_dictionary(
     twice as many as wanted at most, and a text's copies count as one. Where there is too little to
     train on, the serialized ids themselves serve; with no texts at all there is no dictionary.
     """
-    pieces = F.ceil(F.length("text") / piece)
-    total = docs.agg(F.sum(pieces)).first()[0] or 0
+    # Bytes are known without reading a text through; pieces beyond the last character are empty.
+    pieces = F.ceil(F.octet_length("text") / piece)
     places = F.sequence(F.lit(0).cast("long"), pieces - 1)
-    share = samples / max(total, 1)
-    # A text is hashed once, and which of its pieces are drawn is known before any is cut out.
+    # One pass draws about as much as ``samples`` whole documents hold, and counts all pieces; a
+    # text is hashed once, and which of its pieces are drawn is known before any is cut out.
+    generous = samples / max(docs.count(), 1)
     mine = let(
         F.xxhash64("text"),
         lambda text: F.filter(
             F.transform(
                 F.when(pieces > 0, places), lambda place: F.struct(place.alias("place"), F.xxhash64(text, place).alias("hash"))
             ),
-            lambda one: drawn(one["hash"], share),
+            lambda one: drawn(one["hash"], generous),
         ),
     )
-    part = F.substring(F.col("text"), F.col("one.place") * piece + 1, F.lit(piece))
-    rows = (
-        docs.select("text", F.explode(mine).alias("one"))
+    part, seen = F.substring(F.col("text"), F.col("one.place") * piece + 1, F.lit(piece)), Observation()
+    first = cut(
+        docs.observe(seen, F.sum(pieces).alias("pieces"))
+        .select("text", F.explode(mine).alias("one"))
         .select("one.hash", part.alias("part"))
+        .where("part <> ''")
         .groupBy("hash")
-        .agg(F.first("part").alias("part"))
+        .agg(F.first("part").alias("part")),
+        "dictionary-pieces",
     )
+    rows = first.where(drawn(F.col("hash"), samples / max(seen.get["pieces"] or 0, 1)))
     encode = serializer(vocabulary).serialize
     arrays = [encode(row["part"]) for row in rows.orderBy("hash").limit(2 * samples).collect()]
     try:
