@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmart.operators.joins import USUAL, measured_bytes
 from reviewmart.workspace import cut
 
 UNKNOWN = "und"
@@ -135,8 +136,11 @@ def sample(docs: DataFrame, text_col: str, lang_col: str, learn: Column | None,
     rows = docs.where(usable).select(text.alias("text"), lang.cast("string").alias("lang"))
     sizes = rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("texts"))
     each = most / F.count("lang").over(Window.partitionBy())
-    shares = F.broadcast(cut(sizes.select("lang", (each / F.greatest("texts", F.lit(1))).alias("share")), "language-shares"))
-    # One row per language; which rows are drawn depends on the text and this share alone.
+    shares = cut(sizes.select("lang", (each / F.greatest("texts", F.lit(1))).alias("share")), "language-shares")
+    # A row per language, whatever counts as one; which rows are drawn depends on the text and this
+    # share alone.
+    if measured_bytes(shares) <= USUAL.broadcast_bytes:
+        shares = F.broadcast(shares)
     hashed = F.pmod(F.xxhash64("text", F.lit("language")), F.lit(1 << 30))
     chosen = rows.join(shares, "lang").where(hashed < F.col("share") * (1 << 30))
     counted = chosen.groupBy("text", "lang").agg(F.count("*").alias("rows"))

@@ -43,6 +43,8 @@ _LEVELS = (*range(1, 17), *(16 * 9**n // 8**n for n in range(1, 94)))
 _FIRST = 8
 # Bits set for an entry, and bits of a signature for an entry of the block's fullest document.
 _HASHES, _BITS = 5, 12
+# Fixed value: what a term is made of.
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 # Terms whose hashes a task keeps, and the longest of them in bytes.
 _KEPT, _LONGEST_KEPT = 200_000, 64
 # Documents of a block, and bytes of its slices.
@@ -352,8 +354,12 @@ def search(
         docs[f"`{text_col}`"].alias("text"),
         F.xxhash64(docs[f"`{text_col}`"]).alias("check"),
     )
+    # Queries without a term find nothing.
     asked = cut(
-        items.select(items[f"`{item_col}`"].cast("long").alias("item_id"), items[f"`{item_text_col}`"].alias("text")), "queries"
+        items.select(
+            items[f"`{item_col}`"].cast("long").alias("item_id"), items[f"`{item_text_col}`"].alias("text")
+        ).where(F.col("text").rlike(_TERM)),
+        "queries",
     )
     size = asked.agg(F.sum(F.length("text")).alias("chars")).first()["chars"] or 0
     n_parts = 1 + size // QUERY_CHARS
