@@ -204,6 +204,7 @@ _STATEMENTS = {
     "scan_reviews_json": "SELECT * FROM raw_reviews",
     "scan_items_json": "SELECT * FROM raw_items",
     "write_reviews_parquet": "SELECT * FROM staged_reviews",
+    "staged_by_ledger": "SELECT * FROM staged_reviews",
     "write_items_parquet": "SELECT * FROM raw_items",
     "scan_parquet": "SELECT * FROM raw_items",
     "external_table": "SELECT * FROM staged_reviews",

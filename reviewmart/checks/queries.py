@@ -23,7 +23,7 @@ from reviewmart.operators import calendar as cal
 from reviewmart.operators import joins, profiles, quality, rows
 from reviewmart.plans import dashboard, incremental, marts, rollup, staging
 from reviewmart.session import apply_conf
-from reviewmart.sources import archives, readers, writers
+from reviewmart.sources import archives, ledger, readers, writers
 from reviewmart.workspace import cut, fresh_path
 
 # Sums of doubles differ in their last bits by the order of addition. A value halfway between two
@@ -168,6 +168,20 @@ def write_reviews_parquet(m: Models) -> DataFrame:
     return readers.scan_parquet(m.spark, path)
 
 
+@_query
+def staged_by_ledger(m: Models) -> DataFrame:
+    """Archives that arrive in two deliveries, the second of which is staged alone."""
+    raw, out, known = m.path("raw-reviews"), m.path("review"), m.path("ledger")
+    scan = lambda paths: readers.scan_reviews_json(m.spark, paths)
+    stage = lambda rows_: staging.stage_reviews(rows_, ledger.ARCHIVE)
+    early = F.col("title") == "F"
+    for delivery in (early, ~early):
+        some = m.raw_reviews.where(delivery).repartition(3)
+        some.write.mode("append").option("compression", "gzip").json(raw)
+        ledger.stage_pending(m.spark, f"{raw}/*.json.gz", out, known, scan, stage)
+    return readers.scan_parquet(m.spark, out).drop(ledger.ARCHIVE)
+
+
 @_query
 def write_items_parquet(m: Models) -> DataFrame:
     path = m.path("item")

@@ -27,6 +27,11 @@ def options(description: str, example: str, output: str) -> argparse.ArgumentPar
         action="store_true",
         help="keep what can be read of damaged archives, and name them",
     )
+    args.add_argument(
+        "--ledger",
+        help="folder of the list of staged archives: stage only what is new or changed, each archive "
+        "into a partition of its own (without --quarantine and --partitions)",
+    )
     args.add_argument(
         "--quarantine",
         help="folder for lines that are no JSON objects, which are then left out, and for those "
@@ -35,6 +40,13 @@ def options(description: str, example: str, output: str) -> argparse.ArgumentPar
     return args
 
 
+def parsed(args: argparse.ArgumentParser, argv: list[str] | None) -> argparse.Namespace:
+    chosen = args.parse_args(argv)
+    if chosen.ledger and (chosen.quarantine or chosen.partitions):
+        args.error("--ledger goes with neither --quarantine nor --partitions")
+    return chosen
+
+
 def start(name: str, chosen: argparse.Namespace) -> SparkSession:
     """The session of a staging job. Its only shuffle is the one before its files."""
     spark = apply_conf(SparkSession.builder.appName(name).getOrCreate())

@@ -12,17 +12,17 @@ from reviewmart.operators.rows import resolve_ts_column, select_columns, valid_r
 from reviewmart.schemas import STAGED_ITEM, STAGED_REVIEW
 
 
-def stage_reviews(raw: DataFrame) -> DataFrame:
-    """Type the review time and split it into year, month and day."""
+def stage_reviews(raw: DataFrame, *more: str) -> DataFrame:
+    """Type the review time and split it into year, month and day; ``more`` names columns to keep."""
     timed = raw.withColumn("timestamp_ms", resolve_ts_column(raw)).withColumn(
         "timestamp", ms_to_timestamp(F.col("timestamp_ms"))
     )
     split = timed.select("*", *ts_parts(F.col("timestamp")))
-    return select_columns(split, *STAGED_REVIEW.fieldNames())
+    return select_columns(split, *STAGED_REVIEW.fieldNames(), *more)
 
 
-def stage_items(raw: DataFrame) -> DataFrame:
-    return select_columns(raw, *STAGED_ITEM.fieldNames())
+def stage_items(raw: DataFrame, *more: str) -> DataFrame:
+    return select_columns(raw, *STAGED_ITEM.fieldNames(), *more)
 
 
 def stg_reviews(staged: DataFrame) -> DataFrame:

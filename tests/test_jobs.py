@@ -4,9 +4,13 @@ import os
 from uuid import uuid4
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from reviewmart.jobs import build_marts, load_months, stage_items, stage_reviews
-from reviewmart.plans import incremental
+from reviewmart.plans import incremental, staging
+from reviewmart.sources import ledger
+from reviewmart.sources.readers import scan_reviews_json
 from reviewmart.sources.writers import read_fact
 
 
@@ -49,6 +53,48 @@ def test_raw_files_to_star_schema(spark, landed):
     assert read(f"{root}/marts/fct_reviews").count() == 2
 
 
+def test_staging_with_a_ledger(spark, landed, capsys):
+    root, _ = landed
+    out = f"{root}/review"
+
+    def run():
+        stage_reviews.main(["--input", f"{root}/reviews/*.jsonl.gz", "--output", out, "--ledger", f"{root}/ledger"])
+        spark.catalog.refreshByPath(out)
+        return capsys.readouterr().out.strip().splitlines()[-1], spark.read.parquet(out).count()
+
+    def archive(name, n):
+        with gzip.open(root / "reviews" / name, "wt") as file:
+            file.writelines(json.dumps({"rating": 1.0, "timestamp": i}) + "\n" for i in range(n))
+
+    assert run() == ("archives staged: 1", 4)
+    assert run() == ("archives staged: 0", 4)
+    archive("New one.jsonl.gz", 7)
+    assert run() == ("archives staged: 1", 11)
+    # A changed archive replaces its own rows; an empty one is not read again.
+    archive("New one.jsonl.gz", 9)
+    archive("Empty.jsonl.gz", 0)
+    assert run() == ("archives staged: 2", 13)
+    assert run() == ("archives staged: 0", 13)
+    assert "archive" in spark.read.parquet(out).columns
+    with pytest.raises(SystemExit):
+        stage_reviews.main(["--input", "x", "--ledger", "y", "--partitions", "2"])
+
+
+def test_a_broken_run_is_staged_again(spark, landed, monkeypatch):
+    root, _ = landed
+    scan = lambda paths: scan_reviews_json(spark, paths)
+    stage = lambda raw: staging.stage_reviews(raw, ledger.ARCHIVE)
+    args = (spark, f"{root}/reviews/*.jsonl.gz", f"{root}/review", f"{root}/ledger", scan)
+
+    def broken(raw):
+        return stage(raw).where(F.raise_error(F.lit("lost")).isNull())
+
+    with pytest.raises(PySparkException):
+        ledger.stage_pending(*args, broken)
+    assert len(ledger.stage_pending(*args, stage)) == 1
+    assert spark.read.parquet(f"{root}/review").count() == 4
+
+
 def test_month_by_month(spark, landed):
     root, land = landed
     land("meta", [{"parent_asin": "a", "price": "$5.00", "main_category": "Toys"}])
