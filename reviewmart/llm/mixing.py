@@ -21,8 +21,9 @@ from reviewmart.llm.numbering import numbered
 from reviewmart.workspace import cut
 
 _DRAW_BITS = 60
-# Parts of a source's hash range that are summed first; only the part with the cut is sorted.
-_PART_BITS = 16
+# Bits of a source's hash range whose parts are summed first, then those of the part with the cut;
+# only what is left of it is sorted.
+_PART_BITS = (12, 24)
 
 
 def draw_of(doc: Column, key_cols: tuple[str, ...], seed: int) -> Column:
@@ -61,41 +62,38 @@ def water_filled(sources: DataFrame, share: float, max_epochs: float) -> DataFra
     return sources.withColumn("target", F.least(cap, weight * level))
 
 
+def _narrowed(sizes: DataFrame, wanted: DataFrame, part_bits: int) -> DataFrame:
+    """Per source, the part of its draws in which the running size first reaches what is ``left``,
+    and what is left in that part."""
+    parts = sizes.groupBy(
+        F.col("source").alias("part_source"), F.shiftright("draw", _DRAW_BITS - part_bits).alias("part")
+    ).agg(F.sum("size").alias("part_size"))
+    running = Window.partitionBy("part_source").orderBy("part")
+    through = parts.withColumn("through", F.sum("part_size").over(running))
+    before = F.col("through") - F.col("part_size")
+    return (
+        wanted.select("cut_source", "left")
+        .join(through, F.col("cut_source").eqNullSafe(F.col("part_source")))
+        .where((F.col("through") >= F.col("left")) & (before < F.col("left")))
+        .select("cut_source", "part", (F.col("left") - before).alias("left"))
+    )
+
+
 def _cuts(sizes: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
     """What the repetition in part takes: per source all draws up to ``last_draw``, and of some
     further draws (``picked``) a number of ``rows``."""
     missing = F.col("target") - F.col("whole") * F.col("source_size")
-    parts = sizes.groupBy(
-        "source", F.shiftright("draw", _DRAW_BITS - _PART_BITS).alias("part")
-    ).agg(F.sum("size").alias("part_size"))
-    by_source = Window.partitionBy("source")
-    through = parts.withColumn(
-        "through", F.sum("part_size").over(by_source.orderBy("part"))
-    ).withColumnRenamed("source", "part_source")
-    wanted = sources.withColumn("missing", missing).where(F.col("missing") > 0)
-    # The part in which the running size first reaches what is missing.
-    split = (
-        wanted.join(through, F.col("source").eqNullSafe(F.col("part_source")))
-        .where(
-            (F.col("through") >= F.col("missing"))
-            & (F.col("through") - F.col("part_size") < F.col("missing"))
-        )
-        .select(
-            F.col("source").alias("cut_source"),
-            "part",
-            (F.col("missing") - F.col("through") + F.col("part_size")).alias("left"),
-            "missing",
-        )
-    )
-    in_part = (
-        sizes.join(
+    split = sources.where(missing > 0).select(F.col("source").alias("cut_source"), missing.alias("left"))
+    within, part_bits = sizes, 0
+    for part_bits in _PART_BITS:
+        split = cut(_narrowed(within, split, part_bits), "mix-split")
+        within = sizes.join(
             split,
             F.col("source").eqNullSafe(F.col("cut_source"))
-            & (F.shiftright("draw", _DRAW_BITS - _PART_BITS) == F.col("part")),
-        )
-        .withColumn(
-            "through", F.sum("size").over(Window.partitionBy("cut_source", "part").orderBy("draw"))
+            & (F.shiftright("draw", _DRAW_BITS - part_bits) == F.col("part")),
         )
+    in_part = within.withColumn(
+        "through", F.sum("size").over(Window.partitionBy("cut_source", "part").orderBy("draw"))
     )
     taken = (
         in_part.where(F.col("through") <= F.col("left"))
@@ -103,7 +101,7 @@ def _cuts(sizes: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
         .agg(F.max("draw").alias("taken_draw"), F.max("through").alias("got"))
         .withColumnRenamed("cut_source", "taken_source")
     )
-    before_part = F.shiftleft(F.col("part"), _DRAW_BITS - _PART_BITS) - 1
+    before_part = F.shiftleft(F.col("part"), _DRAW_BITS - part_bits) - 1
     cuts = cut(
         split.join(taken, F.col("cut_source").eqNullSafe(F.col("taken_source")), "left").select(
             "cut_source",
