@@ -774,9 +774,9 @@ def merged_profile(m: Models) -> DataFrame:
     table, state = m.path("growing"), m.path("growing-profile")
     staged = m.staged_reviews
     late = F.col("year") >= 1998
-    writers.repartition(staged.where(~late), 3).write.parquet(table)
+    writers.repartition(staged.where(~late)).write.parquet(table)
     profiles.update_profile(m.spark, table, state)
-    writers.repartition(staged.where(late | late.isNull()), 2).write.mode("append").parquet(table)
+    writers.repartition(staged.where(late | late.isNull())).write.mode("append").parquet(table)
     profiles.update_profile(m.spark, table, state)
     whole = m.spark.read.parquet(table)
     exact = whole.agg(*(F.count_distinct(name).alias(name) for name in whole.columns)).select(
