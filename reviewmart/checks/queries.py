@@ -176,7 +176,7 @@ def staged_by_ledger(m: Models) -> DataFrame:
     stage = lambda rows_: staging.stage_reviews(rows_, ledger.ARCHIVE)
     early = F.col("title") == "F"
     for delivery in (early, ~early):
-        some = m.raw_reviews.where(delivery).repartition(3)
+        some = writers.repartition(m.raw_reviews.where(delivery))
         some.write.mode("append").option("compression", "gzip").json(raw)
         ledger.stage_pending(m.spark, f"{raw}/*.json.gz", out, known, scan, stage)
     return readers.scan_parquet(m.spark, out).drop(ledger.ARCHIVE)

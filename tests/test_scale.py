@@ -36,6 +36,12 @@ def _files(monkeypatch, holder, name):
     return seen
 
 
+def test_deliveries_are_divided_by_their_size(spark, many, monkeypatch):
+    seen = _files(monkeypatch, registered.readers, "scan_reviews_json")
+    assert registered.queries()["staged_by_ledger"](spark, "").count() == 20_000
+    assert len(seen) == 2 and all(len(paths) > 4 for paths in seen)
+
+
 def test_a_growing_table_is_divided_by_its_size(spark, many, monkeypatch):
     seen = _files(monkeypatch, registered.profiles, "merged_profile")
     got = registered.queries()["merged_profile"](spark, "").collect()
