@@ -30,6 +30,9 @@ from reviewmart.workspace import cut, fresh_path
 # roundings is shifted off the middle by more than that, so that both engines round it alike.
 _SHIFT = 1e-9
 
+# Columns of a staged review that no model has.
+_UNREAD = ("timestamp_ms", "title", "text", "asin")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Limits under which every right side is shuffled and almost every key is spread, as large ones are.
@@ -63,6 +66,13 @@ class Models:
     def stg_reviews(self) -> DataFrame:
         return staging.stg_reviews(self.staged_reviews)
 
+    @cached_property
+    def review_table(self) -> DataFrame:
+        """``stg_reviews`` over a table, for queries that read the reviews more than once."""
+        names = [name for name in self.staged_reviews.columns if name not in _UNREAD]
+        valid = rows.valid_reviews(self.staged_reviews).select(names)
+        return staging.stg_reviews(cut(valid, "staged-reviews", compression="zstd"))
+
     @cached_property
     def stg_items(self) -> DataFrame:
         return staging.stg_items(self.staged_items)
@@ -83,8 +93,8 @@ class Models:
     def dim_users(self, limits: joins.JoinLimits = joins.USUAL) -> DataFrame:
         return marts.dim_users(self.stg_reviews, self.dim_items, limits)
 
-    def dated(self) -> DataFrame:
-        return joins.fct_x_time(self.stg_reviews, self.dim_time)
+    def dated(self, reviews: DataFrame | None = None) -> DataFrame:
+        return joins.fct_x_time(self.stg_reviews if reviews is None else reviews, self.dim_time)
 
     def context(
         self,
@@ -99,7 +109,7 @@ class Models:
         return marts.review_context(reviews, self.dim_items, attributes, by, limits)
 
     def fct_reviews(self, limits: joins.JoinLimits = joins.USUAL) -> DataFrame:
-        return marts.fct_reviews(self.stg_reviews, self.dim_items, self.dim_time, limits)
+        return marts.fct_reviews(self.review_table, self.dim_items, self.dim_time, limits)
 
     def loaded_fact(self) -> DataFrame:
         """The fact as a dashboard finds it: loaded, and read from its files."""
@@ -257,9 +267,10 @@ def cluster_layout(m: Models) -> DataFrame:
 
 @_query
 def z_order_layout(m: Models) -> DataFrame:
-    joined = joins.fct_x_items(m.dated(), m.item_table)
+    joined = joins.fct_x_items(m.dated(m.review_table), m.item_table)
     month = times.review_month(F.col("timestamp"))
-    return writers.z_order_layout(cut(joined.withColumn("review_month", month), "joined"))
+    table = cut(joined.withColumn("review_month", month), "joined", compression="zstd")
+    return writers.z_order_layout(table)
 
 
 @_query

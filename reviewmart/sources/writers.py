@@ -6,9 +6,9 @@ from collections.abc import Callable
 from time import time_ns
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from reviewmart.schemas import FCT_REVIEWS
 from reviewmart.workspace import remove_folders
@@ -131,8 +131,9 @@ def z_order_layout(fact: DataFrame, partitions: int | None = None, bits: int = 6
     in both. ``cluster_layout`` serves lookups of users better and those of products hardly at all.
     Ranking takes a pass over one column each; no value changes.
     """
-    # Columns of their own, so that a row's ranks are found once and not for each bit.
-    ranked = fact.withColumns({f"_rank_{name}": _rank(fact, name, 1 << bits) for name in FACT_CLUSTER})
+    ranked = fact
+    for name in FACT_CLUSTER:
+        ranked = _ranked(ranked, name, f"_rank_{name}", 1 << bits)
     order = F.lit(0)
     for bit in range(bits):
         for place, name in enumerate(FACT_CLUSTER):
@@ -149,22 +150,23 @@ def z_order_layout(fact: DataFrame, partitions: int | None = None, bits: int = 6
     return ranged.sortWithinPartitions(*sort).drop("_z")
 
 
-def _rank(fact: DataFrame, name: str, ranges: int) -> Column:
-    """Which of so many ranges of about equally many rows a value falls into; missing ones into the first."""
+def _ranked(fact: DataFrame, name: str, rank: str, ranges: int) -> DataFrame:
+    """Add which of ``ranges``, a power of two, of about equally many rows a value falls into.
+
+    Missing ones fall into the first.
+    """
     dealt = fact.select(name).where(F.col(name).isNotNull()).repartitionByRange(ranges, name)
     # One row per range.
     least = dealt.groupBy(F.spark_partition_id().alias("range")).agg(F.min(name).alias("least"))
-    bounds = sorted(row["least"] for row in least.collect())[1:]
-
-    def among(low: int, high: int) -> Column:
-        """Halving: a few comparisons find one of many ranges; a missing value is below every bound."""
-        if low == high:
-            return F.lit(low)
-        middle = (low + high + 1) // 2
-        upper = F.col(name) >= bounds[middle - 1]
-        return F.when(upper, among(middle, high)).otherwise(among(low, middle - 1))
-
-    return among(0, len(bounds))
+    bounds = F.lit(sorted(row["least"] for row in least.collect())[1:]).cast(ArrayType(fact.schema[name].dataType))
+    # Halving, a column for each step: one expression for all would grow with the number of ranges,
+    # beyond what is compiled. Past the last bound there is null, and a missing value is below all.
+    found, step = fact.withColumn(rank, F.lit(0)), ranges >> 1
+    while step:
+        upper = F.col(name) >= F.get(bounds, F.col(rank) + (step - 1))
+        found = found.withColumn(rank, F.when(upper, F.col(rank) + step).otherwise(F.col(rank)))
+        step >>= 1
+    return found
 
 
 def load_fact(

@@ -4,6 +4,7 @@ import pytest
 
 from reviewmart.checks import queries as registered
 from reviewmart.checks import tables
+from reviewmart.sources import writers
 
 _REVIEWS = (
     "timestamp long, rating double, helpful_votes long, title string, text string, asin string, "
@@ -47,3 +48,22 @@ def test_a_growing_table_is_divided_by_its_size(spark, many, monkeypatch):
     got = registered.queries()["merged_profile"](spark, "").collect()
     assert {row["row_count"] for row in got} == {20_000}
     assert len(spark.read.parquet(seen[0]).inputFiles()) > 5
+
+
+def test_ranks_of_many_ranges_stay_compiled(spark):
+    """A halving written as one expression per range was beyond what is compiled."""
+    rows = [(f"u{i:04}" if i % 50 else None, f"p{i % 40:02}", i) for i in range(2000)]
+    fact = spark.createDataFrame(rows, "user_id string, asin string, n long").selectExpr(
+        "user_id", "asin", "timestamp_seconds(n) AS timestamp", "date'2020-01-01' AS review_month"
+    )
+    laid = writers.z_order_layout(fact)
+    assert str(laid._jdf.queryExecution().optimizedPlan()).count("CASE WHEN") <= 2 * 6
+    ranked = writers._ranked(fact, "user_id", "_rank", 64)
+    ranges = ranked.groupBy("_rank").count().orderBy("_rank").collect()
+    assert [row["_rank"] for row in ranges] == list(range(64))
+    bounds = ranked.where("user_id IS NOT NULL").groupBy("_rank").agg({"user_id": "min"}).orderBy("_rank")
+    least = [row[1] for row in bounds.collect()]
+    assert least == sorted(least)
+    assert ranked.where("user_id IS NULL AND _rank <> 0").isEmpty()
+    got, want = (sorted(map(str, df.collect())) for df in (laid, fact))
+    assert got == want
