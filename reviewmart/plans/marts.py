@@ -90,7 +90,9 @@ def review_context(
         one = F.lit(1).cast("long").alias("reviews")
         joined = reviews.select("asin", *by, one).join(F.broadcast(listings), "asin", "left")
     else:
-        counted = reviews.groupBy("asin", *by).agg(F.count("*").alias("reviews"))
+        counts = reviews.groupBy("asin", *by).agg(F.count("*").alias("reviews"))
+        # Read twice: its rows per product are counted, then joined.
+        counted = cut(counts, "reviews-per-item", compression="zstd")
         grouped = [name for name in counted.columns if name != "reviews"]
         joined = lookup(counted, cut(listings, "listings"), "asin", None, grouped, limits)
     grain = [name for name in joined.columns if name not in ("asin", "reviews", "copies")]
@@ -131,14 +133,14 @@ def fct_reviews(
     if per_item is None:
         per_item = item_context(reviews, items, limits)
     counts = per_item.groupBy("asin").agg(F.max("rows").alias("rows"))
-    dated = fct_x_time(reviews, time)
-    joined = lookup(dated, per_item.drop("rows"), "asin", counts, limits=limits)
+    # The calendar last, so that its columns are not shuffled with the reviews.
+    known = lookup(reviews, per_item.drop("rows"), "asin", counts, limits=limits)
+    joined = fct_x_time(known, time)
     # Of reviews stored by month, so that a filter on it reaches the stored ones.
     stored = "review_month" in reviews.columns
     month = F.col("review_month") if stored else review_month(F.col("timestamp"))
     return joined.select(
         "review_id",
-        review_id_hex(F.col("review_id")).alias("review_id_power_bi"),
         "user_id",
         "asin",
         "rating",
@@ -150,7 +152,15 @@ def fct_reviews(
         "category",
         "store",
         "avg_rating",
-        rating_diff(F.col("rating"), F.col("avg_rating")).alias("rating_diff_from_avg"),
         "review_date",
         "day_name",
+        *(column.alias(name) for name, column in fct_derived().items()),
     ).select(FCT_REVIEWS.fieldNames())
+
+
+def fct_derived() -> dict[str, Column]:
+    """The fact's columns that follow from others of the same row; a load need not shuffle them."""
+    return {
+        "review_id_power_bi": review_id_hex(F.col("review_id")),
+        "rating_diff_from_avg": rating_diff(F.col("rating"), F.col("avg_rating")),
+    }
