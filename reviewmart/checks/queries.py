@@ -114,7 +114,7 @@ class Models:
     def loaded_fact(self) -> DataFrame:
         """The fact as a dashboard finds it: loaded, and read from its files."""
         path = self.path("fct_reviews")
-        writers.load_fact(self.fct_reviews(), path)
+        writers.load_fact(self.fct_reviews(), path, derived=marts.fct_derived())
         return writers.read_fact(self.spark, path)
 
     def path(self, label: str) -> str:
@@ -250,11 +250,12 @@ def verify_archives(m: Models) -> DataFrame:
 @_query
 def fct_insert_overwrite(m: Models) -> DataFrame:
     """Load everything, then reload the later months with verified reviews only."""
-    path = m.path("fct_reviews")
-    writers.load_fact(m.fct_reviews(), path)
+    path, derived = m.path("fct_reviews"), marts.fct_derived()
+    writers.load_fact(m.fct_reviews(), path, derived=derived)
     late = F.col("review_month") >= F.lit("1998-01-01").cast("timestamp")
     loaded = writers.read_fact(m.spark, path).where(late)
-    writers.load_fact(cut(rows.verified_slicer(loaded, True), "verified"), path)
+    verified = cut(rows.verified_slicer(loaded, True), "verified", compression="zstd")
+    writers.load_fact(verified, path, derived=derived)
     return writers.read_fact(m.spark, path)
 
 

@@ -75,6 +75,6 @@ def build(
             schemas.FCT_REVIEWS,
         )
         fact_path = f"{out}/fct_reviews"
-        load_fact(fact, fact_path)
+        load_fact(fact, fact_path, derived=marts.fct_derived())
     models["fct_reviews"] = read_fact(spark, fact_path)
     return models

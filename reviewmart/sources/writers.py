@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from time import time_ns
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -174,11 +174,19 @@ def load_fact(
     path: str,
     partitions: int | None = None,
     layout: Callable[[DataFrame, int | None], DataFrame] = cluster_layout,
+    derived: Mapping[str, Column] | None = None,
 ) -> None:
-    """Replace exactly the months present in ``fact``; other months stay, copies stay."""
+    """Replace exactly the months present in ``fact``; other months stay, copies stay.
+
+    ``derived`` gives columns that follow from others of their row, which are made after the layout.
+    Keys are random, which zstd makes smaller and the usual codec does not.
+    """
+    derived = dict(derived or {})
     (
-        layout(fact, partitions)
+        layout(fact.drop(*derived), partitions)
+        .withColumns(derived)
         .write.option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
         .mode("overwrite")
         .partitionBy(FACT_PARTITION)
         .parquet(path)
