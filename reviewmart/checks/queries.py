@@ -580,11 +580,11 @@ def fct_reviews_shuffled(m: Models) -> DataFrame:
 def _loaded_months(m: Models) -> str:
     """Reviews loaded range by range; the middle one first in part, as of an earlier delivery."""
     out = m.path("by-month")
-    early = rows.verified_slicer(m.stg_reviews, True)
-    incremental.load_months(m.stg_reviews, out, date(1990, 1, 1), date(1996, 12, 31))
+    early = rows.verified_slicer(m.review_table, True)
+    incremental.load_months(m.review_table, out, date(1990, 1, 1), date(1996, 12, 31))
     incremental.load_months(early, out, date(1997, 1, 1), date(1998, 6, 30))
-    incremental.load_months(m.stg_reviews, out, date(1998, 7, 1), date(2010, 12, 31))
-    incremental.load_months(m.stg_reviews, out, date(1997, 1, 15), date(1998, 6, 1))
+    incremental.load_months(m.review_table, out, date(1998, 7, 1), date(2010, 12, 31))
+    incremental.load_months(m.review_table, out, date(1997, 1, 15), date(1998, 6, 1))
     return out
 
 

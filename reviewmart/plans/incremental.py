@@ -164,11 +164,9 @@ def dim_users(spark: SparkSession, out: str, items: DataFrame, limits: JoinLimit
             F.sum(F.bit_count("days")).cast("long").alias("active_days"),
         )
     )
-    bought = (
-        spark.read.parquet(f"{out}/user_products")
-        .groupBy("user_id", "asin")
-        .agg(F.sum("reviews").alias("reviews"), F.sum("verified").alias("verified"))
-    )
+    # Its months are summed with the rest below: few users return to a product, so that sums per
+    # user and product would be as many rows again.
+    bought = spark.read.parquet(f"{out}/user_products").drop(FACT_PARTITION)
     spend = cut(agg.item_spend(items), "item-spend")
     weight = F.coalesce("copies", F.lit(1))
     counts = (
