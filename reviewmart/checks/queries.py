@@ -86,6 +86,10 @@ class Models:
         """The items as a table, for joins that measure them first."""
         return cut(self.dim_items, "dim-items")
 
+    @cached_property
+    def average_table(self) -> DataFrame:
+        return cut(agg.item_avg(self.review_table, counted=True), "item-avg")
+
     @cached_property
     def dim_time(self) -> DataFrame:
         return cal.dim_time(cal.calendar(self.spark))
@@ -357,8 +361,7 @@ def review_date(m: Models) -> DataFrame:
 
 @_query
 def rating_diff(m: Models) -> DataFrame:
-    average = cut(agg.item_avg(m.stg_reviews), "item-avg")
-    return joins.fct_x_item_avg(m.stg_reviews, average).select(
+    return joins.fct_x_item_avg(m.review_table, m.average_table).select(
         "review_id",
         "helpful_votes",
         numbers.rating_diff(F.col("rating"), F.col("avg_rating")).alias("rating_diff_from_avg"),
@@ -463,14 +466,12 @@ def fct_x_items_shuffled(m: Models) -> DataFrame:
 
 @_query
 def fct_x_item_avg(m: Models) -> DataFrame:
-    average = cut(agg.item_avg(m.stg_reviews), "item-avg")
-    return joins.fct_x_item_avg(m.stg_reviews, average)
+    return joins.fct_x_item_avg(m.review_table, m.average_table)
 
 
 @_query
 def fct_x_item_avg_shuffled(m: Models) -> DataFrame:
-    average = cut(agg.item_avg(m.stg_reviews), "item-avg")
-    return joins.fct_x_item_avg(m.stg_reviews, average, SHUFFLED)
+    return joins.fct_x_item_avg(m.review_table, m.average_table, SHUFFLED)
 
 
 def _bucketed(m: Models, df: DataFrame, label: str) -> DataFrame:

@@ -45,9 +45,10 @@ def total_spent(price: Column) -> Column:
     return F.sum(F.coalesce(price, F.lit(0.0)))
 
 
-def item_avg(reviews: DataFrame) -> DataFrame:
-    """Mean rating per product over all history."""
-    return reviews.groupBy("asin").agg(F.avg("rating").alias("avg_rating"))
+def item_avg(reviews: DataFrame, counted: bool = False) -> DataFrame:
+    """Mean rating per product over all history; ``counted`` adds its number of reviews (``rows``)."""
+    rows = [F.count("*").alias("rows")] if counted else []
+    return reviews.groupBy("asin").agg(F.avg("rating").alias("avg_rating"), *rows)
 
 
 def item_ratings(reviews: DataFrame) -> DataFrame:

@@ -76,8 +76,12 @@ def fct_x_items(reviews: DataFrame, items: DataFrame, limits: JoinLimits = USUAL
 def fct_x_item_avg(
     reviews: DataFrame, item_avg: DataFrame, limits: JoinLimits = USUAL
 ) -> DataFrame:
-    """Add ``avg_rating``; reviews without a product keep null."""
-    return lookup(reviews, item_columns(item_avg, "avg_rating"), "asin", limits=limits)
+    """Add ``avg_rating``; reviews without a product keep null.
+
+    If ``item_avg`` comes with the number of reviews (``rows``), they are not counted again.
+    """
+    counts = item_avg.select("asin", "rows") if "rows" in item_avg.columns else None
+    return lookup(reviews, item_columns(item_avg, "avg_rating"), "asin", counts, limits=limits)
 
 
 def item_columns(df: DataFrame, *names: str) -> DataFrame:
