@@ -95,7 +95,7 @@ class Models:
         return cal.dim_time(cal.calendar(self.spark))
 
     def dim_users(self, limits: joins.JoinLimits = joins.USUAL) -> DataFrame:
-        return marts.dim_users(self.stg_reviews, self.dim_items, limits)
+        return marts.dim_users(self.review_table, self.dim_items, limits)
 
     def dated(self, reviews: DataFrame | None = None) -> DataFrame:
         return joins.fct_x_time(self.stg_reviews if reviews is None else reviews, self.dim_time)
@@ -445,13 +445,13 @@ def fct_x_time(m: Models) -> DataFrame:
 @_query
 def fct_x_users(m: Models) -> DataFrame:
     users = cut(m.dim_users(), "dim-users")
-    return joins.fct_x_users(m.stg_reviews, users)
+    return joins.fct_x_users(m.review_table, users)
 
 
 @_query
 def fct_x_users_shuffled(m: Models) -> DataFrame:
     users = cut(m.dim_users(SHUFFLED), "dim-users")
-    return joins.fct_x_users(m.stg_reviews, users, SHUFFLED)
+    return joins.fct_x_users(m.review_table, users, SHUFFLED)
 
 
 @_query
@@ -480,7 +480,7 @@ def _bucketed(m: Models, df: DataFrame, label: str) -> DataFrame:
 
 @_query
 def fct_x_users_bucketed(m: Models) -> DataFrame:
-    reviews = _bucketed(m, m.stg_reviews, "reviews")
+    reviews = _bucketed(m, m.review_table, "reviews")
     return joins.bucketed_x_users(reviews, _bucketed(m, m.dim_users(), "users"))
 
 
