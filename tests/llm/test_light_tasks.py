@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from reviewmart.llm.common import n_words
 from reviewmart.llm.numbering import numbered
 
 
@@ -21,3 +22,15 @@ def test_numbering_of_a_few_ranges_among_many(spark):
     rows = spark.range(0, 40, 1, 3).select((F.col("id") % 4).alias("k"))
     out = [r["number"] for r in numbered(rows, F.col("k")).orderBy("number").collect()]
     assert out == list(range(40))
+
+
+def test_words_are_counted_without_making_them(spark):
+    texts = [
+        "", " ", "\n\t\x0b\x0c\r ", "a", " a", "a ", "  a\tb\n\nc  ", "x" * 5000, "y " * 5000, None,
+        " ", "a b", "   ", "\U0001f600 \U0001f600\U0001f600", "$1 \\ $", "é \x00 \x1c",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", "t", n_words(F.col("t")).alias("n"))
+    assert "split(" not in _plan(df)
+    for row in df.collect():
+        plain = None if row["t"] is None else len("".join(" " if c in " \t\n\x0b\x0c\r" else "w" for c in row["t"]).split())
+        assert row["n"] == plain, row["i"]
