@@ -18,6 +18,7 @@ learned and only the fixed limits decide.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -35,6 +36,9 @@ _UPPER, _DIGITS, _MARKS, _STOPS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "!
 # What is not counted character by character.
 _UNCOUNTED = f"[^{SYMBOLS}{_UPPER}{_DIGITS}{_MARKS}{_STOPS}]+"
 _WORD_CHARACTER = r"[^\x20\x09-\x0D]"
+# A place in an array takes so many bits at most.
+_PLACE_BITS = 31
+_PLACES = (1 << _PLACE_BITS) - 1
 
 
 def _windows(hashes: Column) -> Column:
@@ -50,37 +54,37 @@ def _windows(hashes: Column) -> Column:
 def _covered(windows: Column) -> Column:
     """Words that lie in a window found twice or more.
 
-    Sorting the windows with their places puts equal ones side by side; the words that the
-    repeated ones cover are then counted without overlap.
+    Numbers made of a window's upper bits and its place are sorted first: numbers compare without
+    being boxed, and windows that share these bits with none are out. Sorting the few others with
+    their places puts equal ones side by side; the words that the repeated ones cover are then
+    counted without overlap.
     """
 
-    def repeated(ordered: Column) -> Column:
-        n = F.size(ordered) - 1
-        same = F.zip_with(
-            F.slice(ordered, 1, n), F.slice(ordered, 2, n), lambda a, b: a["key"] == b["key"]
-        )
-        none = F.array(F.lit(False))
-        return let(
-            same,
-            lambda s: F.filter(
-                F.zip_with(
-                    ordered,
-                    F.zip_with(F.concat(s, none), F.concat(none, s), lambda a, b: a | b),
-                    lambda entry, hit: F.when(hit, entry["at"]),
-                ),
-                lambda at: at.isNotNull(),
-            ),
+    def paired(ordered: Column, key_of: Callable[[Column], Column]) -> Column:
+        """Entries with the key of the one before or after them."""
+        return F.filter(
+            ordered,
+            lambda entry, at: key_of(entry).eqNullSafe(key_of(F.get(ordered, at - 1)))
+            | key_of(entry).eqNullSafe(key_of(F.get(ordered, at + 1))),
         )
 
+    def candidates(ordered: Column) -> Column:
+        found = paired(ordered, lambda number: F.shiftright(number, _PLACE_BITS))
+        return F.transform(found, lambda number: number.bitwiseAND(_PLACES).cast("int"))
+
+    def repeated(ordered: Column) -> Column:
+        return paired(ordered, lambda entry: entry["key"])["at"]
+
     def spread(at: Column) -> Column:
-        following = F.concat(F.slice(at, 2, F.size(at) - 1), F.array(F.element_at(at, -1) + 3))
-        return F.aggregate(
-            F.zip_with(at, following, lambda a, b: F.least(b - a, F.lit(3))),
-            F.lit(0),
-            lambda total, step: total + step,
-        )
+        # The last one has none after it, and least() passes over nulls.
+        steps = F.transform(at, lambda here, i: F.least(F.get(at, i + 1) - here, F.lit(3)))
+        return F.aggregate(steps, F.lit(0), lambda total, step: total + step)
 
-    placed = F.transform(windows, lambda key, at: F.struct(key.alias("key"), at.alias("at")))
+    packed = F.transform(
+        windows, lambda key, at: key.bitwiseAND(~_PLACES).bitwiseOR(at.cast("long"))
+    )
+    places = let(F.sort_array(packed), candidates)
+    placed = F.transform(places, lambda at: F.struct(F.get(windows, at).alias("key"), at.alias("at")))
     return let(F.sort_array(let(F.sort_array(placed), repeated)), spread)
 
 
@@ -223,15 +227,14 @@ def fit(
         *(value.alias(name) for name, value in features(F.col("m")).items()),
     )
     # Every third row of either class, in the order of a hash.
-    rows = cut(
+    placed = (
         numbered(known, F.col("junk"), F.col("draw"), name="place")
         .withColumn("prunes", F.col("place") % 3 == 0)
-        .drop("place", "draw"),
-        "labelled-statistics",
+        .drop("place", "draw")
     )
     values = {name: F.col(name) for name in names}
     steps = [i / bins for i in range(1, bins)]
-    first = rows.agg(
+    first = placed.agg(
         F.sum(F.col("junk") * (~F.col("prunes")).cast("long")).alias("grow"),
         F.sum(F.col("junk") * F.col("prunes").cast("long")).alias("prune"),
         F.sum(1 - F.col("junk")).alias("good"),
@@ -240,22 +243,19 @@ def fit(
     if not first["grow"] or not first["prune"] or not first["good"]:
         return DecisionList(())
     limits = {name: sorted(set(first[name])) for name in names}
+    # Each row's bins are found once, not again in every step.
     bin_of = [
-        F.struct(
-            F.lit(place).alias("feature"),
-            reduce(
-                lambda a, b: a + b, ((values[name] > limit).cast("int") for limit in limits[name])
-            ).alias("bin"),
-        )
-        for place, name in enumerate(names)
+        reduce(lambda a, b: a + b, ((values[name] > limit).cast("int") for limit in limits[name]))
+        for name in names
     ]
+    rows = cut(placed.withColumn("bins", F.array(*bin_of)), "labelled-statistics")
 
     def best(left: Column, rule: Rule) -> tuple[float, Condition] | None:
         """The condition with the largest information gain on the rows that are left."""
         found = (
             rows.where(left & ~F.col("prunes") & _matches(rule, values))
-            .select("junk", F.explode(F.array(*bin_of)).alias("at"))
-            .groupBy("at.feature", "at.bin")
+            .select("junk", F.posexplode("bins").alias("feature", "bin"))
+            .groupBy("feature", "bin")
             .agg(F.sum("junk").alias("junk"), F.sum(1 - F.col("junk")).alias("good"))
             .collect()
         )
